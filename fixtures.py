@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillweave.sources.extracts import fence
+
 
 FX_HRIS = r"""
 SELECT c_custkey AS ord, CASE WHEN c_custkey % 211 = 5 THEN '' ELSE CAST(c_custkey + 1 AS STRING) END AS employee_id,
@@ -65,7 +67,7 @@ SELECT event_id AS ord, CASE WHEN event_id % 301 = 4 THEN ' ' ELSE ' ' || CAST((
  CASE event_id % 4 WHEN 0 THEN 'Individual' WHEN 1 THEN 'Family' WHEN 2 THEN 'Employee+Spouse' ELSE 'Employee+Child' END AS coverage_level,
  CAST(2015 + event_id % 9 AS STRING) || '-01-01' AS enrollment_date,
  CAST(event_id % 400 AS STRING) AS premium_employee, CAST(event_id % 900 AS STRING) AS premium_employer
-FROM events WHERE event_id % 5 = 0
+FROM events
 """
 
 
@@ -78,11 +80,14 @@ VIEWS = {
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A fixture view; its input order ``ord`` becomes ``_ord``."""
+    """A fixture view; its input order ``ord`` becomes ``_ord``.
+
+    The fence makes the view behave like a scanned file: its expressions run once per row.
+    """
     table, sql = VIEWS[name]
     source = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     view = spark.sql(sql.replace(f"FROM {table}", "FROM {source}"), source=source)
-    return view.withColumnRenamed("ord", "_ord")
+    return fence(view.withColumnRenamed("ord", "_ord"))
 
 
 def fixture_sql() -> str:
@@ -104,4 +109,4 @@ def records_json() -> str:
 
 def nested_records(view: DataFrame) -> DataFrame:
     """The ``fx_api`` view as nested records in a variant column."""
-    return view.select(F.parse_json(F.expr(records_json())).alias("doc"), "_ord")
+    return fence(view.select(F.parse_json(F.expr(records_json())).alias("doc"), "_ord"))

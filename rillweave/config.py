@@ -107,35 +107,39 @@ GHOST_REASON = "Payroll record with no matching HRIS entry"
 
 @dataclass(frozen=True)
 class DateRule:
-    """One accepted date layout: a shape with one group per field, and the field order.
+    """One accepted date layout: its shape, and its groups in year-month-day order.
 
-    ``fields`` names the groups in order: ``y`` year, ``m`` month number, ``b`` month
-    name, ``d`` day, ``t`` time of day.
+    ``iso=None`` marks text that is in that order already. A month may be a name.
     """
 
     shape: str
-    fields: str
+    iso: str | None = None
 
 
-# Tried in this order, first valid reading wins: 03/04/2020 is 4 March, 25/12/2020 is 25 December.
+# A month that fits the month's place decides between m/d and d/m: 03/04/2020 is 4 March,
+# 25/12/2020 is 25 December. So every text has one shape, and the first one decides.
 DATE_RULES = (
-    DateRule(r"^(\d{4})-(\d{1,2})-(\d{1,2})$", "ymd"),
-    DateRule(r"^(\d{4})-(\d{1,2})-(\d{1,2})T(\d{1,2}:\d{1,2}:\d{1,2})$", "ymdt"),
-    DateRule(r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "mdy"),
-    DateRule(r"^(\d{1,2})-([A-Za-z]{3})-(\d{4})$", "dby"),
-    DateRule(r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "dmy"),
-    DateRule(r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "mdy"),
+    DateRule(r"^\d{4}-\d{1,2}-\d{1,2}(?:T\d{1,2}:\d{1,2}:\d{1,2})?$"),
+    DateRule(r"^(0?[1-9]|1[0-2])/(\d{1,2})/(\d{4})$", "$3-$1-$2"),
+    DateRule(r"(?i)^(\d{1,2})-(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)-(\d{4})$", "$3-$2-$1"),
+    DateRule(r"^(\d{1,2})/(0?[1-9]|1[0-2])/(\d{4})$", "$3-$2-$1"),
+    DateRule(r"^(0?[1-9]|1[0-2])-(\d{1,2})-(\d{4})$", "$3-$1-$2"),
+)
+
+_MONTH_NAME = (
+    "(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|"
+    "sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
 )
 
 # Layouts outside the strict list which a lenient parser reads as well.
 EXTRA_DATE_RULES = (
-    DateRule(r"^(\d{4})-(\d{1,2})-(\d{1,2})[T ](\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?)$", "ymdt"),
-    DateRule(r"^(\d{4})(\d{2})(\d{2})$", "ymd"),
-    DateRule(r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "dmy"),
-    DateRule(r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "ymd"),
-    DateRule(r"^([A-Za-z]{3,9}) (\d{1,2}),? (\d{4})$", "bdy"),
-    DateRule(r"^(\d{1,2}) ([A-Za-z]{3,9}) (\d{4})$", "dby"),
-    DateRule(r"^(\d{4})$", "y"),
+    DateRule(r"^\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?$"),
+    DateRule(r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+    DateRule(r"^(\d{1,2})-(0?[1-9]|1[0-2])-(\d{4})$", "$3-$2-$1"),
+    DateRule(r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3"),
+    DateRule(rf"(?i)^{_MONTH_NAME} (\d{{1,2}}),? (\d{{4}})$", "$3-$1-$2"),
+    DateRule(rf"(?i)^(\d{{1,2}}) {_MONTH_NAME} (\d{{4}})$", "$3-$2-$1"),
+    DateRule(r"^(\d{4})$"),
 )
 
 

@@ -5,70 +5,56 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from rillweave.config import DateRule
-from rillweave.functions.taxonomy import map_lookup
-from rillweave.functions.text import strip
+from rillweave.functions.text import quote
 
-_MONTHS = (
-    "january", "february", "march", "april", "may", "june", "july", "august",
-    "september", "october", "november", "december",
-)
-MONTH_NUMBERS = {name: i for i, name in enumerate(_MONTHS, 1)} | {
-    name[:3]: i for i, name in enumerate(_MONTHS, 1)
-}
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 MICROS_PER_DAY = 86_400_000_000
 # Range of a 64-bit nanosecond timestamp; dates outside it are unreadable, not flagged.
 EARLIEST, LATEST = "1677-09-22", "2262-04-11"
 
 
-def timestamp_literal(text: str) -> Column:
-    return F.lit(text).cast("timestamp_ntz")
+def timestamp(text: date | str) -> str:
+    return f"timestamp_ntz'{text}'"
+
+
+def layout_number(s: str, rules: Sequence[DateRule]) -> str:
+    """Position (from 1) of the first layout that fits the stripped text."""
+    cases = (f"WHEN {s} RLIKE {quote(r.shape)} THEN {i}" for i, r in enumerate(rules, 1))
+    return f"CASE {' '.join(cases)} END"
+
 
+def iso_order(s: str, number: str, rules: Sequence[DateRule]) -> str:
+    """The text brought into year-month-day order, given the number of its layout."""
+    plain = ", ".join(str(i) for i, r in enumerate(rules, 1) if not r.iso)
+    shapes = ", ".join(quote(r.shape) for r in rules)
+    orders = ", ".join(quote(r.iso or "$0") for r in rules)
+    reordered = f"regexp_replace({s}, array({shapes})[{number} - 1], array({orders})[{number} - 1])"
+    return f"CASE WHEN {number} IN ({plain}) THEN {s} WHEN {number} IS NOT NULL THEN {reordered} END"
 
-def _read(s: Column, rule: DateRule) -> Column:
-    group = {f: i for i, f in enumerate(rule.fields, 1)}
-    if "b" in group:
-        month = map_lookup(F.lower(F.regexp_extract(s, rule.shape, group["b"])), MONTH_NUMBERS)
-        iso = F.concat_ws(
-            "-",
-            F.regexp_extract(s, rule.shape, group["y"]),
-            F.coalesce(month, F.lit(0)).cast("string"),
-            F.regexp_extract(s, rule.shape, group["d"]),
-        )
-    else:
-        day = "-".join(f"${group[f]}" for f in "ymd" if f in group)
-        iso = F.regexp_replace(s, rule.shape, day + (f"T${group['t']}" if "t" in group else ""))
-    return F.when(s.rlike(rule.shape), iso.try_cast("timestamp_ntz"))
 
+def from_iso_order(x: str) -> str:
+    """Timestamp without zone, time of day kept; no such date gives null."""
+    part = [f"split_part({x}, '-', {i})" for i in (1, 2, 3)]
+    number = f"cast((instr('{_MONTHS}', lower(left({part[1]}, 3))) + 2) div 3 AS string)"
+    numbered = f"CASE WHEN {x} RLIKE '^[0-9]+-[A-Za-z]' THEN concat({part[0]}, '-', {number}, '-', {part[2]}) ELSE {x} END"
+    return f"try_cast({numbered} AS timestamp_ntz)"
 
-def parse_date(c: Column, rules: Sequence[DateRule]) -> Column:
-    """First layout that yields a valid date. Time of day is kept; unreadable text gives null.
 
-    The shape test keeps a value away from layouts that cannot fit it, so that a try_cast
-    seldom has to fail.
-    """
-    s = strip(c)
-    value = F.coalesce(*(_read(s, rule) for rule in rules))
-    return F.when(value.between(timestamp_literal(EARLIEST), timestamp_literal(LATEST)), value)
+def readable(x: str) -> str:
+    """Null for dates outside the representable range."""
+    return f"CASE WHEN {x} BETWEEN {timestamp(EARLIEST)} AND {timestamp(LATEST)} THEN {x} END"
 
 
-def out_of_range_flag(c: Column, name: str, earliest: str, as_of: date | str) -> Column:
-    return F.when(c < timestamp_literal(earliest), F.lit(f"{name} before {earliest}")).when(
-        c > timestamp_literal(str(as_of)), F.lit(f"{name} after {as_of}")
-    )
+def out_of_range_flag(x: str, name: str, earliest: str, as_of: date | str) -> str:
+    return f"""CASE
+        WHEN {x} < {timestamp(earliest)} THEN {quote(f'{name} before {earliest}')}
+        WHEN {x} > {timestamp(as_of)} THEN {quote(f'{name} after {as_of}')} END"""
 
 
-def epoch_micros(c: Column) -> Column:
+def epoch_micros(x: str) -> str:
     """Microseconds since 1970 of a zone-less timestamp, independent of the session zone."""
-    days = F.date_diff(c.cast("date"), F.lit(date(1970, 1, 1))).cast("bigint")
-    seconds = F.extract(F.lit("SECOND"), c)
-    return (
-        days * MICROS_PER_DAY
-        + F.hour(c).cast("bigint") * 3_600_000_000
-        + F.minute(c).cast("bigint") * 60_000_000
-        + (seconds * 1_000_000).cast("bigint")
-    )
+    return f"""(cast(date_diff(cast({x} AS date), date'1970-01-01') AS bigint) * {MICROS_PER_DAY}
+        + cast(hour({x}) AS bigint) * 3600000000 + cast(minute({x}) AS bigint) * 60000000
+        + cast(extract(SECOND FROM {x}) * 1000000 AS bigint))"""

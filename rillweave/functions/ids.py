@@ -4,62 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from rillweave.config import API, EMPLOYEE_ID_PATTERN, NULL_SENTINELS, PAYROLL
+from rillweave.config import API, EMPLOYEE_ID_PATTERN, PAYROLL
 from rillweave.functions.taxonomy import map_lookup
-from rillweave.functions.text import strip
+from rillweave.functions.text import quote
 
-_INTEGER = r"^[+-]?[0-9]+$"
+_INTEGER = quote(r"^[+-]?[0-9]+$")
+_ACQUIRED = "(startswith(upper({0}), 'ACQ_'))"
 
 
-def zero_padded(c: Column, width: int = 6) -> Column:
+def zero_padded(x: str, width: int = 6) -> str:
     """An integer text at a fixed width; longer numbers keep all digits, any length works."""
-    digits = F.ltrim(F.regexp_replace(c, "^[+-]", ""), F.lit("0"))
-    negative = c.startswith("-") & (digits != "")
-    room = F.when(negative, F.lit(width - 1)).otherwise(F.lit(width))
-    padded = F.lpad(digits, F.greatest(room, F.length(digits)), F.lit("0"))
-    return F.when(negative, F.concat(F.lit("-"), padded)).otherwise(padded)
+    digits = f"trim(LEADING '0' FROM trim(LEADING '+-' FROM {x}))"
+    minus = f"CASE WHEN startswith({x}, '-') AND {digits} <> '' THEN '-' ELSE '' END"
+    return f"concat({minus}, lpad({digits}, greatest({width} - length({minus}), length({digits})), '0'))"
+
 
+def id_number(s: str) -> str:
+    """The part of a stripped id that should be its number."""
+    return f"CASE WHEN {_ACQUIRED.format(s)} THEN substr({s}, 5) ELSE {s} END"
 
-def namespace_id(
-    raw: Column, source: Column, company_hint: Column, namespaces: Mapping[str, str]
-) -> Column:
-    """Prefix a raw id with its company, six digits wide.
 
-    An id already in that form is kept. An ``ACQ_`` id belongs to the acquired company
-    whatever its source. Text that is no integer is kept as it is.
-    """
-    s = strip(raw)
-    acquired = F.substr(s, F.lit(5))
-    hinted = F.contains(F.lower(F.coalesce(company_hint, F.lit(""))), F.lit("acquired"))
-    prefix = (
-        F.when(source == API, F.lit("AC"))
-        .when((source == PAYROLL) & hinted, F.lit("AC"))
-        .when(source == PAYROLL, F.lit("GT"))
-        .otherwise(F.coalesce(map_lookup(source, namespaces), F.lit("GT")))
-    )
-    return (
-        F.when(s.rlike(EMPLOYEE_ID_PATTERN), s)
-        .when(
-            F.upper(s).startswith("ACQ_"),
-            F.concat(
-                F.lit("AC-"),
-                F.when(acquired == "", F.lit("000000"))
-                .when(acquired.rlike(_INTEGER), zero_padded(acquired))
-                .otherwise(acquired),
-            ),
-        )
-        .when(s.rlike(_INTEGER), F.concat(prefix, F.lit("-"), zero_padded(s)))
-        .otherwise(s)
-    )
+def id_prefix(s: str, source: str, company_hint: str, namespaces: Mapping[str, str]) -> str:
+    """Company of a stripped id. An ``ACQ_`` id is the acquired company's, whatever its source."""
+    return f"""CASE WHEN {_ACQUIRED.format(s)} OR {source} = {quote(API)} THEN 'AC'
+        WHEN {source} = {quote(PAYROLL)} THEN
+            CASE WHEN contains(lower(coalesce({company_hint}, '')), 'acquired') THEN 'AC' ELSE 'GT' END
+        ELSE coalesce({map_lookup(source, namespaces)}, 'GT') END"""
 
 
-def namespace_reference(
-    raw: Column, source: Column, company_hint: Column, namespaces: Mapping[str, str]
-) -> Column:
-    """Same for a nullable foreign key: blank and spelled-out nulls become null."""
-    return F.when(
-        ~strip(raw).isin(*NULL_SENTINELS), namespace_id(raw, source, company_hint, namespaces)
-    )
+def namespaced(s: str, prefix: str, number: str) -> str:
+    """Prefix and number, six digits wide. An id already in that form is kept, and so is text
+    without a number."""
+    return f"""CASE
+        WHEN {number} RLIKE {_INTEGER} THEN concat({prefix}, '-', {zero_padded(number)})
+        WHEN {s} RLIKE {quote(EMPLOYEE_ID_PATTERN)} THEN {s}
+        WHEN {_ACQUIRED.format(s)} THEN concat('AC-', CASE {number} WHEN '' THEN '000000' ELSE {number} END)
+        ELSE {s} END"""

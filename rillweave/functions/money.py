@@ -4,48 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from rillweave.functions.taxonomy import map_lookup
-from rillweave.functions.text import WHITESPACE_CLASS, strip
+from rillweave.functions.text import WHITESPACE_CLASS, quote, strip
 
 _SYMBOLS = rf"[£€$,]|{WHITESPACE_CLASS}"
 _NUMBER = r"(?i)^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf(?:inity)?)$"
 # From here on a double no longer resolves a hundredth.
-_CENTS_LIMIT = 9.0e13
+_CENTS_LIMIT = "9.0e13D"
 
 
-def to_double(c: Column) -> Column:
+def to_double(x: str) -> str:
     """Number written as text; "nan", suffixes such as 1.0d and other text give null."""
-    return F.when(c.rlike(_NUMBER), c.try_cast("double"))
+    return f"CASE WHEN {x} RLIKE {quote(_NUMBER)} THEN try_cast({x} AS double) END"
+
+
+def without_symbols(x: str) -> str:
+    """Text without currency symbols, separators and blanks."""
+    return f"regexp_replace({x}, {quote(_SYMBOLS)}, '')"
 
 
-def parse_money(c: Column) -> Column:
-    """Positive amount, whatever currency symbols and separators surround it."""
-    value = to_double(F.regexp_replace(c, _SYMBOLS, ""))
-    return F.when(value > 0, value)
+def positive(x: str) -> str:
+    return f"CASE WHEN {x} > 0 THEN {x} END"
 
 
-def round_cents(x: Column) -> Column:
+def round_cents(x: str) -> str:
     """Round to the cent by the exact binary value, as IEEE doubles are rounded elsewhere.
 
     Splitting off the whole part keeps the scaled fraction exact, so 107950.635 (which is
     stored just below the tie) becomes .63 and not .64.
     """
-    whole = F.floor(x).cast("double")
-    exact = (whole * 100 + F.rint((x - whole) * 100)) / 100
-    return F.when(F.abs(x) < _CENTS_LIMIT, exact).otherwise(x)
+    exact = f"(cast(floor({x}) AS double) * 100 + rint(({x} - floor({x})) * 100)) / 100"
+    return f"CASE WHEN abs({x}) < {_CENTS_LIMIT} THEN {exact} ELSE {x} END"
 
 
 def annual_usd(
-    amount: Column,
-    currency: Column,
-    frequency: Column,
-    fx: Mapping[str, float],
-    periods: Mapping[str, int],
-) -> Column:
-    """Amount × exchange rate × periods; an unknown currency or period counts as 1."""
-    rate = F.coalesce(map_lookup(F.upper(strip(currency)), fx), F.lit(1.0))
-    times = F.coalesce(map_lookup(strip(frequency), periods), F.lit(1))
-    return round_cents(amount * rate * times.cast("double"))
+    amount: str, currency: str, frequency: str, fx: Mapping[str, float], periods: Mapping[str, int]
+) -> str:
+    """Amount × exchange rate × periods, not rounded; an unknown currency or period counts as 1."""
+    rate = f"coalesce({map_lookup(f'upper({strip(currency)})', fx)}, 1.0D)"
+    times = f"coalesce({map_lookup(strip(frequency), periods)}, 1)"
+    return f"{amount} * {rate} * cast({times} AS double)"

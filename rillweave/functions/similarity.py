@@ -2,50 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from rillweave.functions.text import WHITESPACE_CLASS, quote, strip
 
-from rillweave.functions.text import WHITESPACE_CLASS, strip
 
-
-def token_sort(c: Column) -> Column:
+def token_sort(x: str) -> str:
     """Words in code point order, joined by one blank: the key under which word order is moot."""
-    return F.array_join(F.sort_array(F.split(strip(c), WHITESPACE_CLASS + "+")), " ")
+    return f"array_join(sort_array(split({strip(x)}, {quote(WHITESPACE_CLASS + '+')})), ' ')"
 
 
-def lcs_length(a: Column, b: Column) -> Column:
+def lcs_length(a: str, b: str) -> str:
     """Length of the longest common subsequence: one dynamic-programming row per letter of ``a``."""
-    positions = F.sequence(F.lit(1), F.length(b))
-
-    def next_row(row: Column, letter: Column) -> Column:
-        def cell(acc: Column, j: Column) -> Column:
-            value = F.when(
-                F.substr(b, j, F.lit(1)) == letter, F.element_at(row, j) + 1
-            ).otherwise(F.greatest(F.element_at(acc, -1), F.element_at(row, j + 1)))
-            return F.concat(acc, F.array(value))
-
-        return F.aggregate(positions, F.array(F.lit(0)), cell)
-
-    start = F.array_repeat(F.lit(0), F.length(b) + 1)
-    table = F.aggregate(F.split(a, ""), start, next_row)
-    return F.when((a == "") | (b == ""), F.lit(0)).otherwise(F.element_at(table, -1))
+    cell = f"""CASE WHEN substr({b}, j, 1) = letter THEN element_at(row, j) + 1
+        ELSE greatest(element_at(acc, -1), element_at(row, j + 1)) END"""
+    next_row = f"aggregate(sequence(1, length({b})), array(0), (acc, j) -> concat(acc, array({cell})))"
+    table = f"aggregate(split({a}, ''), array_repeat(0, length({b}) + 1), (row, letter) -> {next_row})"
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE element_at({table}, -1) END"
 
 
-def indel_distance(a: Column, b: Column) -> Column:
-    return F.length(a) + F.length(b) - 2 * lcs_length(a, b)
+def indel_distance(a: str, b: str) -> str:
+    return f"(length({a}) + length({b}) - 2 * ({lcs_length(a, b)}))"
 
 
-def similarity(distance: Column, total_length: Column) -> Column:
+def similarity(distance: str, total_length: str) -> str:
     """0..100 from an Indel distance; two empty texts are equal."""
-    share = distance.cast("double") / F.when(total_length == 0, F.lit(1)).otherwise(total_length)
-    return (F.lit(1.0) - share) * 100.0
+    return f"(1.0D - cast({distance} AS double) / greatest({total_length}, 1)) * 100.0D"
 
 
-def allowed_distance(total_length: Column, threshold: int) -> Column:
+def allowed_distance(total_length: str, threshold: int) -> str:
     """Largest Indel distance that still scores ``threshold``, in whole numbers."""
-    return F.floor(F.lit(100 - threshold) * total_length / 100).cast("int")
+    return f"cast({100 - threshold} * ({total_length}) div 100 AS int)"
 
 
-def token_sort_ratio(a: Column, b: Column) -> Column:
+def token_sort_ratio(a: str, b: str) -> str:
     x, y = token_sort(a), token_sort(b)
-    return similarity(indel_distance(x, y), F.length(x) + F.length(y))
+    return similarity(indel_distance(x, y), f"length({x}) + length({y})")

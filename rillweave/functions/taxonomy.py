@@ -2,51 +2,41 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from rillweave.functions.text import quote, strip
 
-from rillweave.functions.text import strip, title_case
 
+def _literal(value: str | int | float) -> str:
+    if isinstance(value, str):
+        return quote(value)
+    return f"{value!r}D" if isinstance(value, float) else repr(value)
 
-def map_lookup(c: Column, mapping: Mapping) -> Column:
-    """Value of ``c`` in ``mapping``, null when absent (the map is folded to a literal)."""
-    entries = [F.lit(x) for item in mapping.items() for x in item]
-    return F.try_element_at(F.create_map(*entries), c)
 
+def map_lookup(x: str, mapping: Mapping[str, str | int | float]) -> str:
+    """Value of ``x`` in ``mapping``, null when absent (the map is folded to a literal)."""
+    entries = ", ".join(_literal(v) for item in mapping.items() for v in item)
+    return f"try_element_at(map({entries}), {x})"
 
-def category(c: Column, mapping: Mapping[str, str]) -> Column:
-    """Exact spelling, else its title-cased form, else that form itself; blank gives null."""
-    raw = strip(c)
-    titled = title_case(raw)
-    return F.when(
-        raw != "", F.coalesce(map_lookup(raw, mapping), map_lookup(titled, mapping), titled)
-    )
 
-
-def _department(raw: Column, exact: Mapping[str, str], standards) -> Column:
-    folded = {name.lower(): name for name in standards}
-    return F.coalesce(map_lookup(raw, exact), map_lookup(F.lower(raw), folded))
+def category(raw: str, titled: str, mapping: Mapping[str, str]) -> str:
+    """Stripped text by exact spelling, else by its title-cased form, else that form itself;
+    blank gives null."""
+    known = f"coalesce({map_lookup(raw, mapping)}, {map_lookup(titled, mapping)}, {titled})"
+    return f"CASE WHEN {raw} <> '' THEN {known} END"
 
 
-def department(c: Column, exact: Mapping[str, str], standards) -> Column:
-    """Code, alias or any capitalisation of a standard name; unknown names stay as they are."""
-    raw = strip(c)
-    return F.when(~raw.isin("", "nan"), F.coalesce(_department(raw, exact, standards), raw))
+def known_department(raw: str, exact: Mapping[str, str], standards: Iterable[str]) -> str:
+    """Standard name for a code, an alias or any capitalisation of a standard name."""
+    folded = {name.lower(): name for name in standards}
+    return f"coalesce({map_lookup(raw, exact)}, {map_lookup(f'lower({raw})', folded)})"
 
 
-def unmapped_department(c: Column, exact: Mapping[str, str], standards) -> Column:
-    """The stripped name when no rule knows it, else null."""
-    raw = strip(c)
-    return F.when(~raw.isin("", "nan") & _department(raw, exact, standards).isNull(), raw)
+def source_priority(x: str, priority: Mapping[str, int], unknown: int) -> str:
+    """Smallest priority among comma-separated source names."""
 
+    def rank(name: str) -> str:
+        return f"coalesce({map_lookup(strip(name), priority)}, {unknown})"
 
-def source_priority(c: Column, priority: Mapping[str, int], unknown: int) -> Column:
-    """Smallest priority among comma-separated source names."""
-    return F.array_min(
-        F.transform(
-            F.split(c, ","),
-            lambda s: F.coalesce(map_lookup(strip(s), priority), F.lit(unknown)),
-        )
-    )
+    several = f"array_min(transform(split({x}, ','), s -> {rank('s')}))"
+    return f"CASE WHEN contains({x}, ',') THEN {several} ELSE {rank(x)} END"

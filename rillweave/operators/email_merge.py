@@ -14,7 +14,7 @@ from rillweave.operators.skew import lookup
 
 
 def _with_email(df: DataFrame) -> DataFrame:
-    return df.where(~is_blank(F.col("email"))).select("email", "employee_id", "source_systems")
+    return df.where(f"NOT {is_blank('email')}").select("email", "employee_id", "source_systems")
 
 
 def email_groups(
@@ -26,7 +26,7 @@ def email_groups(
     are joined whole, so a name can occur twice; ``normalise`` splits them first. Only as
     many distinct strings exist as there are combinations of sources.
     """
-    rank = source_priority(F.col("source_systems"), priority, UNKNOWN_PRIORITY)
+    rank = F.expr(source_priority("source_systems", priority, UNKNOWN_PRIORITY))
     sources = F.collect_set("source_systems")
     if normalise:
         sources = F.array_distinct(F.split(F.array_join(sources, ","), ","))

@@ -13,7 +13,7 @@ because that list is its result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillweave.config import SkewPolicy
@@ -28,69 +28,56 @@ from rillweave.functions.text import full_name, title_case
 from rillweave.operators.interval import bucket_of, neighbour_slots, window_micros
 from rillweave.operators.skew import lookup
 
+_NAME = f"lower({full_name('first_name', 'last_name')})"
 
-def _name() -> Column:
-    return F.lower(full_name(F.col("first_name"), F.col("last_name")))
 
-
-def _cell(bucket: Column, key: Column) -> Column:
-    return F.concat_ws("|", bucket.cast("string"), key)
+def _cell(bucket: str, key: str) -> str:
+    return f"concat({bucket}, '|', {key})"
 
 
 def _with_cell(df: DataFrame, days: int) -> DataFrame:
     """Adds the instant ``_t`` and the cell; both are null without a hire date."""
-    t = epoch_micros(F.col("hire_date"))
-    placed = df.withColumn("_t", t)
-    cell = _cell(bucket_of(F.col("_t"), days), token_sort(_name()))
-    return placed.withColumn("_cell", F.when(F.col("_t").isNotNull(), cell))
+    return df.withColumn("_t", F.expr(epoch_micros("hire_date"))).withColumn(
+        "_cell", F.expr(_cell(bucket_of("_t", days), token_sort(_NAME)))
+    )
 
 
 def name_cells(df: DataFrame, days: int) -> DataFrame:
     """One row per date bucket and token-sorted name, with size and time span."""
-    t = epoch_micros(F.col("hire_date"))
     return (
-        df.where(F.col("hire_date").isNotNull())
-        .select(t.alias("t"), token_sort(_name()).alias("key"))
-        .groupBy(bucket_of(F.col("t"), days).alias("bucket"), "key")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("t").alias("min_t"),
-            F.max("t").alias("max_t"),
-        )
+        df.where("hire_date IS NOT NULL")
+        .selectExpr(f"{epoch_micros('hire_date')} AS t", f"{token_sort(_NAME)} AS key")
+        .groupBy(F.expr(bucket_of("t", days)).alias("bucket"), "key")
+        .agg(F.expr("count(1) AS n"), F.expr("min(t) AS min_t"), F.expr("max(t) AS max_t"))
     )
 
 
-def _budget(p: Column, q: Column, threshold: int) -> Column:
-    """Distance allowed between texts of lengths p <= q; it has the parity of p + q."""
-    k = allowed_distance(p + q, threshold)
-    return k - F.pmod(k + p + q, F.lit(2))
-
-
-def _segment_start(i: Column, p: Column, k: Column) -> Column:
-    return F.floor(i * p / (k + 1)).cast("int")
-
+def _cut(texts: DataFrame, threshold: int) -> DataFrame:
+    """Per pair of lengths p <= q within reach: the allowed distance k and segments 0..k of p.
 
-def _signature(bucket: str, text: Column) -> Column:
-    return F.xxhash64(bucket, "p", "q", "i", text)
+    A distance has the parity of p + q, so the allowed one is rounded down to it.
+    """
+    allowed = allowed_distance("p + q", threshold)
+    return (
+        texts.withColumn("k", F.expr(f"{allowed} - pmod({allowed} + p + q, 2)"))
+        .where("k >= q - p")
+        .withColumn("i", F.expr("explode(sequence(0, k))"))
+        .withColumn("start", F.expr("cast(i * p div (k + 1) AS int)"))
+        .withColumn("width", F.expr("cast((i + 1) * p div (k + 1) AS int) - start"))
+    )
 
 
 def _segments(cells: DataFrame, threshold: int) -> DataFrame:
     """Signatures of the shorter text: its segments, under every length the longer may have."""
-    longest = F.floor(F.col("p") * (200 - threshold) / threshold).cast("int")
-    cut = (
+    texts = (
         cells.where("key <> ''")
-        .withColumn("p", F.length("key"))
-        .withColumn("q", F.explode(F.sequence(F.col("p"), longest)))
-        .withColumn("k", _budget(F.col("p"), F.col("q"), threshold))
-        .where("k >= q - p")
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k"))))
+        .selectExpr("bucket", "key", "length(key) AS p")
+        .withColumn("q", F.expr(f"explode(sequence(p, cast(p * {200 - threshold} div {threshold} AS int)))"))
     )
-    start = _segment_start(F.col("i"), F.col("p"), F.col("k"))
-    end = _segment_start(F.col("i") + 1, F.col("p"), F.col("k"))
     return (
-        cut.withColumn("text", F.substr(F.col("key"), start + 1, end - start))
-        .withColumn("slot", neighbour_slots(F.col("bucket")))
-        .select(_signature("slot", F.col("text")).alias("sig"), "bucket", "key")
+        _cut(texts, threshold)
+        .withColumn("slot", neighbour_slots("bucket"))
+        .selectExpr("xxhash64(slot, p, q, i, substr(key, start + 1, width)) AS sig", "bucket", "key")
     )
 
 
@@ -99,53 +86,36 @@ def _windows(cells: DataFrame, threshold: int) -> DataFrame:
 
     Segment i can be taken to have at most i edits before it and k - i behind it.
     """
-    shortest = F.ceil(F.col("q") * threshold / (200 - threshold)).cast("int")
-    cut = (
+    texts = (
         cells.where("key <> ''")
-        .withColumn("q", F.length("key"))
-        .withColumn("p", F.explode(F.sequence(shortest, F.col("q"))))
-        .withColumn("k", _budget(F.col("p"), F.col("q"), threshold))
-        .where("k >= q - p")
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k"))))
+        .selectExpr("bucket", "key", "length(key) AS q")
+        .withColumn("p", F.expr(f"explode(sequence(cast(q * {threshold} div {200 - threshold} AS int), q))"))
     )
-    gap = F.col("q") - F.col("p")
-    rest = F.col("k") - F.col("i")
-    shifts = F.sequence(F.greatest(-F.col("i"), gap - rest), F.least(F.col("i"), gap + rest))
-    start = _segment_start(F.col("i"), F.col("p"), F.col("k"))
-    end = _segment_start(F.col("i") + 1, F.col("p"), F.col("k"))
+    shifts = "sequence(greatest(-i, q - p - k + i), least(i, q - p + k - i))"
     return (
-        cut.withColumn("start", start)
-        .withColumn("width", end - start)
-        .withColumn("at", F.col("start") + F.explode(shifts))
-        .where("at >= 0 AND at + width <= q")
-        .withColumn("text", F.substr(F.col("key"), F.col("at") + 1, F.col("width")))
-        .select(_signature("bucket", F.col("text")).alias("sig"), "bucket", "key")
-        .distinct()
+        _cut(texts, threshold)
+        .withColumn("shift", F.expr(f"explode({shifts})"))
+        .where("start + shift >= 0 AND start + shift + width <= q")
+        .selectExpr("xxhash64(bucket, p, q, i, substr(key, start + shift + 1, width)) AS sig", "bucket", "key")
     )
 
 
-def _blocks(n: Column, policy: SkewPolicy) -> Column:
-    return F.ceil(n / policy.block_rows).cast("int")
-
-
 def _largest(df: DataFrame, key: str, n: str, policy: SkewPolicy) -> DataFrame:
     """Keys that need more than one block: a bounded list, the largest first."""
     return (
         df.where(F.col(n) > policy.block_rows)
         .orderBy(F.desc(n), key)
         .limit(policy.max_hot_keys)
-        .select(key, _blocks(F.col(n), policy).alias("blocks"))
+        .selectExpr(key, f"cast(ceil({n} / {policy.block_rows}) AS int) AS blocks")
     )
 
 
-def _block_of(id_column: Column, blocks: Column) -> Column:
-    return F.when(blocks.isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(id_column), blocks).cast("int")
-    )
+def _block_of(column: str) -> str:
+    return f"coalesce(cast(pmod(xxhash64({column}), blocks) AS int), 0)"
 
 
-def _all_blocks(blocks: Column) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.coalesce(blocks, F.lit(1)) - 1))
+def _all_blocks(blocks: str) -> str:
+    return f"explode(sequence(0, coalesce({blocks}, 1) - 1))"
 
 
 def similar_cells(
@@ -156,38 +126,28 @@ def similar_cells(
     A segment shared by very many names is split into blocks of the shorter side.
     """
     shorter, longer = _segments(cells, threshold), _windows(cells, threshold)
-    crowded = F.broadcast(
-        _largest(shorter.groupBy("sig").agg(F.count(F.lit(1)).alias("n")), "sig", "n", policy)
+    sizes = shorter.groupBy("sig").agg(F.expr("count(1) AS n"))
+    crowded = F.broadcast(_largest(sizes, "sig", "n", policy))
+    x = shorter.join(crowded, "sig", "left").selectExpr(
+        "sig", f"{_block_of('key')} AS block", "bucket AS bucket_x", "key AS x"
     )
-    x = shorter.join(crowded, "sig", "left").select(
-        "sig",
-        _block_of(F.col("key"), F.col("blocks")).alias("block"),
-        F.col("bucket").alias("bucket_x"),
-        F.col("key").alias("x"),
+    y = longer.join(crowded, "sig", "left").selectExpr(
+        "sig", f"{_all_blocks('blocks')} AS block", "bucket AS bucket_y", "key AS y"
     )
-    y = longer.join(crowded, "sig", "left").select(
-        "sig",
-        _all_blocks(F.col("blocks")).alias("block"),
-        F.col("bucket").alias("bucket_y"),
-        F.col("key").alias("y"),
-    )
-    total = F.length("x") + F.length("y")
+    total = "length(x) + length(y)"
     limit = allowed_distance(total, threshold)
     candidates = x.join(y, ["sig", "block"]).where(
-        (F.abs(F.col("bucket_x") - F.col("bucket_y")) <= 1)
-        & ((F.length("x") < F.length("y")) | (F.col("x") < F.col("y")))
-        & (F.call_function("levenshtein", F.col("x"), F.col("y"), limit) >= 0)
+        f"""abs(bucket_x - bucket_y) <= 1
+            AND (length(x) < length(y) OR (length(x) = length(y) AND x < y))
+            AND levenshtein(x, y, {limit}) >= 0"""
     )
     # A name pair is scored once. Its bucket pairs are bounded by the range of dates.
     named = candidates.groupBy("x", "y").agg(
-        F.collect_set(F.struct("bucket_x", "bucket_y")).alias("places")
+        F.expr("collect_set(struct(bucket_x, bucket_y)) AS places")
     )
-    scored = named.withColumn("distance", F.explode(F.array(indel_distance(F.col("x"), F.col("y")))))
-    return scored.where(F.col("distance") <= limit).select(
-        "x",
-        "y",
-        similarity(F.col("distance"), total).alias("score"),
-        F.inline("places"),
+    scored = named.withColumn("distance", F.expr(f"explode(array({indel_distance('x', 'y')}))"))
+    return scored.where(f"distance <= {limit}").selectExpr(
+        "x", "y", f"{similarity('distance', total)} AS score", "inline(places)"
     )
 
 
@@ -204,49 +164,46 @@ def flag_probable(
     if the nearest date of a similar cell in an adjacent bucket lies within the window.
     So three numbers per cell decide, and no pair is formed.
     """
-    other = cells.select(F.col("bucket").alias("other_bucket"), F.col("key").alias("other"), "min_t", "max_t")
-    ends = [("bucket_x", "x", "bucket_y", "y"), ("bucket_y", "y", "bucket_x", "x")]
-    sides = [
-        similar.select(
-            F.col(b).alias("bucket"), F.col(k).alias("key"),
-            F.col(ob).alias("other_bucket"), F.col(o).alias("other"),
-        )
-        for b, k, ob, o in ends
-    ]
-    step = F.col("other_bucket") - F.col("bucket")
-    by_similar = (
-        sides[0].unionAll(sides[1]).join(other, ["other_bucket", "other"])
-        .select(
-            "bucket", "key",
-            (step == 0).alias("close"),
-            F.when(step == 1, F.col("min_t")).alias("next_t"),
-            F.when(step == -1, F.col("max_t")).alias("previous_t"),
-        )
+    sides = similar.selectExpr(
+        "inline(array(struct(bucket_x AS bucket, x AS key, bucket_y AS other_bucket, y AS other),"
+        " struct(bucket_y AS bucket, y AS key, bucket_x AS other_bucket, x AS other)))"
+    )
+    others = cells.selectExpr("bucket AS other_bucket", "key AS other", "min_t", "max_t")
+    by_similar = sides.join(others, ["other_bucket", "other"]).selectExpr(
+        "bucket",
+        "key",
+        "other_bucket = bucket AS close",
+        "CASE WHEN other_bucket > bucket THEN min_t END AS next_t",
+        "CASE WHEN other_bucket < bucket THEN max_t END AS previous_t",
     )
     along = Window.partitionBy("key").orderBy("bucket")
+    next_t = F.when(F.lead("bucket").over(along) == F.col("bucket") + 1, F.lead("min_t").over(along))
+    previous_t = F.when(F.lag("bucket").over(along) == F.col("bucket") - 1, F.lag("max_t").over(along))
     by_same = cells.select(
-        "bucket", "key",
+        "bucket",
+        "key",
         (F.col("n") > 1).alias("close"),
-        F.when(F.lead("bucket").over(along) == F.col("bucket") + 1, F.lead("min_t").over(along)).alias("next_t"),
-        F.when(F.lag("bucket").over(along) == F.col("bucket") - 1, F.lag("max_t").over(along)).alias("previous_t"),
+        next_t.alias("next_t"),
+        previous_t.alias("previous_t"),
     ).where("close OR next_t IS NOT NULL OR previous_t IS NOT NULL")
     reach = (
         by_same.unionAll(by_similar)
         .groupBy("bucket", "key")
-        .agg(F.max("close").alias("close"), F.min("next_t").alias("next_t"), F.max("previous_t").alias("previous_t"))
-        .select(_cell(F.col("bucket"), F.col("key")).alias("_cell"), "close", "next_t", "previous_t")
+        .agg(F.expr("max(close) AS close"), F.expr("min(next_t) AS next_t"), F.expr("max(previous_t) AS previous_t"))
+        .selectExpr(f"{_cell('bucket', 'key')} AS _cell", "close", "next_t", "previous_t")
     )
     hot = (
         cells.where(F.col("n") >= policy.hot_rows)
         .orderBy(F.desc("n"), "bucket", "key")
         .limit(policy.max_hot_keys)
-        .select(_cell(F.col("bucket"), F.col("key")).alias("_cell"))
+        .selectExpr(f"{_cell('bucket', 'key')} AS _cell")
     )
     width = window_micros(days)
-    t = F.col("_t")
-    flag = F.col("close") | (t >= F.col("next_t") - width) | (t <= F.col("previous_t") + width)
     joined = lookup(_with_cell(df, days), reach, "_cell", "employee_id", policy, hot)
-    return joined.select(*df.columns, F.coalesce(flag, F.lit(False)).alias("probable_match_flag"))
+    return joined.selectExpr(
+        *df.columns,
+        f"coalesce(close OR _t >= next_t - {width} OR _t <= previous_t + {width}, false) AS probable_match_flag",
+    )
 
 
 def fuzzy_pairs(
@@ -262,62 +219,56 @@ def fuzzy_pairs(
     date are produced by many tasks.
     """
     large = F.broadcast(
-        _largest(cells.select(_cell(F.col("bucket"), F.col("key")).alias("_cell"), "n"), "_cell", "n", policy)
+        _largest(cells.selectExpr(f"{_cell('bucket', 'key')} AS cell", "n"), "cell", "n", policy)
     )
     records = (
         _with_cell(df, days)
-        .where("_t IS NOT NULL")
-        .join(large, "_cell", "left")
-        .select(
-            "_cell",
-            _block_of(F.col("employee_id"), F.col("blocks")).alias("_block"),
-            F.struct(
-                F.col("_t").alias("t"),
-                F.col("employee_id").alias("id"),
-                title_case(_name()).alias("name"),
-                F.col("source_systems").alias("source"),
-            ).alias("r"),
+        .where("_cell IS NOT NULL")
+        .withColumnRenamed("_cell", "cell")
+        .join(large, "cell", "left")
+        .selectExpr(
+            "cell",
+            f"{_block_of('employee_id')} AS block",
+            f"struct(_t AS t, employee_id AS id, {title_case(_NAME)} AS name, source_systems AS source) AS r",
         )
     )
-    key_cell = _cell(F.col("bucket"), F.col("key"))
-    same = cells.where("n > 1").select(key_cell.alias("cell_1"), key_cell.alias("cell_2"), F.lit(100.0).alias("score"))
+    own = _cell("bucket", "key")
+    same = cells.where("n > 1").selectExpr(f"{own} AS cell_1", f"{own} AS cell_2", "100.0D AS score")
     along = Window.partitionBy("key").orderBy("bucket")
-    beside = cells.select(
-        key_cell.alias("cell_1"),
-        F.when(F.lead("bucket").over(along) == F.col("bucket") + 1, _cell(F.col("bucket") + 1, F.col("key"))).alias("cell_2"),
-        F.lit(100.0).alias("score"),
-    ).where("cell_2 IS NOT NULL")
-    different = similar.select(
-        _cell(F.col("bucket_x"), F.col("x")).alias("cell_1"),
-        _cell(F.col("bucket_y"), F.col("y")).alias("cell_2"),
-        "score",
+    beside = (
+        cells.withColumn("follower", F.lead("bucket").over(along))
+        .where("follower = bucket + 1")
+        .selectExpr(f"{own} AS cell_1", f"{_cell('follower', 'key')} AS cell_2", "100.0D AS score")
+    )
+    different = similar.selectExpr(
+        f"{_cell('bucket_x', 'x')} AS cell_1", f"{_cell('bucket_y', 'y')} AS cell_2", "score"
     )
     links = (
-        same.unionAll(beside).unionAll(different)
-        .join(large.select(F.col("_cell").alias("cell_1"), F.col("blocks").alias("blocks_1")), "cell_1", "left")
-        .join(large.select(F.col("_cell").alias("cell_2"), F.col("blocks").alias("blocks_2")), "cell_2", "left")
-        .withColumn("block_1", _all_blocks(F.col("blocks_1")))
+        same.unionAll(beside)
+        .unionAll(different)
+        .join(large.selectExpr("cell AS cell_1", "blocks AS blocks_1"), "cell_1", "left")
+        .join(large.selectExpr("cell AS cell_2", "blocks AS blocks_2"), "cell_2", "left")
     )
-    one = records.select(F.col("_cell").alias("cell_1"), F.col("_block").alias("block_1"), F.col("r").alias("a"))
-    two = records.select(F.col("_cell").alias("cell_2"), F.col("_block").alias("block_2"), F.col("r").alias("b"))
-    a, b = F.struct("a.t", "a.id"), F.struct("b.t", "b.id")
-    pairs = (
-        links.join(one, ["cell_1", "block_1"])
-        .withColumn("block_2", _all_blocks(F.col("blocks_2")))
+    one = records.selectExpr("cell AS cell_1", "block AS block_1", "r AS a")
+    two = records.selectExpr("cell AS cell_2", "block AS block_2", "r AS b")
+    earlier = "(a.t < b.t OR (a.t = b.t AND a.id < b.id))"
+    return (
+        links.withColumn("block_1", F.expr(_all_blocks("blocks_1")))
+        .join(one, ["cell_1", "block_1"])
+        .withColumn("block_2", F.expr(_all_blocks("blocks_2")))
         .join(two, ["cell_2", "block_2"])
-        .where((F.col("cell_1") != F.col("cell_2")) | (a < b))
-        .where(F.abs(F.col("a.t") - F.col("b.t")) <= window_micros(days))
-    )
-    first, second = F.when(a < b, F.col("a")).otherwise(F.col("b")), F.when(a < b, F.col("b")).otherwise(F.col("a"))
-    ordered = pairs.select(first.alias("r1"), second.alias("r2"), "score")
-    return ordered.select(
-        F.col("r1.id").alias("record_1_id"),
-        F.col("r2.id").alias("record_2_id"),
-        F.col("r1.name").alias("record_1_name"),
-        F.col("r2.name").alias("record_2_name"),
-        F.col("score").alias("similarity_score"),
-        F.floor((F.col("r2.t") - F.col("r1.t")) / MICROS_PER_DAY).cast("int").alias("hire_date_diff_days"),
-        F.col("r1.source").alias("record_1_source"),
-        F.col("r2.source").alias("record_2_source"),
-        F.lit("REVIEW").alias("recommended_action"),
+        .where(f"cell_1 <> cell_2 OR {earlier}")
+        .where(f"abs(a.t - b.t) <= {window_micros(days)}")
+        .selectExpr(f"if({earlier}, a, b) AS r1", f"if({earlier}, b, a) AS r2", "score")
+        .selectExpr(
+            "r1.id AS record_1_id",
+            "r2.id AS record_2_id",
+            "r1.name AS record_1_name",
+            "r2.name AS record_2_name",
+            "score AS similarity_score",
+            f"cast((r2.t - r1.t) div {MICROS_PER_DAY} AS int) AS hire_date_diff_days",
+            "r1.source AS record_1_source",
+            "r2.source AS record_2_source",
+            "'REVIEW' AS recommended_action",
+        )
     )

@@ -12,7 +12,7 @@ from rillweave.functions.text import full_name
 def ghost_report(df: DataFrame) -> DataFrame:
     return df.select(
         F.col("employee_id").alias("payroll_employee_id"),
-        full_name(F.col("first_name"), F.col("last_name")).alias("name"),
+        F.expr(full_name("first_name", "last_name")).alias("name"),
         "salary_usd_annual",
         F.lit(GHOST_REASON).alias("ghost_flag_reason"),
     )

@@ -12,14 +12,15 @@ def window_micros(days: int) -> int:
     return days * MICROS_PER_DAY
 
 
-def bucket_of(micros: Column, days: int) -> Column:
+def bucket_of(micros: str, days: int) -> str:
     """Buckets as wide as the window: partners lie in the same or an adjacent one."""
-    return F.floor(micros / window_micros(days)).cast("int")
+    width = window_micros(days)
+    return f"cast(({micros} - pmod({micros}, {width})) div {width} AS int)"
 
 
-def neighbour_slots(bucket: Column) -> Column:
+def neighbour_slots(bucket: str) -> Column:
     """Generator: the bucket and the two beside it."""
-    return F.explode(F.array(bucket - 1, bucket, bucket + 1))
+    return F.expr(f"explode(array({bucket} - 1, {bucket}, {bucket} + 1))")
 
 
 def interval_partners(df: DataFrame, column: str, days: int) -> DataFrame:
@@ -36,12 +37,12 @@ def interval_partners(df: DataFrame, column: str, days: int) -> DataFrame:
         df.where(F.col(column).isNotNull())
         .groupBy(column)
         .agg(F.count(F.lit(1)).alias("records"))
-        .withColumn("_t", epoch_micros(F.col(column)))
-        .withColumn("_bucket", bucket_of(F.col("_t"), days))
+        .withColumn("_t", F.expr(epoch_micros(column)))
+        .withColumn("_bucket", F.expr(bucket_of("_t", days)))
     )
     frame = Window.partitionBy("_slot").orderBy("_t").rangeBetween(-width, width)
     return (
-        instants.withColumn("_slot", neighbour_slots(F.col("_bucket")))
+        instants.withColumn("_slot", neighbour_slots("_bucket"))
         .withColumn("_reach", F.sum("records").over(frame))
         .where("_slot = _bucket")
         .select(column, "records", (F.col("_reach") - 1).alias("partners"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillweave.config import SkewPolicy
-from rillweave.functions.dates import MICROS_PER_DAY, epoch_micros, timestamp_literal
+from rillweave.functions.dates import MICROS_PER_DAY, epoch_micros, timestamp
 
 TENURE_BINS = 25
 TENURE_MAX_YEARS = 50
@@ -71,7 +71,7 @@ def tenure_histogram(df: DataFrame, as_of: date | str) -> DataFrame:
     50 × 366 rows.
     """
     spark = df.sparkSession
-    elapsed = epoch_micros(timestamp_literal(str(as_of))) - epoch_micros(F.col("hire_date"))
+    elapsed = F.expr(f"{epoch_micros(timestamp(as_of))} - {epoch_micros('hire_date')}")
     years = F.col("days") / 365.25
     days = (
         df.where(F.col("hire_date").isNotNull())

@@ -12,7 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillweave.config import DEFAULT, IntegrationConfig
-from rillweave.functions.dates import parse_date, timestamp_literal
+from rillweave.functions.dates import (
+    from_iso_order,
+    iso_order,
+    layout_number,
+    readable,
+    timestamp,
+)
 from rillweave.functions.money import to_double
 from rillweave.functions.text import strip
 
@@ -108,7 +114,7 @@ class DataQuality:
         if column not in self.df.columns:
             return self._skip(name, f"{column} in [{low}, {high}]")
         if isinstance(self.df.schema[column].dataType, T.StringType):
-            value = to_double(strip(F.col(column)))
+            value = F.expr(to_double(strip(column)))
         else:
             value = F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
         description = f"{column} between {low:,} and {high:,}"
@@ -121,10 +127,12 @@ class DataQuality:
         if column not in self.df.columns:
             return self._skip(name, description)
         if isinstance(self.df.schema[column].dataType, T.StringType):
-            value = parse_date(F.col(column), self.config.date_rules)
+            text, rules = strip(column), self.config.date_rules
+            iso = iso_order(text, f"({layout_number(text, rules)})", rules)
+            value = F.expr(readable(from_iso_order(iso)))
         else:
             value = F.col(column).cast("timestamp_ntz")
-        earliest, latest = timestamp_literal(low), timestamp_literal(high or self.as_of)
+        earliest, latest = F.expr(timestamp(low)), F.expr(timestamp(high or self.as_of))
         return self._among(name, description, value, (value < earliest) | (value > latest))
 
     def check_referential_integrity(self, fk: str, pk: str) -> DataQuality:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from rillweave.config import NULL_SENTINELS, SOURCE_PRIORITY, UNKNOWN_PRIORITY
 from rillweave.functions.taxonomy import source_priority
-from rillweave.functions.text import nullify
+from rillweave.functions.text import nullify, one_of
 
 _META = ("source_system", "source_systems", "dedup_method", "_src", "_ord")
 
@@ -20,16 +20,7 @@ def nullify_sentinels(
 ) -> DataFrame:
     """Text that spells a missing value becomes null, in every string column."""
     texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType) and f.name not in keep]
-    return df.withColumns({c: nullify(F.col(c), sentinels) for c in texts})
-
-
-def provenance(source: Column) -> Column:
-    """Aggregate: distinct source names, sorted, comma-joined."""
-    return F.array_join(F.array_sort(F.collect_set(source)), ",")
-
-
-def merge_method(source_systems: Column) -> Column:
-    return F.when(source_systems.contains(","), F.lit("exact_id")).otherwise(F.lit("single_source"))
+    return df.withColumns({c: F.expr(nullify(c, sentinels)) for c in texts})
 
 
 def exact_merge(
@@ -45,21 +36,28 @@ def exact_merge(
     the shuffle and no group is ever held or sorted as a whole: a key that owns a third of
     all rows costs one row per task. Rows without a key drop out.
     """
-    rows = nullify_sentinels(df, sentinels, keep=("source_system",)).where(F.col(key).isNotNull())
-    rank = source_priority(F.col("source_system"), priority, UNKNOWN_PRIORITY)
-    rows = rows.withColumn("_rank", F.struct(rank.alias("p"), *order))
+    present = f"CASE WHEN NOT {one_of(key, sentinels)} THEN {key} END"
+    rank = source_priority("source_system", priority, UNKNOWN_PRIORITY)
+    rows = df.withColumns({key: F.expr(present), "_rank": F.struct(F.expr(rank).alias("p"), *order)})
+    texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
     values = [c for c in df.columns if c != key and c not in _META]
 
     def best(c: str) -> Column:
-        ranked = F.when(F.col(c).isNotNull(), F.struct("_rank", F.col(c).alias("v")))
-        return F.min(ranked).alias(c)
-
-    merged = rows.groupBy(key).agg(
-        *(best(c) for c in values), provenance(F.col("source_system")).alias("source_systems")
-    )
-    return merged.select(
-        key,
-        *(F.col(c)["v"].alias(c) for c in values),
-        "source_systems",
-        merge_method(F.col("source_systems")).alias("dedup_method"),
+        usable = f"NOT {one_of(c, sentinels)}" if c in texts else f"{c} IS NOT NULL"
+        return F.expr(f"min(CASE WHEN {usable} THEN struct(_rank, {c} AS v) END) AS {c}")
+
+    # Distinct source names: as many as there are sources, whatever the group.
+    sources = F.expr("array_join(array_sort(collect_set(source_system)), ',') AS source_systems")
+    # Rows without a key leave after the aggregation: a test on the key itself would be pushed
+    # down to the scans and repeat all expressions that make up the key.
+    return (
+        rows.groupBy(key)
+        .agg(*(best(c) for c in values), sources, F.count(key).alias("_keyed"))
+        .where("_keyed > 0")
+        .selectExpr(
+            key,
+            *(f"{c}.v AS {c}" for c in values),
+            "source_systems",
+            "CASE WHEN contains(source_systems, ',') THEN 'exact_id' ELSE 'single_source' END AS dedup_method",
+        )
     )

@@ -2,83 +2,117 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillweave.config import DEFAULT, IntegrationConfig
-from rillweave.functions.dates import out_of_range_flag, parse_date
-from rillweave.functions.ids import namespace_id, namespace_reference
-from rillweave.functions.money import annual_usd, parse_money
-from rillweave.functions.taxonomy import category, department, unmapped_department
-from rillweave.functions.text import clean_name, nfc
+from rillweave.functions.dates import from_iso_order, iso_order, layout_number, out_of_range_flag, readable
+from rillweave.functions.ids import id_number, id_prefix, namespaced
+from rillweave.functions.money import annual_usd, positive, round_cents, to_double, without_symbols
+from rillweave.functions.taxonomy import category, known_department
+from rillweave.functions.text import clean_name, nullify, strip, title_case
 from rillweave.sources.extracts import union_sources
 
 NAME_COLUMNS = ("first_name", "last_name")
+ID_COLUMNS = ("employee_id", "manager_id")
 DATE_COLUMNS = ("hire_date", "effective_date", "enrollment_date")
 NUMERIC_EXTRAS = ("bonus_target_pct", "premium_employee", "premium_employer")
 
 
+def with_layers(df: DataFrame, *layers: Mapping[str, str]) -> DataFrame:
+    """Expressions in layers: what a later layer uses several times is computed once.
+
+    Columns whose name starts with ``_t_`` are dropped at the end.
+    """
+    for layer in layers:
+        df = df.withColumns({c: F.expr(text) for c, text in layer.items()})
+    return df.drop(*(c for c in df.columns if c.startswith("_t_")))
+
+
 def normalize_names(df: DataFrame) -> DataFrame:
-    composed = df.withColumns({c: nfc(F.col(c)) for c in NAME_COLUMNS})
-    return composed.withColumns({c: clean_name(F.col(c)) for c in NAME_COLUMNS})
+    return with_layers(df, {c: clean_name(c) for c in NAME_COLUMNS})
 
 
 def namespace_employee_ids(df: DataFrame, config: IntegrationConfig = DEFAULT) -> DataFrame:
-    context = (F.col("source_system"), F.col("payroll_company_source"), config.id_namespace)
-    return df.withColumns(
-        {
-            "employee_id": namespace_id(F.col("employee_id"), *context),
-            "manager_id": namespace_reference(F.col("manager_id"), *context),
-        }
-    )
+    context = ("source_system", "payroll_company_source", config.id_namespace)
+    stripped = {"employee_id": strip("employee_id")}
+    # A reference may be absent; blank and spelled-out nulls count as absent too.
+    stripped["manager_id"] = strip("manager_id")
+    nulled = {"manager_id": nullify("manager_id", config.null_sentinels)}
+    parts = {f"_t_{c}_number": id_number(c) for c in ID_COLUMNS}
+    parts |= {f"_t_{c}_prefix": id_prefix(c, *context) for c in ID_COLUMNS}
+    whole = {c: namespaced(c, f"_t_{c}_prefix", f"_t_{c}_number") for c in ID_COLUMNS}
+    return with_layers(df, stripped, nulled, parts, whole)
 
 
 def normalize_employment_types(df: DataFrame, config: IntegrationConfig = DEFAULT) -> DataFrame:
-    value = category(F.col("employment_type"), config.employment_types)
-    return df.withColumn("employment_type", value)
+    c = "employment_type"
+    value = category(c, "_t_title", config.employment_types)
+    return with_layers(df, {c: strip(c)}, {"_t_title": title_case(c)}, {c: value})
+
+
+def _departments(df: DataFrame, config: IntegrationConfig) -> DataFrame:
+    """Stripped department, null when empty, and the standard name found for it."""
+    c = "department"
+    known = known_department(c, config.departments, config.standard_departments)
+    stripped, absent = {c: strip(c)}, {c: nullify(c, ("", "nan"))}
+    return with_layers(df, stripped, absent, {"_known": known})
 
 
 def map_departments(df: DataFrame, config: IntegrationConfig = DEFAULT) -> DataFrame:
-    value = department(F.col("department"), config.departments, config.standard_departments)
-    return df.withColumn("department", value)
+    """Unknown names stay as they are."""
+    found = _departments(df, config)
+    return found.withColumn("department", F.coalesce("_known", "department")).drop("_known")
 
 
 def unmapped_departments(df: DataFrame, config: IntegrationConfig = DEFAULT) -> DataFrame:
     """Department names no rule knows, with their frequency."""
-    value = unmapped_department(F.col("department"), config.departments, config.standard_departments)
     return (
-        df.select(value.alias("department"))
-        .where("department IS NOT NULL")
+        _departments(df.select("department"), config)
+        .where("_known IS NULL AND department IS NOT NULL")
         .groupBy("department")
         .agg(F.count(F.lit(1)).alias("records"))
     )
 
 
+def parse_date_columns(
+    df: DataFrame, columns: Sequence[str], config: IntegrationConfig = DEFAULT
+) -> DataFrame:
+    return with_layers(
+        df,
+        {c: strip(c) for c in columns},
+        {f"_t_{c}": layout_number(c, config.date_rules) for c in columns},
+        {c: iso_order(c, f"_t_{c}", config.date_rules) for c in columns},
+        {c: from_iso_order(c) for c in columns},
+        {c: readable(c) for c in columns},
+    )
+
+
 def normalize_dates(
     df: DataFrame, as_of: date | str, config: IntegrationConfig = DEFAULT
 ) -> DataFrame:
-    parsed = df.withColumns({c: parse_date(F.col(c), config.date_rules) for c in DATE_COLUMNS})
-    flag = out_of_range_flag(F.col("hire_date"), "hire_date", config.hire_date_min, as_of)
-    return parsed.withColumn("hire_date_flag", flag)
+    flag = out_of_range_flag("hire_date", "hire_date", config.hire_date_min, as_of)
+    return with_layers(parse_date_columns(df, DATE_COLUMNS, config), {"hire_date_flag": flag})
 
 
 def normalize_salaries(df: DataFrame, config: IntegrationConfig = DEFAULT) -> DataFrame:
-    parsed = df.withColumn("base_salary", parse_money(F.col("base_salary")))
-    annual = annual_usd(
-        F.col("base_salary"),
-        F.col("currency"),
-        F.col("pay_frequency"),
-        config.fx_to_usd,
-        config.periods_per_year,
+    base, annual = "base_salary", "salary_usd_annual"
+    usd = annual_usd(base, "currency", "pay_frequency", config.fx_to_usd, config.periods_per_year)
+    return with_layers(
+        df,
+        {base: without_symbols(base)},
+        {base: to_double(base)},
+        {base: positive(base)},
+        {annual: usd},
+        {annual: round_cents(annual)},
     )
-    return parsed.withColumn("salary_usd_annual", annual)
 
 
 def cast_numeric_extras(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.col(c).try_cast("double") for c in NUMERIC_EXTRAS})
+    return with_layers(df, {c: f"try_cast({c} AS double)" for c in NUMERIC_EXTRAS})
 
 
 def clean(df: DataFrame, as_of: date | str, config: IntegrationConfig = DEFAULT) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillweave.config import API, BENEFITS, DEFAULT, HRIS, PAYROLL, IntegrationConfig
-from rillweave.functions.text import is_blank, strip
+from rillweave.functions.text import is_blank, quote, strip
 
 # Target column -> path in a nested record (fixed values).
 API_PATHS = {
@@ -78,6 +78,15 @@ class Extract:
         )
 
 
+def fence(df: DataFrame) -> DataFrame:
+    """The same rows behind a generator.
+
+    A predicate on computed columns would be pushed below their computation and repeat it;
+    predicates on generated columns stay where they are.
+    """
+    return df.select(F.inline(F.array(F.struct("*"))))
+
+
 def align(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add the missing standard columns as null; extra columns stay, behind them."""
     present = set(df.columns)
@@ -90,13 +99,16 @@ def missing_fields_reason(
 ) -> Column:
     """``Missing required fields: ['a', 'b']`` or null. A null passes unless told otherwise."""
 
-    def missing(c: str) -> Column:
+    def missing(c: str) -> str:
         if c not in df.columns:
-            return F.lit(True)
-        return F.coalesce(is_blank(F.col(c)), F.lit(null_is_missing))
+            return "true"
+        return f"coalesce({is_blank(c)}, {null_is_missing})"
 
-    names = F.concat_ws(", ", *(F.when(missing(c), F.lit(f"'{c}'")) for c in required))
-    return F.when(names != "", F.concat(F.lit("Missing required fields: ["), names, F.lit("]")))
+    names = ", ".join(f"CASE WHEN {missing(c)} THEN {quote(repr(c))} END" for c in required)
+    listed = f"concat_ws(', ', {names})"
+    return F.expr(
+        f"CASE WHEN {listed} <> '' THEN concat('Missing required fields: [', {listed}, ']') END"
+    )
 
 
 def _quarantined(df: DataFrame, name: str, config: IntegrationConfig) -> Extract:
@@ -120,34 +132,34 @@ def payroll_extract(raw: DataFrame, config: IntegrationConfig = DEFAULT) -> Extr
 def benefits_extract(raw: DataFrame, config: IntegrationConfig = DEFAULT) -> Extract:
     """XML elements. An absent text field counts as empty, an absent premium as null."""
     texts = ("employee_id", "plan_type", "coverage_level", "enrollment_date")
-    rows = raw.withColumns({c: strip(F.coalesce(c, F.lit(""))) for c in texts})
+    rows = raw.withColumns({c: F.expr(strip(f"coalesce({c}, '')")) for c in texts})
     reason = F.when(F.col("employee_id") == "", F.lit("Missing employee_id"))
     return Extract(BENEFITS, rows.withColumn("_reason", reason))
 
 
 def _leaf(path: str) -> Column:
     """Absent gives empty text, an explicit null gives null."""
-    value = F.try_variant_get("doc", path, "variant")
-    text = F.coalesce(F.try_variant_get("doc", path, "string"), F.to_json(value))
-    return F.when(value.isNull(), F.lit("")).when(~F.is_variant_null(value), text)
+    value = f"try_variant_get(doc, '{path}', 'variant')"
+    text = f"coalesce(try_variant_get(doc, '{path}', 'string'), to_json({value}))"
+    return F.expr(
+        f"CASE WHEN {value} IS NULL THEN '' WHEN NOT is_variant_null({value}) THEN {text} END"
+    )
 
 
 def _parse_error() -> Column:
     """Why a record cannot be flattened: it, or a parent object in it, is no object."""
 
-    def no_object(v: Column) -> Column:
-        return ~F.schema_of_variant(v).startswith("OBJECT")
+    def no_object(value: str) -> str:
+        return f"NOT startswith(schema_of_variant({value}), 'OBJECT')"
 
-    error = F.when(
-        F.col("doc").isNull() | no_object(F.col("doc")),
-        F.lit("Parse error: record is not an object"),
-    )
+    cases = [f"WHEN doc IS NULL OR {no_object('doc')} THEN 'Parse error: record is not an object'"]
     for parent in API_PARENTS:
-        value = F.try_variant_get("doc", f"$.{parent}", "variant")
-        error = error.when(
-            value.isNotNull() & no_object(value), F.lit(f"Parse error: {parent} is not an object")
+        value = f"try_variant_get(doc, '$.{parent}', 'variant')"
+        cases.append(
+            f"WHEN {value} IS NOT NULL AND {no_object(value)} "
+            f"THEN 'Parse error: {parent} is not an object'"
         )
-    return error
+    return F.expr(f"CASE {' '.join(cases)} END")
 
 
 def api_extract(raw: DataFrame, config: IntegrationConfig = DEFAULT) -> Extract:
@@ -155,17 +167,13 @@ def api_extract(raw: DataFrame, config: IntegrationConfig = DEFAULT) -> Extract:
     flat = raw.select(
         *(_leaf(path).alias(c) for c, path in API_PATHS.items()),
         "_ord",
-        _parse_error().alias("_error"),
         "doc",
+        _parse_error().alias("_error"),
     )
-    missing = missing_fields_reason(flat, config.required_fields[API], config.null_is_missing)
-    rows = flat.withColumns(
-        {
-            "_reason": F.coalesce("_error", missing),
-            "_raw": F.when(F.col("_error").isNotNull(), F.to_json("doc")),
-        }
-    )
-    return Extract(API, rows.drop("_error", "doc"))
+    raw_text = F.when(F.col("_error").isNotNull(), F.to_json("doc"))
+    rows = fence(flat.withColumn("_raw", raw_text).drop("doc"))
+    missing = missing_fields_reason(rows, config.required_fields[API], config.null_is_missing)
+    return Extract(API, rows.withColumn("_reason", F.coalesce("_error", missing)).drop("_error"))
 
 
 EXTRACTORS = {
