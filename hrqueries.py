@@ -27,6 +27,7 @@ from rillweave.sources.extracts import (
     api_extract,
     benefits_extract,
     dead_letters,
+    fence,
     hris_extract,
     ingest_counts,
     payroll_extract,
@@ -96,9 +97,10 @@ def _ordered(df: DataFrame, *columns) -> DataFrame:
 @query
 def scan_csv_hris(spark: SparkSession, sf: str) -> DataFrame:
     view = fixture(spark, sf, "fx_hris")
-    line = F.to_csv(F.struct(*HRIS_FIELDS), {"escape": '"'})
+    verbatim = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    line = F.to_csv(F.struct(*HRIS_FIELDS), verbatim)
     schema = ", ".join(f"{c} string" for c in HRIS_FIELDS)
-    parsed = view.select(F.from_csv(line, schema, {"escape": '"'}).alias("r"), "_ord").select("r.*", "_ord")
+    parsed = view.select(F.from_csv(line, schema, verbatim).alias("r"), "_ord").select("r.*", "_ord")
     return _ordered(hris_extract(parsed).rows, *HRIS_FIELDS)
 
 
@@ -194,10 +196,12 @@ QUERIES["union_sources"] = QUERIES.pop("union_all_sources")
 @query
 def nfc_names(spark: SparkSession, sf: str) -> DataFrame:
     """Names with their diaeresis written as a combining mark, composed again."""
-    view = fixture(spark, sf, "fx_hris")
-    split = F.replace(F.replace("first_name", F.lit("ë"), F.lit("ë")), F.lit("ü"), F.lit("ü"))
-    last = F.replace("last_name", F.lit("ü"), F.lit("ü"))
-    rows = view.withColumns({"first_name": split, "last_name": last})
+    parts = {"\u00eb": "e\u0308", "\u00fc": "u\u0308"}
+    apart = {
+        c: f"replace(replace({c}, '\u00eb', '{parts[chr(0xEB)]}'), '\u00fc', '{parts[chr(0xFC)]}')"
+        for c in cleaning.NAME_COLUMNS
+    }
+    rows = fence(fixture(spark, sf, "fx_hris").withColumns({c: F.expr(x) for c, x in apart.items()}))
     return _ordered(rows, *(F.expr(f"{strip(nfc(c))} AS {c}") for c in cleaning.NAME_COLUMNS))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
+from itertools import zip_longest
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,109 +23,135 @@ DATE_COLUMNS = ("hire_date", "effective_date", "enrollment_date")
 NUMERIC_EXTRAS = ("bonus_target_pct", "premium_employee", "premium_employer")
 
 
-def with_layers(df: DataFrame, *layers: Mapping[str, str]) -> DataFrame:
-    """Expressions in layers: what a later layer uses several times is computed once.
+Layers = list[dict[str, str]]
 
+
+def with_layers(df: DataFrame, *steps: Layers) -> DataFrame:
+    """Apply expressions in layers: what a later layer uses several times is computed once.
+
+    Steps are independent of each other, so their layers of equal depth go together.
     Columns whose name starts with ``_t_`` are dropped at the end.
     """
-    for layer in layers:
-        df = df.withColumns({c: F.expr(text) for c, text in layer.items()})
+    for parts in zip_longest(*steps, fillvalue={}):
+        layer = {c: F.expr(text) for part in parts for c, text in part.items()}
+        df = df.withColumns(layer)
     return df.drop(*(c for c in df.columns if c.startswith("_t_")))
 
 
-def normalize_names(df: DataFrame) -> DataFrame:
-    return with_layers(df, {c: clean_name(c) for c in NAME_COLUMNS})
+def name_layers() -> Layers:
+    return [{c: clean_name(c) for c in NAME_COLUMNS}]
 
 
-def namespace_employee_ids(df: DataFrame, config: IntegrationConfig = DEFAULT) -> DataFrame:
+def id_layers(config: IntegrationConfig = DEFAULT) -> Layers:
+    """A reference (manager) may be absent; blank and spelled-out nulls count as absent too."""
     context = ("source_system", "payroll_company_source", config.id_namespace)
-    stripped = {"employee_id": strip("employee_id")}
-    # A reference may be absent; blank and spelled-out nulls count as absent too.
-    stripped["manager_id"] = strip("manager_id")
-    nulled = {"manager_id": nullify("manager_id", config.null_sentinels)}
     parts = {f"_t_{c}_number": id_number(c) for c in ID_COLUMNS}
     parts |= {f"_t_{c}_prefix": id_prefix(c, *context) for c in ID_COLUMNS}
-    whole = {c: namespaced(c, f"_t_{c}_prefix", f"_t_{c}_number") for c in ID_COLUMNS}
-    return with_layers(df, stripped, nulled, parts, whole)
+    return [
+        {c: strip(c) for c in ID_COLUMNS},
+        {"manager_id": nullify("manager_id", config.null_sentinels)},
+        parts,
+        {c: namespaced(c, f"_t_{c}_prefix", f"_t_{c}_number") for c in ID_COLUMNS},
+    ]
 
 
-def normalize_employment_types(df: DataFrame, config: IntegrationConfig = DEFAULT) -> DataFrame:
+def employment_type_layers(config: IntegrationConfig = DEFAULT) -> Layers:
     c = "employment_type"
     value = category(c, "_t_title", config.employment_types)
-    return with_layers(df, {c: strip(c)}, {"_t_title": title_case(c)}, {c: value})
+    return [{c: strip(c)}, {"_t_title": title_case(c)}, {c: value}]
 
 
-def _departments(df: DataFrame, config: IntegrationConfig) -> DataFrame:
+def _known_department_layers(config: IntegrationConfig) -> Layers:
     """Stripped department, null when empty, and the standard name found for it."""
     c = "department"
     known = known_department(c, config.departments, config.standard_departments)
-    stripped, absent = {c: strip(c)}, {c: nullify(c, ("", "nan"))}
-    return with_layers(df, stripped, absent, {"_known": known})
+    return [{c: strip(c)}, {c: nullify(c, ("", "nan"))}, {"_t_known": known}]
 
 
-def map_departments(df: DataFrame, config: IntegrationConfig = DEFAULT) -> DataFrame:
+def department_layers(config: IntegrationConfig = DEFAULT) -> Layers:
     """Unknown names stay as they are."""
-    found = _departments(df, config)
-    return found.withColumn("department", F.coalesce("_known", "department")).drop("_known")
-
-
-def unmapped_departments(df: DataFrame, config: IntegrationConfig = DEFAULT) -> DataFrame:
-    """Department names no rule knows, with their frequency."""
-    return (
-        _departments(df.select("department"), config)
-        .where("_known IS NULL AND department IS NOT NULL")
-        .groupBy("department")
-        .agg(F.count(F.lit(1)).alias("records"))
-    )
+    return [*_known_department_layers(config), {"department": "coalesce(_t_known, department)"}]
 
 
-def parse_date_columns(
-    df: DataFrame, columns: Sequence[str], config: IntegrationConfig = DEFAULT
-) -> DataFrame:
-    return with_layers(
-        df,
+def date_layers(columns: Sequence[str], config: IntegrationConfig = DEFAULT) -> Layers:
+    return [
         {c: strip(c) for c in columns},
         {f"_t_{c}": layout_number(c, config.date_rules) for c in columns},
         {c: iso_order(c, f"_t_{c}", config.date_rules) for c in columns},
         {c: from_iso_order(c) for c in columns},
         {c: readable(c) for c in columns},
-    )
+    ]
 
 
-def normalize_dates(
-    df: DataFrame, as_of: date | str, config: IntegrationConfig = DEFAULT
-) -> DataFrame:
+def hire_date_layers(as_of: date | str, config: IntegrationConfig = DEFAULT) -> Layers:
     flag = out_of_range_flag("hire_date", "hire_date", config.hire_date_min, as_of)
-    return with_layers(parse_date_columns(df, DATE_COLUMNS, config), {"hire_date_flag": flag})
+    return [*date_layers(DATE_COLUMNS, config), {"hire_date_flag": flag}]
 
 
-def normalize_salaries(df: DataFrame, config: IntegrationConfig = DEFAULT) -> DataFrame:
+def salary_layers(config: IntegrationConfig = DEFAULT) -> Layers:
     base, annual = "base_salary", "salary_usd_annual"
     usd = annual_usd(base, "currency", "pay_frequency", config.fx_to_usd, config.periods_per_year)
-    return with_layers(
-        df,
+    return [
         {base: without_symbols(base)},
         {base: to_double(base)},
         {base: positive(base)},
         {annual: usd},
         {annual: round_cents(annual)},
+    ]
+
+
+def numeric_layers() -> Layers:
+    return [{c: f"try_cast({c} AS double)" for c in NUMERIC_EXTRAS}]
+
+
+def normalize_names(df: DataFrame) -> DataFrame:
+    return with_layers(df, name_layers())
+
+
+def namespace_employee_ids(df: DataFrame, config: IntegrationConfig = DEFAULT) -> DataFrame:
+    return with_layers(df, id_layers(config))
+
+
+def normalize_employment_types(df: DataFrame, config: IntegrationConfig = DEFAULT) -> DataFrame:
+    return with_layers(df, employment_type_layers(config))
+
+
+def map_departments(df: DataFrame, config: IntegrationConfig = DEFAULT) -> DataFrame:
+    return with_layers(df, department_layers(config))
+
+
+def unmapped_departments(df: DataFrame, config: IntegrationConfig = DEFAULT) -> DataFrame:
+    """Department names no rule knows, with their frequency."""
+    layers = [*_known_department_layers(config), {"known": "_t_known"}]
+    return (
+        with_layers(df.select("department"), layers)
+        .where("known IS NULL AND department IS NOT NULL")
+        .groupBy("department")
+        .agg(F.count(F.lit(1)).alias("records"))
     )
 
 
-def cast_numeric_extras(df: DataFrame) -> DataFrame:
-    return with_layers(df, {c: f"try_cast({c} AS double)" for c in NUMERIC_EXTRAS})
+def normalize_dates(
+    df: DataFrame, as_of: date | str, config: IntegrationConfig = DEFAULT
+) -> DataFrame:
+    return with_layers(df, hire_date_layers(as_of, config))
+
+
+def normalize_salaries(df: DataFrame, config: IntegrationConfig = DEFAULT) -> DataFrame:
+    return with_layers(df, salary_layers(config))
 
 
 def clean(df: DataFrame, as_of: date | str, config: IntegrationConfig = DEFAULT) -> DataFrame:
     """All cleaning steps; one narrow stage."""
-    return (
-        df.transform(normalize_names)
-        .transform(namespace_employee_ids, config)
-        .transform(normalize_employment_types, config)
-        .transform(map_departments, config)
-        .transform(normalize_dates, as_of, config)
-        .transform(normalize_salaries, config)
-        .transform(cast_numeric_extras)
+    return with_layers(
+        df,
+        name_layers(),
+        id_layers(config),
+        employment_type_layers(config),
+        department_layers(config),
+        hire_date_layers(as_of, config),
+        salary_layers(config),
+        numeric_layers(),
     )
 
 

@@ -40,9 +40,19 @@ def write_golden(df: DataFrame, path: str) -> None:
     )
 
 
+# Values are written as they are, quotes doubled.
+_CSV = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True, escape='"')
+    df.write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def append_dead_letters(df: DataFrame, path: str) -> None:
-    df.write.mode("append").csv(path, header=True, escape='"', timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    df.write.mode("append").options(**_CSV).csv(path)
