@@ -78,6 +78,14 @@ VIEWS = {
     "fx_benefits": ("events", FX_BENEFITS),
 }
 
+# The columns the views use.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double",
+    "events": "event_id bigint, event_type string",
+}
+
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture view; its input order ``ord`` becomes ``_ord``.
@@ -85,7 +93,7 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     The fence makes the view behave like a scanned file: its expressions run once per row.
     """
     table, sql = VIEWS[name]
-    source = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    source = spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
     view = spark.sql(sql.replace(f"FROM {table}", "FROM {source}"), source=source)
     return fence(view.withColumnRenamed("ord", "_ord"))
 

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from datetime import date
 from itertools import zip_longest
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillweave.config import DEFAULT, IntegrationConfig
@@ -26,18 +26,29 @@ NUMERIC_EXTRAS = ("bonus_target_pct", "premium_employee", "premium_employer")
 Layers = list[dict[str, str]]
 
 
-def with_layers(df: DataFrame, *steps: Layers) -> DataFrame:
+def side_by_side(*steps: Layers) -> list[dict[str, Column]]:
+    """Parsed expressions of steps that are independent of each other: their layers of equal
+    depth go together."""
+    return [
+        {c: F.expr(text) for part in parts for c, text in part.items()}
+        for parts in zip_longest(*steps, fillvalue={})
+    ]
+
+
+def apply_layers(df: DataFrame, layers: Sequence[Mapping[str, Column]]) -> DataFrame:
     """Apply expressions in layers: what a later layer uses several times is computed once.
 
-    Steps are independent of each other, so their layers of equal depth go together.
     Columns whose name starts with ``_t_`` are dropped at the end.
     """
-    for parts in zip_longest(*steps, fillvalue={}):
-        layer = {c: F.expr(text) for part in parts for c, text in part.items()}
+    for layer in layers:
         df = df.withColumns(layer)
     return df.drop(*(c for c in df.columns if c.startswith("_t_")))
 
 
+def with_layers(df: DataFrame, *steps: Layers) -> DataFrame:
+    return apply_layers(df, side_by_side(*steps))
+
+
 def name_layers() -> Layers:
     return [{c: clean_name(c) for c in NAME_COLUMNS}]
 
@@ -141,10 +152,11 @@ def normalize_salaries(df: DataFrame, config: IntegrationConfig = DEFAULT) -> Da
     return with_layers(df, salary_layers(config))
 
 
-def clean(df: DataFrame, as_of: date | str, config: IntegrationConfig = DEFAULT) -> DataFrame:
+def cleaning_layers(
+    as_of: date | str, config: IntegrationConfig = DEFAULT
+) -> list[dict[str, Column]]:
     """All cleaning steps; one narrow stage."""
-    return with_layers(
-        df,
+    return side_by_side(
         name_layers(),
         id_layers(config),
         employment_type_layers(config),
@@ -162,5 +174,6 @@ def clean_all(
 
     Cleaning before the union lets Catalyst drop the steps for columns a source lacks.
     """
+    layers = cleaning_layers(as_of, config)
     ordered = [frames[name] for name in config.source_order if name in frames]
-    return union_sources([clean(df, as_of, config) for df in ordered])
+    return union_sources([apply_layers(df, layers) for df in ordered])

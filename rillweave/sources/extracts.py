@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -44,28 +44,24 @@ class Extract:
 
     def accepted(self, config: IntegrationConfig = DEFAULT) -> DataFrame:
         """Clean rows in the standard schema, tagged with source and load position."""
-        rows = self.rows.where(F.col("_reason").isNull()).select(*self.fields, "_ord")
-        tagged = rows.withColumns(
-            {
-                "source_system": F.lit(self.name),
-                "_src": F.lit(config.source_order.index(self.name)),
-            }
-        )
-        return align(tagged, config.standard_columns)
+        tags = {
+            "source_system": quote(self.name),
+            "_src": str(config.source_order.index(self.name)),
+        }
+        kept = [c for c in (*self.fields, "_ord") if c not in tags]
+        return align(self.rows.where("_reason IS NULL"), config.standard_columns, kept, tags)
 
     def rejected(self) -> DataFrame:
         """Dead letters: one uniform row per bad record, its fields kept as JSON."""
-        record = F.to_json(
-            F.struct(*(F.col(c).cast("string").alias(c) for c in self.fields)),
-            {"ignoreNullFields": "false"},
-        )
+        fields = ", ".join(f"cast(`{c}` AS string) AS `{c}`" for c in self.fields)
+        record = f"to_json(struct({fields}), map('ignoreNullFields', 'false'))"
         if "_raw" in self.rows.columns:
-            record = F.coalesce("_raw", record)
-        return self.rows.where(F.col("_reason").isNotNull()).select(
-            F.current_timestamp().alias("timestamp"),
-            F.lit(self.name).alias("source"),
-            F.col("_reason").alias("reason"),
-            record.alias("record"),
+            record = f"coalesce(_raw, {record})"
+        return self.rows.where("_reason IS NOT NULL").selectExpr(
+            "current_timestamp() AS timestamp",
+            f"{quote(self.name)} AS source",
+            "_reason AS reason",
+            f"{record} AS record",
         )
 
     def counts(self) -> DataFrame:
@@ -87,11 +83,19 @@ def fence(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct("*"))))
 
 
-def align(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Add the missing standard columns as null; extra columns stay, behind them."""
-    present = set(df.columns)
-    standard = [F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in columns]
-    return df.select(*standard, *(c for c in df.columns if c not in columns))
+def align(
+    df: DataFrame,
+    columns: Sequence[str],
+    kept: Sequence[str] | None = None,
+    tags: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Add the missing standard columns as null; extra columns stay, behind them.
+
+    ``kept`` restricts the columns of ``df``, ``tags`` adds columns by expression.
+    """
+    given = {c: f"`{c}`" for c in (df.columns if kept is None else kept)} | dict(tags or {})
+    standard = [f"{given.get(c, 'cast(NULL AS string)')} AS `{c}`" for c in columns]
+    return df.selectExpr(*standard, *(f"{x} AS `{c}`" for c, x in given.items() if c not in columns))
 
 
 def missing_fields_reason(
@@ -119,7 +123,7 @@ def _quarantined(df: DataFrame, name: str, config: IntegrationConfig) -> Extract
 def hris_extract(raw: DataFrame, config: IntegrationConfig = DEFAULT) -> Extract:
     """CSV rows. The reader cannot tell an empty field from null, here both are empty text."""
     fields = [c for c in raw.columns if c != "_ord"]
-    filled = raw.select(*(F.coalesce(c, F.lit("")).alias(c) for c in fields), "_ord")
+    filled = raw.selectExpr(*(f"coalesce(`{c}`, '') AS `{c}`" for c in fields), "_ord")
     return _quarantined(filled, HRIS, config)
 
 
