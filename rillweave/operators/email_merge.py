@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rillweave.config import SOURCE_PRIORITY, UNKNOWN_PRIORITY, SkewPolicy
 from rillweave.functions.taxonomy import source_priority
 from rillweave.functions.text import is_blank
-from rillweave.operators.skew import lookup
+from rillweave.operators.skew import hot_keys, lookup
 
 
 def _with_email(df: DataFrame) -> DataFrame:
@@ -70,10 +70,11 @@ def remap_reference(
     column: str = "manager_id",
     key: str = "employee_id",
     policy: SkewPolicy = SkewPolicy(),
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Point a foreign key at the survivor when it names a dropped record."""
     mapping = ids.select(F.col("loser_id").alias(column), F.col("winner_id").alias("_survivor"))
-    joined = lookup(df, mapping, column, key, policy)
+    joined = lookup(df, mapping, column, key, policy, hot)
     return joined.withColumn(column, F.coalesce("_survivor", column)).select(*df.columns)
 
 
@@ -101,4 +102,5 @@ def email_merge(
     ``df`` is read several times: pass a staged table.
     """
     members = email_members(df, email_groups(df, priority, normalise), policy)
-    return remap_reference(drop_losers(df, members), loser_map(members), policy=policy)
+    hot = hot_keys(df, "manager_id", policy)
+    return remap_reference(drop_losers(df, members), loser_map(members), policy=policy, hot=hot)

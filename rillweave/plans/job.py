@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rillweave.config import API, BENEFITS, DEFAULT, HRIS, PAYROLL, IntegrationConfig
 from rillweave.operators.profile import (
@@ -19,10 +20,10 @@ from rillweave.operators.profile import (
     tenure_histogram,
 )
 from rillweave.operators.quality import GateFailed, run_validation
-from rillweave.plans.clean import clean_all, unmapped_departments
+from rillweave.plans.clean import apply_layers, cleaning_layers, unmapped_departments
 from rillweave.plans.resolve import Resolution, resolve
 from rillweave.plans.staging import Staging
-from rillweave.sources.extracts import EXTRACTORS, Extract, dead_letters, ingest_counts, union_sources
+from rillweave.sources.extracts import EXTRACTORS, Extract, union_sources
 from rillweave.sources.readers import (
     BENEFIT_COLUMNS,
     PAYROLL_COLUMNS,
@@ -65,6 +66,29 @@ def read_extracts(
     return {name: EXTRACTORS[name](readers[name](paths[name]), config) for name in config.source_order}
 
 
+def land(
+    extracts: Mapping[str, Extract], as_of: date | str, stage: Staging, config: IntegrationConfig
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Read and clean every source once: (cleaned records, dead letters, counts per source).
+
+    Good and bad records are written side by side as columnar partitions, so the raw files,
+    the largest and slowest input, are parsed a single time.
+    """
+    layers = cleaning_layers(as_of, config)
+    frames = [apply_layers(e.landed(config), layers) for e in extracts.values()]
+    landed = stage(union_sources(frames), "landed", partition_by="_rejected")
+    records = landed.where("NOT _rejected").drop("_reason", "_record", "_rejected")
+    letters = landed.where("_rejected").selectExpr(
+        "current_timestamp() AS timestamp", "source_system AS source", "_reason AS reason", "_record AS record"
+    )
+    found = landed.groupBy(F.col("source_system").alias("source")).agg(
+        F.expr("count(1) AS raw"), F.expr("count_if(NOT _rejected) AS clean"), F.expr("count_if(_rejected) AS dropped")
+    )
+    names = stage.spark.createDataFrame([(name,) for name in extracts], "source string")
+    counts = names.join(found, "source", "left").fillna(0)
+    return records, letters, counts
+
+
 def profiles(golden: DataFrame, report: DataFrame, as_of: date | str) -> dict[str, DataFrame]:
     return {
         "headcount_department": headcount_by_department(golden),
@@ -93,15 +117,13 @@ def run_job(
     as_of = as_of or date.today()
     stage = Staging(spark)
     extracts = read_extracts(spark, paths, config, **reader_options)
-    append_dead_letters(dead_letters(list(extracts.values())), f"{output}/dead_letter")
-    write_csv(ingest_counts(list(extracts.values())).coalesce(1), f"{output}/ingest_counts")
+    records, letters, counts = land(extracts, as_of, stage, config)
+    append_dead_letters(letters, f"{output}/dead_letter")
+    write_csv(counts.coalesce(1), f"{output}/ingest_counts")
+    # A cleaned department is a standard name or one that no rule knows.
+    write_csv(unmapped_departments(records, config), f"{output}/unmapped_departments")
 
-    accepted = {name: e.accepted(config) for name, e in extracts.items()}
-    write_csv(
-        unmapped_departments(union_sources(list(accepted.values())), config),
-        f"{output}/unmapped_departments",
-    )
-    resolution = resolve(clean_all(accepted, as_of, config), stage, config)
+    resolution = resolve(records, stage, config)
     golden = stage(resolution.golden, "golden")
     report, passed = run_validation(golden, config, as_of)
     write_csv(report.coalesce(1), f"{output}/validation_report")

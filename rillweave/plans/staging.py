@@ -29,7 +29,8 @@ class Staging:
         self.spark = spark
         self.path = f"{root or staging_root(spark)}/rillweave-{uuid.uuid4().hex}"
 
-    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+    def __call__(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
         path = f"{self.path}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)

@@ -51,19 +51,32 @@ class Extract:
         kept = [c for c in (*self.fields, "_ord") if c not in tags]
         return align(self.rows.where("_reason IS NULL"), config.standard_columns, kept, tags)
 
-    def rejected(self) -> DataFrame:
-        """Dead letters: one uniform row per bad record, its fields kept as JSON."""
+    def _record(self) -> str:
+        """The fields of a record as JSON, or its raw text where it could not be flattened."""
         fields = ", ".join(f"cast(`{c}` AS string) AS `{c}`" for c in self.fields)
         record = f"to_json(struct({fields}), map('ignoreNullFields', 'false'))"
-        if "_raw" in self.rows.columns:
-            record = f"coalesce(_raw, {record})"
+        return f"coalesce(_raw, {record})" if "_raw" in self.rows.columns else record
+
+    def rejected(self) -> DataFrame:
+        """Dead letters: one uniform row per bad record, its fields kept as JSON."""
         return self.rows.where("_reason IS NOT NULL").selectExpr(
             "current_timestamp() AS timestamp",
             f"{quote(self.name)} AS source",
             "_reason AS reason",
-            f"{record} AS record",
+            f"{self._record()} AS record",
         )
 
+    def landed(self, config: IntegrationConfig = DEFAULT) -> DataFrame:
+        """Good and bad records together, aligned; bad ones carry ``_reason`` and ``_record``."""
+        tags = {
+            "source_system": quote(self.name),
+            "_src": str(config.source_order.index(self.name)),
+            "_record": f"CASE WHEN _reason IS NOT NULL THEN {self._record()} END",
+            "_rejected": "_reason IS NOT NULL",
+        }
+        kept = [c for c in (*self.fields, "_ord", "_reason") if c not in tags]
+        return align(self.rows, config.standard_columns, kept, tags)
+
     def counts(self) -> DataFrame:
         dropped = F.count("_reason")
         return self.rows.agg(F.count(F.lit(1)).alias("raw"), dropped.alias("dropped")).select(
