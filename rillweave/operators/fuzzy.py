@@ -3,9 +3,10 @@
 Records collapse to *cells* (date bucket, token-sorted name) first, so work grows with
 distinct names per bucket and not with copies. Similar names are found by shared
 segments: if two texts differ by at most k inserted or deleted letters and one is cut
-into k+1 segments, at least one segment occurs unchanged in the other, close to its
-place. That turns the similarity join into an equi-join that misses nothing; the exact
-score is computed for the few survivors, once per pair of names.
+into k + 1 segments, at least one segment occurs unchanged in the other, close to its
+place; of k + 2 segments at least two do. That turns the similarity join into an
+equi-join that misses nothing. Crowded buckets ask for two segments, so that few names
+meet by chance. The exact score is computed for those, once per pair of names.
 
 Flags come from cells alone, in linear work. Only ``fuzzy_pairs`` lists record pairs,
 because that list is its result.
@@ -53,50 +54,84 @@ def name_cells(df: DataFrame, days: int) -> DataFrame:
 
 
 def _cut(texts: DataFrame, threshold: int) -> DataFrame:
-    """Per pair of lengths p <= q within reach: the allowed distance k and segments 0..k of p.
+    """Per pair of lengths p <= q within reach: the allowed distance k, and every choice of
+    ``shared`` among the k + shared segments that p is cut into: i < j, or i = j for one.
 
     A distance has the parity of p + q, so the allowed one is rounded down to it.
     """
     allowed = allowed_distance("p + q", threshold)
+    edge = "cast(({0}) * p div (k + shared) AS int)"
     return (
         texts.withColumn("k", F.expr(f"{allowed} - pmod({allowed} + p + q, 2)"))
         .where("k >= q - p")
         .withColumn("i", F.expr("explode(sequence(0, k))"))
-        .withColumn("start", F.expr("cast(i * p div (k + 1) AS int)"))
-        .withColumn("width", F.expr("cast((i + 1) * p div (k + 1) AS int) - start"))
+        .withColumn("j", F.expr("explode(if(shared = 1, array(i), sequence(i + 1, k + 1)))"))
+        .withColumn("at_i", F.expr(edge.format("i")))
+        .withColumn("at_j", F.expr(edge.format("j")))
+        .withColumn("width_i", F.expr(f"{edge.format('i + 1')} - at_i"))
+        .withColumn("width_j", F.expr(f"{edge.format('j + 1')} - at_j"))
     )
 
 
-def _segments(cells: DataFrame, threshold: int) -> DataFrame:
-    """Signatures of the shorter text: its segments, under every length the longer may have."""
+def _signature(at_i: str, at_j: str) -> str:
+    segments = f"substr(key, {at_i} + 1, width_i), substr(key, {at_j} + 1, width_j)"
+    return f"xxhash64(slot, p, q, i, j, {segments}) AS sig"
+
+
+def _slots(cells: DataFrame, policy: SkewPolicy) -> DataFrame:
+    """Buckets that hold names, and how many segments two similar names have to share there.
+
+    One row per bucket: the range of dates bounds their number, hence the broadcast.
+    """
+    sizes = cells.groupBy(F.col("bucket").alias("slot")).agg(F.expr("count(1) AS names"))
+    return F.broadcast(
+        sizes.selectExpr("slot", f"if(names > {policy.crowded_names}, 2, 1) AS shared")
+    )
+
+
+def _segments(cells: DataFrame, slots: DataFrame, threshold: int) -> DataFrame:
+    """Signatures of the shorter text in its own and the adjacent buckets: its segments, under
+    every length the longer may have."""
+    longest = f"cast(p * {200 - threshold} div {threshold} AS int)"
     texts = (
         cells.where("key <> ''")
         .selectExpr("bucket", "key", "length(key) AS p")
-        .withColumn("q", F.expr(f"explode(sequence(p, cast(p * {200 - threshold} div {threshold} AS int)))"))
-    )
-    return (
-        _cut(texts, threshold)
         .withColumn("slot", neighbour_slots("bucket"))
-        .selectExpr("xxhash64(slot, p, q, i, substr(key, start + 1, width)) AS sig", "bucket", "key")
+        .join(slots, "slot")
+        .withColumn("q", F.expr(f"explode(sequence(p, {longest}))"))
     )
+    return _cut(texts, threshold).selectExpr(_signature("at_i", "at_j"), "bucket", "key")
+
+
+def _edits(hit: str, shift: str) -> str:
+    """Fewest edits that move the text by ``shift`` and touch ``hit`` segments on the way."""
+    least = f"greatest({hit}, abs({shift}))"
+    return f"({least} + pmod({least} + {shift}, 2))"
 
 
-def _windows(cells: DataFrame, threshold: int) -> DataFrame:
-    """Signatures of the longer text: the places where each segment may reappear.
+def _windows(cells: DataFrame, slots: DataFrame, threshold: int) -> DataFrame:
+    """Signatures of the longer text: the places where the shared segments may reappear.
 
-    Segment i can be taken to have at most i edits before it and k - i behind it.
+    Segments i and j can be taken as the first intact ones: the i segments before, and those
+    between, are touched. Only shifts within the edits that this leaves are listed.
     """
+    shortest = f"cast(q * {threshold} div {200 - threshold} AS int)"
     texts = (
         cells.where("key <> ''")
-        .selectExpr("bucket", "key", "length(key) AS q")
-        .withColumn("p", F.expr(f"explode(sequence(cast(q * {threshold} div {200 - threshold} AS int), q))"))
+        .selectExpr("bucket", "bucket AS slot", "key", "length(key) AS q")
+        .join(slots, "slot")
+        .withColumn("p", F.expr(f"explode(sequence({shortest}, q))"))
     )
-    shifts = "sequence(greatest(-i, q - p - k + i), least(i, q - p + k - i))"
+    # q - p - k is even and not positive.
+    shifts = "sequence((q - p - k) div 2, (q - p + k) div 2)"
+    edits = f"{_edits('i', 'move_i')} + {_edits('j - i - 1', '(move_j - move_i)')} + abs(q - p - move_j)"
     return (
         _cut(texts, threshold)
-        .withColumn("shift", F.expr(f"explode({shifts})"))
-        .where("start + shift >= 0 AND start + shift + width <= q")
-        .selectExpr("xxhash64(bucket, p, q, i, substr(key, start + shift + 1, width)) AS sig", "bucket", "key")
+        .withColumn("move_i", F.expr(f"explode({shifts})"))
+        .withColumn("move_j", F.expr(f"explode(if(shared = 1, array(move_i), {shifts}))"))
+        .where(f"{edits} <= k")
+        .where("at_i + move_i >= 0 AND at_j + move_j + width_j <= q")
+        .selectExpr(_signature("at_i + move_i", "at_j + move_j"), "bucket", "key")
     )
 
 
@@ -125,7 +160,8 @@ def similar_cells(
 
     A segment shared by very many names is split into blocks of the shorter side.
     """
-    shorter, longer = _segments(cells, threshold), _windows(cells, threshold)
+    slots = _slots(cells, policy)
+    shorter, longer = _segments(cells, slots, threshold), _windows(cells, slots, threshold)
     sizes = shorter.groupBy("sig").agg(F.expr("count(1) AS n"))
     crowded = F.broadcast(_largest(sizes, "sig", "n", policy))
     x = shorter.join(crowded, "sig", "left").selectExpr(

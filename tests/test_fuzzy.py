@@ -9,7 +9,8 @@ from rillweave.operators.fuzzy import flag_probable, fuzzy_pairs, name_cells, si
 from rillweave.operators.interval import interval_partners
 
 SCHEMA = "employee_id string, first_name string, last_name string, hire_date timestamp_ntz, source_systems string"
-TINY = SkewPolicy(hot_rows=2, max_hot_keys=3, scatter=4, block_rows=2)
+TINY = SkewPolicy(hot_rows=2, max_hot_keys=3, scatter=4, block_rows=2, crowded_names=12)
+CROWDED = SkewPolicy(crowded_names=0)
 
 
 def people(n, seed, letters="abn", days=200):
@@ -55,7 +56,7 @@ def brute(rows, threshold, days):
 
 
 @pytest.mark.parametrize("threshold,days,seed,policy", [
-    (88, 30, 1, SkewPolicy()), (88, 30, 2, TINY), (75, 10, 3, TINY), (60, 7, 4, SkewPolicy()), (95, 30, 5, TINY),
+    (88, 30, 1, SkewPolicy()), (88, 30, 2, TINY), (75, 10, 3, TINY), (60, 7, 4, SkewPolicy()), (60, 7, 4, CROWDED), (95, 30, 5, TINY),
 ])
 def test_pairs_and_flags_equal_brute_force(spark, threshold, days, seed, policy):
     rows = people(150, seed)
@@ -71,7 +72,8 @@ def test_pairs_and_flags_equal_brute_force(spark, threshold, days, seed, policy)
     assert flag_probable(df, cells, similar, days, policy).count() == len(rows)
 
 
-def test_longer_names_lose_nothing(spark):
+@pytest.mark.parametrize("policy", [SkewPolicy(), CROWDED])
+def test_longer_names_lose_nothing(spark, policy):
     rng = random.Random(9)
     rows = []
     for i in range(120):
@@ -82,7 +84,7 @@ def test_longer_names_lose_nothing(spark):
         rows.append((f"GT-{i:06d}", "".join(base), None, datetime(2020, 1, 1), "payroll"))
     df = spark.createDataFrame(rows, SCHEMA)
     cells = name_cells(df, 30).cache()
-    found = fuzzy_pairs(df, cells, similar_cells(cells, 88), 30)
+    found = fuzzy_pairs(df, cells, similar_cells(cells, 88, policy), 30, policy)
     assert {(r.record_1_id, r.record_2_id) for r in found.collect()} == {p[:2] for p in brute(rows, 88, 30)}
 
 
