@@ -53,14 +53,27 @@ def read_extracts(
     config: IntegrationConfig = DEFAULT,
     json_layout: str = "document",
     payroll_format: str = "csv",
+    csv_multi_line: bool | None = None,
     on_missing: str = "empty",
 ) -> dict[str, Extract]:
-    """All sources in load order, quarantined. A missing path counts as an empty source."""
-    payroll = read_parquet if payroll_format == "parquet" else read_csv
+    """All sources in load order, quarantined. A missing path counts as an empty source.
+
+    ``csv_multi_line=None`` scans the CSV text for line breaks inside fields first; say False
+    where the landing zone rules them out, and the files are read once.
+    """
+
+    def csv(path: str, columns: tuple[str, ...]) -> DataFrame:
+        return read_csv(spark, path, columns, csv_multi_line, on_missing)
+
+    def payroll(path: str) -> DataFrame:
+        if payroll_format == "parquet":
+            return read_parquet(spark, path, PAYROLL_COLUMNS, on_missing)
+        return csv(path, PAYROLL_COLUMNS)
+
     readers = {
-        HRIS: lambda path: read_csv(spark, path, HRIS_COLUMNS, on_missing=on_missing),
+        HRIS: lambda path: csv(path, HRIS_COLUMNS),
         API: lambda path: read_json_records(spark, path, json_layout, on_missing=on_missing),
-        PAYROLL: lambda path: payroll(spark, path, PAYROLL_COLUMNS, on_missing=on_missing),
+        PAYROLL: payroll,
         BENEFITS: lambda path: read_xml(spark, path, on_missing=on_missing),
     }
     return {name: EXTRACTORS[name](readers[name](paths[name]), config) for name in config.source_order}
