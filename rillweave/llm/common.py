@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def _dropped_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What a step shuffles is deleted as soon as its result is written, not some time later."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the folder all executors share.
 
@@ -25,7 +39,8 @@ def settled(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(staging_root(df.sparkSession))
-    return df.checkpoint()
+    with _dropped_shuffles(df.sparkSession):
+        return df.select("*").checkpoint()
 
 
 class Workspace:
@@ -41,7 +56,8 @@ class Workspace:
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.path}/{name}"
-        df.write.parquet(path)
+        with _dropped_shuffles(self.spark):
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def __enter__(self) -> Workspace:

@@ -12,7 +12,7 @@ exact. What it returns are the classes of linked documents.
    only, and neighbouring leaders with each other: as many pairs as entries. The links give
    classes.
 3. Blocks whose sets fell into one class are skipped: there is nothing left to find. In the
-   others, sets outside of the list's largest class are compared with all sets of other
+   others, sets outside of the list's main class, the largest, are compared with all sets of other
    classes, unless size, position or the answers of a common leader forbid a link: what two
    sets share beyond the leader is at most what either has beyond it.
 4. Pairs are checked against bitmaps of the sets, which bound the overlap from above, and what
@@ -251,14 +251,19 @@ class _Join:
 
     def rest(self, entries: DataFrame, leaders: DataFrame, known: DataFrame, roots: DataFrame) -> DataFrame:
         """The pairs of step 3: between the classes that ``roots`` (node, root) leaves."""
-        in_class = entries.join(roots.selectExpr("node sig", "root"), "sig", "left").selectExpr(
-            "token", "s", "sig", "n", "pos", "coalesce(root, sig) class"
+        sizes = roots.groupBy("root").agg(F.count("*").alias("class_size"))
+        named = settled(roots.join(sizes, "root").selectExpr("node sig", "root", "class_size"))
+        named = F.broadcast(named) if named.count() <= RESIDENT_KEYS else named
+        in_class = entries.join(named, "sig", "left").selectExpr(
+            "token", "s", "sig", "n", "pos", "coalesce(root, sig) class", "coalesce(class_size, 1) class_size"
         )
         open_lists = (
-            in_class.groupBy("token", "class").agg(F.count("*").alias("size"))
-            .groupBy("token").agg(F.max(F.struct("size", "class")).alias("main"), F.count("*").alias("classes"), F.sum("size").alias("size"))
+            in_class.groupBy("token").agg(
+                F.max(F.struct("class_size", "class")).alias("main"), F.min("class").alias("first"),
+                F.max("class").alias("last"), F.count("*").alias("size"),
+            )
             # Where a list is one leader and one other set, step 2 has compared them.
-            .where("classes > 1 and size > 2").selectExpr("token", "main.class main")
+            .where("first <> last and size > 2").selectExpr("token", "main.class main")
         )
         answers = known.selectExpr("a", "b", "low", "high")
         placed = (
