@@ -202,8 +202,7 @@ class _Join:
         bounded = self.work(
             pairs.distinct().join(left, "a").join(right, "b").selectExpr(
                 "a", "b", "na", "nb", "hash_a", "hash_b",
-                # Each bit in one map alone stands for an n-gram in one set alone.
-                "(na + nb - aggregate(zip_with(map_a, map_b, (x, y) -> cast(bit_count(x ^ y) as bigint)), 0L, (s, x) -> s + x)) div 2 high",
+                f"{_high('na', 'nb', 'map_a', 'map_b')} high",
             ).withColumn("open", F.expr(f"high >= {self.least_overlap('na', 'nb')}")),
             f"bounded{self.steps}",
         )
@@ -236,7 +235,9 @@ class _Join:
         # Copies of a set are one entry.
         entries = self.work(entries.join(shared, "token").distinct(), "entries")
         leaders = self.work(
-            entries.groupBy("token", "s").agg(F.min(F.struct("sig", "n", "pos")).alias("lead"))
+            # Another leader in each list: a near copy is compared with as many others as it has
+            # lists, so the copies of one text hang together after this step.
+            entries.groupBy("token", "s").agg(F.min(F.struct(F.xxhash64("sig", "token"), "sig", "n", "pos")).alias("lead"))
             .selectExpr("token", "s", "lead.sig lead", "lead.n lead_n", "lead.pos lead_pos"),
             "leaders",
         )
@@ -263,7 +264,7 @@ class _Join:
                 F.max("class").alias("last"), F.count("*").alias("size"),
             )
             # Where a list is one leader and one other set, step 2 has compared them.
-            .where("first <> last and size > 2").selectExpr("token", "main.class main")
+            .where("first <> last and size > 2").selectExpr("token", "main.class main", "main.class_size > 1 linked_main")
         )
         answers = known.selectExpr("a", "b", "low", "high")
         placed = (
@@ -272,26 +273,45 @@ class _Join:
             .selectExpr("*", "least(sig, lead) a", "greatest(sig, lead) b")
             .join(answers, ["a", "b"], "left")
             .selectExpr(
-                "token", "s", "sig", "n", "pos", "class", "main", "lead",
+                "token", "s", "sig", "n", "pos", "class", "class = main is_main", "linked_main", "lead",
                 "if(sig = lead, n, coalesce(low, 0)) low", "if(sig = lead, n, coalesce(high, n)) high",
             )
         )
         placed = self.work(placed, "placed")
-        names = ("sig", "n", "pos", "class", "lead", "low", "high")
-        minor = placed.where("class <> main").selectExpr(
-            "token", "main", "explode(array(s - 1, s, s + 1)) s", *(f"{c} x_{c}" for c in names)
-        )
-        pairs = minor.join(placed.drop("main"), ["token", "s"]).where(
-            "x_class <> class and x_sig <> lead and sig <> x_lead and (class = main or x_sig < sig) and "
+        names = ["sig", "n", "pos", "class", "lead", "low", "high"]
+        allowed = (
+            "x_class <> class and x_sig <> lead and sig <> x_lead and "
             + self.could_link("x_n", "x_pos", "n", "pos")
             # Answers of a common leader: what both have within it, and what both may have beyond it.
             + " and (lead <> x_lead or least(high, x_high) + least(n - low, x_n - x_low) >= "
             + self.least_overlap("n", "x_n") + ")"
         )
-        new = pairs.selectExpr(*_ordered("x_sig", "x_n", "sig", "n")).distinct().join(answers, ["a", "b"], "left_anti")
+
+        def met(some: DataFrame, others: DataFrame, names: list[str], more: str) -> DataFrame:
+            some = some.selectExpr("token", "explode(array(s - 1, s, s + 1)) s", *(f"{c} x_{c}" for c in names))
+            pairs = some.join(others.select("token", "s", *names), ["token", "s"]).where(f"{allowed} and {more}")
+            return pairs.selectExpr(*_ordered("x_sig", "x_n", "sig", "n"))
+
+        # A set outside of a large class against all of the class: here the bitmaps come along,
+        # so that the join itself gives out only what may link.
+        mapped = placed.where("linked_main").join(self.classes.select("sig", "bitmap"), "sig")
+        mapped = self.work(mapped, "mapped")
+        bounded = f"{_high('n', 'x_n', 'bitmap', 'x_bitmap')} >= {self.least_overlap('n', 'x_n')}"
+        to_main = met(mapped.where("not is_main"), mapped.where("is_main"), [*names, "bitmap"], bounded)
+        main_alone = placed.where("is_main and not linked_main")
+        minor = placed.where("not is_main")
+        others = met(minor, minor, names, "x_sig < sig").unionByName(met(minor, main_alone, names, "true"))
+        pairs = to_main.unionByName(others)
+        new = pairs.distinct().join(answers, ["a", "b"], "left_anti")
         return self.checked(new)
 
 
+def _high(na: str, nb: str, map_a: str, map_b: str) -> str:
+    """SQL for the bound of the overlap: each bit in one map alone stands for an n-gram in one set alone."""
+    alone = f"aggregate(zip_with({map_a}, {map_b}, (p, q) -> cast(bit_count(p ^ q) as bigint)), 0L, (t, p) -> t + p)"
+    return f"(({na} + {nb} - {alone}) div 2)"
+
+
 def _ordered(a: str, na: str, b: str, nb: str) -> list[str]:
     return [f"least({a}, {b}) a", f"greatest({a}, {b}) b", f"if({a} < {b}, {na}, {nb}) na", f"if({a} < {b}, {nb}, {na}) nb"]
 
