@@ -39,7 +39,12 @@ def sampled_splitters(records: DataFrame, sample: int = SAMPLE, fan: int = FAN)
     """
     # The row's uniform number in (0, 1], from its hash.
     uniform = "(pmod(xxhash64('splitter', id, key), 9007199254740992) + 1) / 9007199254740992.0D"
-    drawn = records.selectExpr("key", f"-ln({uniform}) / size moment").orderBy("moment").limit(sample)
+    total = records.agg(F.sum("size")).first()[0] or 0
+    # About twice the sample lies below this moment, so tasks hand on few rows beyond it.
+    drawn = (
+        records.selectExpr("key", f"-ln({uniform}) / size moment").where(F.col("moment") * total <= 2 * sample)
+        .orderBy("moment").limit(sample)
+    )
     keys = sorted(r.key for r in drawn.select("key").collect())
     step = len(keys) / (fan * fan)
     return sorted({keys[int(i * step)] for i in range(1, fan * fan)} if keys else set())
