@@ -51,8 +51,6 @@ class UnigramTrie:
 
     def add(self, words: set[bytes]) -> None:
         """Stores the counts of new words, walking their trie in depth-first order."""
-        if len(self.terminals) + len(words) > REMEMBERED:
-            self.terminals.clear()
         endings, unknown, inf = self.endings, self.unknown, -math.inf
         path, best, count = MARK, [0.0], [0]
         self._step(path, 1, best, count)
@@ -116,26 +114,22 @@ def token_counts(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = _trie(model_file)
+        known = trie.terminals
         for batch in batches:
-            texts = [(x or "").encode().split() for x in batch.column(1).to_pylist()]
-            new: set[bytes] = set()
-            for words in texts:
-                new.update(words)
-            known = trie.terminals
-            missing = {w for w in new if w not in known}
-            if missing:
-                size = len(known)
-                trie.add(missing)
-                if len(known) < size + len(missing):  # it started anew
-                    trie.add({w for w in new if w not in known})
-            yield pa.record_batch(
-                [
-                    batch.column(0),
-                    pa.array([len(w) for w in texts], pa.int64()),
-                    pa.array([sum(map(known.__getitem__, w)) for w in texts], pa.int64()),
-                ],
-                names=["doc_id", "n_words", "n_tokens"],
-            )
+            for start in range(0, batch.num_rows, 1000):
+                part = batch.slice(start, 1000)
+                texts = [(x or "").encode().split() for x in part.column(1).to_pylist()]
+                if len(known) > REMEMBERED:
+                    known.clear()
+                trie.add({w for words in texts for w in words if w not in known})
+                yield pa.record_batch(
+                    [
+                        part.column(0),
+                        pa.array([len(w) for w in texts], pa.int64()),
+                        pa.array([sum(map(known.__getitem__, w)) for w in texts], pa.int64()),
+                    ],
+                    names=["doc_id", "n_words", "n_tokens"],
+                )
 
     own = input_rows(docs, doc_id=F.col(f"`{doc_id}`").cast("long"), text=text)
     return own.mapInArrow(run, "doc_id bigint, n_words bigint, n_tokens bigint")

@@ -36,8 +36,6 @@ from pyspark.sql import functions as F
 from rillweave.llm.common import input_rows
 
 REMEMBERED = 500_000
-#: Stands between words that go to the tokenizer together; no word contains it.
-_BETWEEN = "\x01"
 
 
 class WordEncoder:
@@ -49,39 +47,45 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.words: dict[bytes, bytes] = {}
-        between = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
-        self.between = between[0] if len(between) == 1 else None
 
-    def _one(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
-        return np.array(ids, dtype=self.dtype).tobytes()
+    def _learn(self, words: list[bytes]) -> None:
+        texts = [w.decode("utf-8") for w in words]
+        for word, code in zip(words, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            self.words[word] = np.array(code.ids, dtype=self.dtype).tobytes()
 
     def learn(self, words: list[bytes]) -> None:
-        mark = _BETWEEN.encode()
-        joint = [w for w in words if mark not in w] if self.between is not None else []
-        text = f" {_BETWEEN} ".join(w.decode("utf-8") for w in joint)
-        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype)
-        ends = np.flatnonzero(ids == self.between) if joint else np.empty(0, int)
-        if len(ends) == len(joint) - 1:
-            raw, size = ids.tobytes(), self.dtype.itemsize
-            starts = [0, *((ends + 1) * size).tolist()]
-            for word, a, b in zip(joint, starts, [*(ends * size).tolist(), len(raw)], strict=True):
-                self.words[word] = raw[a:b]
-        for word in words:
-            if word not in self.words:
-                self.words[word] = self._one(word)
+        """Ids of new words. A stop or comma behind an ASCII letter is a token string of its own."""
+        composed = [w for w in words if len(w) > 1 and w[-1] in b".," and w[-2:-1].isalpha()]
+        single = {w for w in words if w not in self.words}.difference(composed)
+        single.update(x for w in composed for x in (w[:-1], w[-1:]) if x not in self.words)
+        todo = list(single)
+        # In portions, for the tokenizer's own memory.
+        for k in range(0, len(todo), 4096):
+            self._learn(todo[k : k + 4096])
+        for w in composed:
+            self.words[w] = self.words[w[:-1]] + self.words[w[-1:]]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").encode().split() for t in texts]
-        wanted: set[bytes] = set().union(*split) if split else set()
+        split = []
+        for t in texts:
+            raw = (t or "").encode()
+            # The tokenizer lower-cases; doing so before makes fewer words. Not where a special
+            # token may stand, whose case counts, nor beside combining marks, which the
+            # tokenizer composes first.
+            if b"<|" not in raw and b"\xcc" not in raw and b"\xcd" not in raw:
+                raw = raw.lower()
+            split.append(raw.split())
         if len(self.words) > REMEMBERED:
             self.words.clear()
-        missing = [w for w in wanted if w not in self.words]
-        # In portions, for the tokenizer's own memory.
-        for k in range(0, len(missing), 20_000):
-            self.learn(missing[k : k + 20_000])
-        get = self.words.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        known = self.words
+        # A single look-up per word; the gaps are filled when the new words have been learned.
+        codes = [list(map(known.get, words)) for words in split]
+        gaps = [(c, w, [i for i, x in enumerate(c) if x is None]) for c, w in zip(codes, split, strict=True) if None in c]
+        self.learn([*{w[i] for _, w, at in gaps for i in at}])
+        for c, w, at in gaps:
+            for i in at:
+                c[i] = known[w[i]]
+        return [b"".join(c) for c in codes]
 
 
 @lru_cache(maxsize=1)
