@@ -22,6 +22,7 @@ ignored.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -35,7 +36,19 @@ from pyspark.sql import functions as F
 
 from rillweave.llm.common import input_rows
 
-REMEMBERED = 500_000
+REMEMBERED = 600_000
+#: Letters of ASCII and Latin-1 alone.
+_PLAIN = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+")
+
+
+def _byte_signs() -> list[str]:
+    """The sign of each byte in byte-level vocabularies: itself if it prints, else the next one from U+0100."""
+    prints = [33 <= b <= 126 or 161 <= b <= 172 or b >= 174 for b in range(256)]
+    spare = iter(range(256, 512))
+    return [chr(b) if p else chr(next(spare)) for b, p in enumerate(prints)]
+
+
+_BYTE_SIGNS = _byte_signs()
 
 
 class WordEncoder:
@@ -49,8 +62,18 @@ class WordEncoder:
         self.words: dict[bytes, bytes] = {}
 
     def _learn(self, words: list[bytes]) -> None:
-        texts = [w.decode("utf-8") for w in words]
-        for word, code in zip(words, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+        model, rest = self.tokenizer.model, []
+        for word in words:
+            text = word.decode("utf-8")
+            if _PLAIN.fullmatch(text):
+                # The tokenizer's steps before its model leave such a word whole, in lower case.
+                text = text.lower()
+                known = text if text.isascii() else "".join([_BYTE_SIGNS[b] for b in text.encode()])
+                self.words[word] = np.array([t.id for t in model.tokenize(known)], dtype=self.dtype).tobytes()
+            else:
+                rest.append(word)
+        texts = [w.decode("utf-8") for w in rest]
+        for word, code in zip(rest, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             self.words[word] = np.array(code.ids, dtype=self.dtype).tobytes()
 
     def learn(self, words: list[bytes]) -> None:
