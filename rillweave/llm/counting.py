@@ -12,7 +12,7 @@ class KeyCounts:
     """Adds up keys of one kind. What exceeds ``limit`` different keys is given out early:
     the aggregation behind adds the parts up."""
 
-    def __init__(self, kind: int, limit: int = 1_000_000):
+    def __init__(self, kind: int, limit: int = 500_000):
         self.kind, self.limit = kind, limit
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = 0

@@ -42,7 +42,7 @@ from rillweave.llm.counting import KeyCounts
 
 ORDER = 5
 BLOCK_ROWS = 3_000_000
-RESIDENT_WORDS = 1_500_000
+RESIDENT_WORDS = 400_000
 _START, _END, _BLANK = 0xFE, 0xFF, 0x20
 #: Bytes 0 to 0xFD and the end.
 _SYMBOLS = 255

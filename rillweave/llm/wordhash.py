@@ -14,7 +14,7 @@ _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _WINDOW_BASE = 0xD6E8FEB86659FD93 | 1
 #: Texts of one pass: about this many bytes, at least one text.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def _powers(base: int, n: int) -> np.ndarray:
