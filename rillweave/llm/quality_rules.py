@@ -106,11 +106,13 @@ def measure(docs: DataFrame, keep: list[str] | None = None, text: str = "text",
 def sketch(measured: DataFrame) -> DataFrame:
     """lang, source, measure, bin, n: the documents that pass the base rule, counted."""
     bins = ", ".join(f"'{name}', cast({value} as bigint)" for name, (value, _) in MEASURES.items())
+    # Counted, not filtered before: Spark would push the filter, with all that it is made of,
+    # into the steps of ``measure``, and compute them again for each word.
     return (
-        measured.where("not base_failed")
-        .selectExpr("lang", "source", f"stack({len(MEASURES)}, {bins}) as (measure, bin)")
+        measured.selectExpr("lang", "source", "if(base_failed, 0L, 1L) passed", f"stack({len(MEASURES)}, {bins}) as (measure, bin)")
         .groupBy("lang", "source", "measure", "bin")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("passed").alias("n"))
+        .where("n > 0")
     )
 
 
@@ -159,7 +161,9 @@ def judged(measured: DataFrame, limits: DataFrame) -> DataFrame:
     within = " and ".join(f"coalesce(cast({v} as bigint) <= max_{m}, true)" for m, (v, _) in MEASURES.items())
     limits = limits.withColumnsRenamed({"lang": "cut_lang", "source": "cut_source"})
     joined = measured.join(limits, F.expr("lang <=> cut_lang and source <=> cut_source"), "left")
-    return joined.selectExpr(*(f"`{c}`" for c in measured.columns), f"not base_failed and {within} kept")
+    # One condition on both sides of the join, for the same reason as in ``sketch``.
+    kept = f"cast(base_failed as int) + cast(not ({within}) as int) = 0"
+    return joined.selectExpr(*(f"`{c}`" for c in measured.columns), f"{kept} kept")
 
 
 def quality_verdicts(docs: DataFrame, policy: QualityPolicy = QualityPolicy()) -> DataFrame:
