@@ -176,13 +176,13 @@ def quality_verdicts(docs: DataFrame, policy: QualityPolicy = QualityPolicy()) -
 def passing(docs: DataFrame, policy: QualityPolicy = QualityPolicy()) -> DataFrame:
     """The documents that are kept, all columns as they were.
 
-    Texts are measured in both passes, which costs less than writing them a second time.
+    Rows are settled with their measures: measuring costs more than writing them.
     """
-    limits = settled(cutoffs(sketch(measure(docs, policy=policy)), policy))
     # The row travels as one value, so that its column names cannot clash with own ones.
     row = spare_name(docs, "row")
     packed = input_rows(
         docs, **{row: F.struct(*(F.col(f"`{c}`") for c in docs.columns)), "doc_id": "doc_id", "lang": "lang", "source": "source", "text": "text"}
     )
-    verdict = judged(measure(packed, keep=[row, "doc_id", "lang", "source"], policy=policy), limits)
+    measured = settled(measure(packed, keep=[row, "doc_id", "lang", "source"], policy=policy))
+    verdict = judged(measured, settled(cutoffs(sketch(measured), policy)))
     return verdict.where("kept").select(f"`{row}`.*")
