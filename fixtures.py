@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillweave.sources.extracts import fence
+from rillweave.sources.readers import fence
 
 
 FX_HRIS = r"""

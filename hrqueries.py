@@ -27,12 +27,12 @@ from rillweave.sources.extracts import (
     api_extract,
     benefits_extract,
     dead_letters,
-    fence,
     hris_extract,
     ingest_counts,
     payroll_extract,
     union_sources,
 )
+from rillweave.sources.readers import fence, read_csv, read_json_records, read_xml
 from rillweave.sources.sinks import company_origin
 
 # "Today" of every query, so that results do not depend on the day they run.
@@ -174,6 +174,50 @@ def quarantine_parse(spark: SparkSession, sf: str) -> DataFrame:
     return _ordered(rows, "employee_id", "last_name", F.col("_reason").alias("reason"))
 
 
+def _letters(extract: Extract) -> DataFrame:
+    return extract.rejected().select("reason", "record")
+
+
+@query
+def quarantine_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Letters of CSV files in which some rows have a field too many, or too few."""
+    header = ",".join(HRIS_FIELDS)
+    line = f"""CASE WHEN _ord % 17 = 3 THEN concat_ws(',', {header}, 'surplus')
+        WHEN _ord % 19 = 4 THEN concat_ws(',', employee_id, email) ELSE concat_ws(',', {header}) END"""
+    path = f"{Staging(spark).path}/hris"
+    # One column whose name is the header line, unquoted.
+    plain = {"header": True, "sep": "\u0001", "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    fixture(spark, sf, "fx_hris").select(F.expr(line).alias(header)).write.options(**plain).csv(path)
+    return _letters(hris_extract(read_csv(spark, path, HRIS_FIELDS, on_missing="fail")))
+
+
+def _page_files(view: DataFrame, size: int, page: str) -> str:
+    """Writes one file per page of ``size`` records (column ``item``); ``page`` is its text, from ``items``."""
+    pages = view.groupBy(F.expr(f"_ord div {size}").alias("page")).agg(F.sort_array(F.collect_list(F.struct("_ord", "item"))).alias("rows"))
+    path = f"{Staging(view.sparkSession).path}/pages"
+    text = pages.withColumn("items", F.expr("rows.item")).select("page", F.expr(page).alias("value"))
+    text.write.partitionBy("page").text(path)
+    return path
+
+
+@query
+def quarantine_document(spark: SparkSession, sf: str) -> DataFrame:
+    """Letters of JSON documents of which every third is cut off."""
+    item = """'{"employee_identifier":"' || employee_identifier || '","name":{"first":"' || name_first || '"},"contact":{"email":"' || contact_email || '"}}'"""
+    view = fixture(spark, sf, "fx_api").withColumn("item", F.expr(item))
+    path = _page_files(view, 10, """'{"employees":[' || array_join(items, ',') || if(page % 3 = 1, '', ']}')""")
+    return _letters(api_extract(read_json_records(spark, path, on_missing="fail")))
+
+
+@query
+def quarantine_xml(spark: SparkSession, sf: str) -> DataFrame:
+    """Letters of XML files of which every fourth ends within an element."""
+    item = "'<enrollment><employee_id>' || employee_id || '</employee_id><plan_type>' || plan_type || '</plan_type></enrollment>'"
+    view = fixture(spark, sf, "fx_benefits").withColumn("item", F.expr(item))
+    path = _page_files(view, 500, "'<r>' || array_join(items, '') || if(page % 4 = 1, '<enrollment><employee_id>9', '</r>')")
+    return _letters(benefits_extract(read_xml(spark, path, on_missing="fail")))
+
+
 @query
 def dead_letter(spark: SparkSession, sf: str) -> DataFrame:
     return dead_letters(extracts(spark, sf)).select("source", "reason", "record")

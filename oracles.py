@@ -341,9 +341,30 @@ ORACLES: dict[str, str] = {
          CASE ord % 5 WHEN 0 THEN 'Parse error: record is not an object' WHEN 1 THEN 'Parse error: name is not an object'
           WHEN 2 THEN 'Parse error: contact is not an object' WHEN 3 THEN 'Missing required fields: [''last_name'']' END AS reason
         FROM fx_api""",
+    "quarantine_csv": f"""WITH {_BASE}
+        SELECT CASE WHEN ord % 17 = 3 OR ord % 19 = 4 THEN 'Parse error: row does not fit the header' ELSE reason END AS reason,
+         CASE WHEN ord % 17 = 3 THEN concat_ws(',', {', '.join(_HR)}, 'surplus') WHEN ord % 19 = 4 THEN concat_ws(',', employee_id, email)
+          ELSE to_json(struct_pack({', '.join(f'{k} := {k}' for k in _HR)}))::VARCHAR END AS record
+        FROM tagged_hris WHERE ord % 17 = 3 OR ord % 19 = 4 OR reason IS NOT NULL""",
+    "quarantine_document": f"""WITH {_BASE},
+        items AS (SELECT *, '{{"employee_identifier":"' || employee_identifier || '","name":{{"first":"' || name_first || '"}},"contact":{{"email":"' || contact_email || '"}}}}' AS item FROM fx_api)
+        SELECT 'Parse error: no JSON record' AS reason, '{{"employees":[' || string_agg(item, ',' ORDER BY ord) || chr(10) AS record
+        FROM items WHERE (ord // 10) % 3 = 1 GROUP BY ord // 10
+        UNION ALL SELECT 'Missing required fields: [''last_name'']',
+         to_json(struct_pack(employee_id := employee_identifier, first_name := name_first, last_name := '', email := contact_email, department := '',
+          job_title := '', hire_date := '', country := '', employment_type := '', manager_id := ''))::VARCHAR
+        FROM items WHERE (ord // 10) % 3 <> 1""",
+    "quarantine_xml": f"""WITH {_BASE}
+        SELECT 'Parse error: element is not well-formed' AS reason,
+         '<r>' || string_agg('<enrollment><employee_id>' || employee_id || '</employee_id><plan_type>' || plan_type || '</plan_type></enrollment>', '' ORDER BY ord)
+         || '<enrollment><employee_id>9' || chr(10) AS record
+        FROM fx_benefits WHERE (ord // 500) % 4 = 1 GROUP BY ord // 500
+        UNION ALL SELECT reason, to_json(struct_pack({', '.join(f'{k} := trim({k})' for k in _BEN if k in ('employee_id', 'plan_type'))},
+         coverage_level := '', enrollment_date := '', premium_employee := NULL::VARCHAR, premium_employer := NULL::VARCHAR))::VARCHAR
+        FROM tagged_benefits WHERE reason IS NOT NULL""",
     "dead_letter": f"""WITH {_BASE}
         SELECT 'globaltech_hris' AS source, reason, to_json(struct_pack({', '.join(f'{k} := {k}' for k in _HR)}))::VARCHAR AS record FROM tagged_hris WHERE reason IS NOT NULL
-        UNION ALL SELECT 'payroll', reason, to_json(struct_pack(employee_id := employee_id, source := source, base_salary := base_salary, currency := currency, pay_frequency := pay_frequency, bonus_target_pct := bonus_target_pct, effective_date := effective_date, payroll_company_source := source))::VARCHAR FROM tagged_payroll WHERE reason IS NOT NULL
+        UNION ALL SELECT 'payroll', reason, to_json(struct_pack(employee_id := employee_id, source := source, base_salary := base_salary, currency := currency, pay_frequency := pay_frequency, bonus_target_pct := bonus_target_pct, effective_date := effective_date))::VARCHAR FROM tagged_payroll WHERE reason IS NOT NULL
         UNION ALL SELECT 'benefits', reason, to_json(struct_pack({', '.join(f'{k} := trim({k})' for k in _BEN)}, premium_employee := premium_employee, premium_employer := premium_employer))::VARCHAR FROM tagged_benefits WHERE reason IS NOT NULL""",
     "union_sources": f"WITH {_BASE} SELECT ord, employee_id, source_system, email, base_salary, plan_type, source, payroll_company_source FROM aligned",
     "nfc_names": f"WITH {_BASE} SELECT ord, trim(first_name) AS first_name, trim(last_name) AS last_name FROM fx_hris",

@@ -53,13 +53,12 @@ def read_extracts(
     config: IntegrationConfig = DEFAULT,
     json_layout: str = "document",
     payroll_format: str = "csv",
-    csv_multi_line: bool | None = None,
+    csv_multi_line: bool = False,
     on_missing: str = "empty",
 ) -> dict[str, Extract]:
     """All sources in load order, quarantined. A missing path counts as an empty source.
 
-    ``csv_multi_line=None`` scans the CSV text for line breaks inside fields first; say False
-    where the landing zone rules them out, and the files are read once.
+    ``csv_multi_line=True`` allows line breaks inside quoted fields, for files that need not be split.
     """
 
     def csv(path: str, columns: tuple[str, ...]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rillweave.config import API, BENEFITS, DEFAULT, HRIS, PAYROLL, IntegrationConfig
 from rillweave.functions.text import is_blank, quote, strip
+from rillweave.sources.readers import fence
 
 # Target column -> path in a nested record (fixed values).
 API_PATHS = {
@@ -33,10 +34,14 @@ DEFAULT_COMPANY = "GlobalTech"
 
 @dataclass(frozen=True)
 class Extract:
-    """Records of one source with ``_ord``, ``_reason`` (null: accepted) and maybe ``_raw``."""
+    """Records of one source with ``_ord``, ``_reason`` (null: accepted) and maybe ``_raw``.
+
+    ``derived`` fields were not in the source: dead letters leave them out.
+    """
 
     name: str
     rows: DataFrame
+    derived: tuple[str, ...] = ()
 
     @property
     def fields(self) -> list[str]:
@@ -53,7 +58,7 @@ class Extract:
 
     def _record(self) -> str:
         """The fields of a record as JSON, or its raw text where it could not be flattened."""
-        fields = ", ".join(f"cast(`{c}` AS string) AS `{c}`" for c in self.fields)
+        fields = ", ".join(f"cast(`{c}` AS string) AS `{c}`" for c in self.fields if c not in self.derived)
         record = f"to_json(struct({fields}), map('ignoreNullFields', 'false'))"
         return f"coalesce(_raw, {record})" if "_raw" in self.rows.columns else record
 
@@ -87,15 +92,6 @@ class Extract:
         )
 
 
-def fence(df: DataFrame) -> DataFrame:
-    """The same rows behind a generator.
-
-    A predicate on computed columns would be pushed below their computation and repeat it;
-    predicates on generated columns stay where they are.
-    """
-    return df.select(F.inline(F.array(F.struct("*"))))
-
-
 def align(
     df: DataFrame,
     columns: Sequence[str],
@@ -128,30 +124,43 @@ def missing_fields_reason(
     )
 
 
-def _quarantined(df: DataFrame, name: str, config: IntegrationConfig) -> Extract:
-    reason = missing_fields_reason(df, config.required_fields[name], config.null_is_missing)
-    return Extract(name, df.withColumn("_reason", reason))
+def _unreadable(df: DataFrame, what: str) -> Column:
+    """The reason for rows that the reader could not parse."""
+    if "_raw" not in df.columns:
+        return F.lit(None).cast("string")
+    return F.when(F.col("_raw").isNotNull(), F.lit(f"Parse error: {what}"))
+
+
+_BAD_ROW = "row does not fit the header"
+
+
+def _quarantined(df: DataFrame, name: str, config: IntegrationConfig, derived: tuple[str, ...] = ()) -> Extract:
+    missing = missing_fields_reason(df, config.required_fields[name], config.null_is_missing)
+    return Extract(name, df.withColumn("_reason", F.coalesce(_unreadable(df, _BAD_ROW), missing)), derived)
 
 
 def hris_extract(raw: DataFrame, config: IntegrationConfig = DEFAULT) -> Extract:
     """CSV rows. The reader cannot tell an empty field from null, here both are empty text."""
-    fields = [c for c in raw.columns if c != "_ord"]
-    filled = raw.selectExpr(*(f"coalesce(`{c}`, '') AS `{c}`" for c in fields), "_ord")
+    kept = [c for c in raw.columns if c in ("_ord", "_raw")]
+    fields = [c for c in raw.columns if c not in kept]
+    filled = raw.selectExpr(*(f"coalesce(`{c}`, '') AS `{c}`" for c in fields), *kept)
     return _quarantined(filled, HRIS, config)
 
 
 def payroll_extract(raw: DataFrame, config: IntegrationConfig = DEFAULT) -> Extract:
     """Tabular rows, nulls kept. The paying company decides the id namespace later."""
     company = F.col("source") if "source" in raw.columns else F.lit(DEFAULT_COMPANY)
-    return _quarantined(raw.withColumn("payroll_company_source", company), PAYROLL, config)
+    derived = "payroll_company_source"
+    return _quarantined(raw.withColumn(derived, company), PAYROLL, config, (derived,))
 
 
 def benefits_extract(raw: DataFrame, config: IntegrationConfig = DEFAULT) -> Extract:
     """XML elements. An absent text field counts as empty, an absent premium as null."""
     texts = ("employee_id", "plan_type", "coverage_level", "enrollment_date")
     rows = raw.withColumns({c: F.expr(strip(f"coalesce({c}, '')")) for c in texts})
-    reason = F.when(F.col("employee_id") == "", F.lit("Missing employee_id"))
-    return Extract(BENEFITS, rows.withColumn("_reason", reason))
+    missing = F.when(F.col("employee_id") == "", F.lit("Missing employee_id"))
+    unreadable = _unreadable(raw, "element is not well-formed")
+    return Extract(BENEFITS, rows.withColumn("_reason", F.coalesce(unreadable, missing)))
 
 
 def _leaf(path: str) -> Column:
@@ -181,13 +190,16 @@ def _parse_error() -> Column:
 
 def api_extract(raw: DataFrame, config: IntegrationConfig = DEFAULT) -> Extract:
     """Nested records (variant column ``doc``) flattened to standard names."""
+    unread = F.col("_raw") if "_raw" in raw.columns else F.lit(None).cast("string")
+    unreadable = _unreadable(raw, "no JSON record")
     flat = raw.select(
         *(_leaf(path).alias(c) for c, path in API_PATHS.items()),
         "_ord",
         "doc",
-        _parse_error().alias("_error"),
+        unread.alias("_raw"),
+        F.coalesce(unreadable, _parse_error()).alias("_error"),
     )
-    raw_text = F.when(F.col("_error").isNotNull(), F.to_json("doc"))
+    raw_text = F.when(F.col("_error").isNotNull(), F.coalesce("_raw", F.to_json("doc")))
     rows = fence(flat.withColumn("_raw", raw_text).drop("doc"))
     missing = missing_fields_reason(rows, config.required_fields[API], config.null_is_missing)
     return Extract(API, rows.withColumn("_reason", F.coalesce("_error", missing)).drop("_error"))

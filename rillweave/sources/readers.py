@@ -1,7 +1,8 @@
 """File readers. Each returns text columns plus ``_ord``, the position of a row in its source.
 
-A reader whose path does not exist gives an empty table (or raises, ``on_missing="fail"``),
-so that one missing extract does not stop the others.
+Readers of text formats lose nothing: what cannot be parsed is a row of its own, with its text in
+``_raw`` (null for good rows). A reader whose path does not exist gives an empty table (or
+raises, ``on_missing="fail"``), so that one missing extract does not stop the others.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rillweave.functions.text import quote
+
 _ROW_BITS = (1 << 33) - 1
 
 PAYROLL_COLUMNS = (
@@ -24,13 +27,26 @@ BENEFIT_COLUMNS = (
     "premium_employee", "premium_employer",
 )
 
-ORD_TYPE = "struct<file:bigint,start:bigint,row:bigint>"
+ORD_TYPE = "struct<file:string,start:bigint,row:bigint>"
+RAW = "_raw"
+
+
+def fence(df: DataFrame) -> DataFrame:
+    """The same rows behind a generator.
+
+    A predicate on computed columns would be pushed below their computation and repeat it;
+    predicates on generated columns stay where they are.
+    """
+    return df.select(F.inline(F.array(F.struct("*"))))
 
 
 def _file_order() -> Column:
-    """Rows of one split are read in order and splits know their offset: a total order per file."""
+    """Rows of one split are read in order and splits know their offset: a total order per file.
+
+    Files follow each other by name, wherever their folder lies.
+    """
     return F.struct(
-        F.xxhash64("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("row"),
     ).alias("_ord")
@@ -48,33 +64,34 @@ def _or_empty(
     except AnalysisException as e:
         if on_missing == "fail" or e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.createDataFrame([], _text_schema(columns)).withColumn(
+        return spark.createDataFrame([], _text_schema([*columns, RAW])).withColumn(
             "_ord", F.lit(None).cast(ORD_TYPE)
         )
 
 
-def has_embedded_newlines(spark: SparkSession, path: str) -> bool:
-    """Whether a quoted field spans lines: then, and only then, some line has an odd quote count."""
-    quotes = F.length(F.regexp_replace("value", '[^"]', ""))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
-
-
 def read_csv(
     spark: SparkSession,
     path: str,
     columns: Sequence[str],
-    multi_line: bool | None = None,
+    multi_line: bool = False,
     on_missing: str = "empty",
 ) -> DataFrame:
     """CSV with a header, every column as text; ``columns`` is the schema of a missing file.
 
-    A file with line breaks inside fields cannot be split between tasks. ``multi_line=None``
-    looks first and gives up splitting only where it must.
+    A row with more or fewer fields than the header keeps its text in ``_raw``. The header of
+    every file must be that of the first one, else the read fails. ``multi_line`` allows line
+    breaks inside quoted fields; such files cannot be split between tasks. Without it, the
+    lines of a broken field are rows that do not fit.
     """
 
     def read() -> DataFrame:
-        spanning = has_embedded_newlines(spark, path) if multi_line is None else multi_line
-        frame = spark.read.csv(path, header=True, escape='"', multiLine=spanning)
+        options = {"header": True, "escape": '"', "multiLine": multi_line}
+        names = spark.read.options(**options).csv(path).columns
+        frame = (
+            spark.read.options(**options, enforceSchema=False, columnPruning=False, columnNameOfCorruptRecord=RAW)
+            .schema(_text_schema([*names, RAW]))
+            .csv(path)
+        )
         return frame.select(*(F.col(f"`{c}`") for c in frame.columns), _file_order())
 
     return _or_empty(spark, read, columns, on_missing)
@@ -103,6 +120,9 @@ def read_json_records(
 ) -> DataFrame:
     """Nested JSON as one variant column ``doc`` per record.
 
+    A line or document that is no JSON, or a document without the array, is one row without
+    ``doc``, its text in ``_raw``.
+
     ``document``: each file holds one object with an array of records. A file is one row
     until its array is exploded, so land large extracts as many page files or as
     ``lines`` (one record per line), which is splittable.
@@ -111,13 +131,22 @@ def read_json_records(
     def read() -> DataFrame:
         if layout == "lines":
             lines = spark.read.text(path).where(F.trim("value") != "")
-            return lines.select(F.try_parse_json("value").alias("doc"), _file_order())
+            return fence(lines.select(F.try_parse_json("value").alias("doc"), "value", _file_order())).selectExpr(
+                "doc", f"CASE WHEN doc IS NULL THEN value END AS {RAW}", "_ord"
+            )
         text = spark.read.text(path, wholetext=True)
-        records = F.try_variant_get(F.try_parse_json("value"), array_path, "array<variant>")
+        # The text goes into the one element of an unreadable document, never along with records.
+        records = F.expr(
+            f"""coalesce(
+                transform(try_variant_get(try_parse_json(value), {quote(array_path)}, 'array<variant>'),
+                    doc -> named_struct('doc', doc, 'raw', cast(NULL AS string))),
+                array(named_struct('doc', cast(NULL AS variant), 'raw', value)))"""
+        )
         return text.select(
-            F.xxhash64("_metadata.file_path").alias("file"), F.posexplode(records).alias("pos", "doc")
+            F.col("_metadata.file_path").alias("file"), F.posexplode(records).alias("pos", "record")
         ).select(
-            "doc",
+            "record.doc",
+            F.col("record.raw").alias(RAW),
             F.struct("file", F.lit(0).cast("bigint").alias("start"), F.col("pos").cast("bigint").alias("row")).alias("_ord"),
         )
 
@@ -126,7 +155,7 @@ def read_json_records(
     except AnalysisException as e:
         if on_missing == "fail" or e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], f"doc variant, _ord {ORD_TYPE}")
+        return spark.createDataFrame([], f"doc variant, {RAW} string, _ord {ORD_TYPE}")
 
 
 def read_xml(
@@ -136,15 +165,19 @@ def read_xml(
     columns: Sequence[str] = BENEFIT_COLUMNS,
     on_missing: str = "empty",
 ) -> DataFrame:
-    """One row per ``row_tag`` element. Files are read in parallel, one file by one task."""
+    """One row per ``row_tag`` element. Files are read in parallel, one file by one task.
+
+    Behind a malformed element nothing can be told apart: it and what follows in its file are one
+    row, the text of the file in ``_raw``.
+    """
 
     def read() -> DataFrame:
         frame = (
             spark.read.format("xml")
-            .option("rowTag", row_tag)
-            .schema(_text_schema(columns))
+            .options(rowTag=row_tag, columnNameOfCorruptRecord=RAW)
+            .schema(_text_schema([*columns, RAW]))
             .load(path)
         )
-        return frame.select(*columns, _file_order())
+        return frame.select(*columns, RAW, _file_order())
 
     return _or_empty(spark, read, columns, on_missing)

@@ -28,8 +28,7 @@ def csv_file(tmp_path):
 
 
 def test_csv(spark, csv_file):
-    assert readers.has_embedded_newlines(spark, csv_file)
-    extract = ex.hris_extract(readers.read_csv(spark, csv_file, HRIS_COLUMNS))
+    extract = ex.hris_extract(readers.read_csv(spark, csv_file, HRIS_COLUMNS, multi_line=True))
     good = extract.accepted()
     assert good.columns[: len(STANDARD_COLUMNS)] == list(STANDARD_COLUMNS)
     row = good.collect()
@@ -45,7 +44,6 @@ def test_csv(spark, csv_file):
 def test_csv_without_line_breaks_stays_splittable_and_keeps_its_order(spark, tmp_path):
     path = tmp_path / "p.csv"
     path.write_text("employee_id,base_salary\n" + "".join(f"{i},{i}00\n" for i in range(500)))
-    assert not readers.has_embedded_newlines(spark, str(path))
     rows = readers.read_csv(spark, str(path), readers.PAYROLL_COLUMNS).orderBy("_ord").collect()
     assert [r.employee_id for r in rows] == [str(i) for i in range(500)]
 
@@ -96,9 +94,70 @@ def test_nested_json(spark, tmp_path, layout):
     assert "ACQ_4" not in {r.employee_id for r in strict.accepted().collect()}
 
 
-def test_unreadable_json_document_is_empty(spark, tmp_path):
-    (tmp_path / "api.json").write_text("{not json")
-    assert readers.read_json_records(spark, str(tmp_path / "api.json")).count() == 0
+def accounted(extract):
+    """Letters by reason, after checking that every raw row is either clean or dropped."""
+    counts = extract.counts().first()
+    letters = [(r.reason, r.record) for r in extract.rejected().collect()]
+    assert counts.raw == counts.clean + counts.dropped
+    assert (counts.clean, counts.dropped) == (extract.accepted().count(), len(letters))
+    return letters
+
+
+def test_unreadable_json_documents_are_letters(spark, tmp_path):
+    for name, text in {"a": '{"employees": []}', "b": "{not json", "c": '{"people": [1]}', "d": json.dumps({"employees": RECORDS[:1]})}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    extract = ex.api_extract(readers.read_json_records(spark, str(tmp_path)))
+    reason = "Parse error: no JSON record"
+    assert sorted(accounted(extract)) == [(reason, '{"people": [1]}'), (reason, "{not json")]
+    assert [r.employee_id for r in extract.accepted().collect()] == ["ACQ_1"]
+
+
+def test_unreadable_json_line_is_a_letter(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"x": \n' + json.dumps(RECORDS[0]) + "\n\n")
+    extract = ex.api_extract(readers.read_json_records(spark, str(tmp_path), "lines"))
+    assert accounted(extract) == [("Parse error: no JSON record", '{"x": ')]
+
+
+def test_csv_rows_that_do_not_fit_are_letters(spark, tmp_path):
+    (tmp_path / "p.csv").write_text(
+        'employee_id,source,base_salary\n1,x,10\n2,y\n3,z,30,more\n4,5" pipe,40\n5,"two\nlines",50\n6,w,60\n'
+    )
+    extract = ex.payroll_extract(readers.read_csv(spark, str(tmp_path), readers.PAYROLL_COLUMNS))
+    letters = accounted(extract)
+    assert {r for r, _ in letters} == {"Parse error: row does not fit the header"}
+    assert sorted(t for _, t in letters) == ["2,y", "3,z,30,more", '5,"two', 'lines",50']
+    assert sorted((r.employee_id, r.source) for r in extract.accepted().collect()) == [("1", "x"), ("4", '5" pipe'), ("6", "w")]
+
+
+def test_csv_with_another_header_fails(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("employee_id,source\n1,x\n")
+    (tmp_path / "b.csv").write_text("source,employee_id\ny,2\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, str(tmp_path), readers.PAYROLL_COLUMNS).collect()
+
+
+def test_malformed_xml_is_a_letter_with_all_that_follows(spark, tmp_path):
+    tail = "<enrollment><employee_id>2</employee_id><plan_type>x<enrollment><employee_id>3</employee_id></enrollment></r>"
+    (tmp_path / "a.xml").write_text("<r><enrollment><employee_id>1</employee_id></enrollment>" + tail)
+    (tmp_path / "b.xml").write_text("<r><enrollment><employee_id>4</employee_id></enrollment></r>")
+    extract = ex.benefits_extract(readers.read_xml(spark, str(tmp_path)))
+    [(reason, text)] = accounted(extract)
+    assert reason == "Parse error: element is not well-formed" and tail in text
+    assert {r.employee_id for r in extract.accepted().collect()} == {"1", "4"}
+
+
+def test_files_follow_each_other_by_name(spark, tmp_path):
+    for folder in ("x", "another"):
+        (tmp_path / folder).mkdir()
+        for k in range(6):
+            (tmp_path / folder / f"{k}.csv").write_text(f"employee_id,base_salary\n{k}a,1\n{k}b,1\n")
+        rows = readers.read_csv(spark, str(tmp_path / folder), readers.PAYROLL_COLUMNS).orderBy("_ord").collect()
+        assert [r.employee_id for r in rows] == [f"{k}{c}" for k in range(6) for c in "ab"]
+
+
+def test_payroll_letters_hold_only_fields_of_the_source(spark):
+    rows = spark.createDataFrame([("1", " ", 1)], "employee_id string, base_salary string, _ord int")
+    assert json.loads(ex.payroll_extract(rows).rejected().first().record) == {"employee_id": "1", "base_salary": " "}
 
 
 def test_xml(spark, tmp_path):
@@ -146,7 +205,7 @@ def test_missing_source_still_has_the_standard_schema(spark, tmp_path):
 
 
 def test_dead_letters_append(spark, csv_file, tmp_path):
-    extract = ex.hris_extract(readers.read_csv(spark, csv_file, HRIS_COLUMNS))
+    extract = ex.hris_extract(readers.read_csv(spark, csv_file, HRIS_COLUMNS, multi_line=True))
     path = str(tmp_path / "dead")
     sinks.append_dead_letters(ex.dead_letters([extract]), path)
     sinks.append_dead_letters(ex.dead_letters([extract]), path)
