@@ -196,5 +196,11 @@ class IntegrationConfig:
     null_is_missing: bool = False
     skew: SkewPolicy = field(default_factory=SkewPolicy)
 
+    def __post_init__(self) -> None:
+        """A window or threshold of zero stands for the default."""
+        for name in ("fuzzy_threshold", "date_window_days"):
+            if not getattr(self, name):
+                object.__setattr__(self, name, getattr(type(self), name))
+
 
 DEFAULT = IntegrationConfig()

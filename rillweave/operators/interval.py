@@ -13,8 +13,8 @@ def window_micros(days: int) -> int:
 
 
 def bucket_of(micros: str, days: int) -> str:
-    """Buckets as wide as the window: partners lie in the same or an adjacent one."""
-    width = window_micros(days)
+    """Buckets as wide as the window, a day at least: partners lie in the same or an adjacent one."""
+    width = window_micros(max(days, 1))
     return f"cast(({micros} - pmod({micros}, {width})) div {width} AS int)"
 
 

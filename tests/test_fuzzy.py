@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from test_functions import _lcs
 
-from rillweave.config import SkewPolicy
+from rillweave.config import IntegrationConfig, SkewPolicy
 from rillweave.operators.fuzzy import flag_probable, fuzzy_pairs, name_cells, similar_cells
 from rillweave.operators.interval import interval_partners
 
@@ -106,3 +106,14 @@ def test_interval_partners(spark):
     known = [r[3] for r in rows if r[3]]
     expected = {(d, known.count(d), sum(abs(e - d) <= timedelta(days=30) for e in known) - 1) for d in set(known)}
     assert {tuple(r) for r in interval_partners(df, "hire_date", 30).collect()} == expected
+
+
+def test_zero_stands_for_the_default_window_and_threshold():
+    config = IntegrationConfig(date_window_days=0, fuzzy_threshold=0)
+    assert (config.date_window_days, config.fuzzy_threshold) == (30, 88)
+
+
+def test_partners_without_a_window_share_the_instant(spark):
+    frame = spark.sql("SELECT * FROM VALUES (TIMESTAMP_NTZ'2020-01-01'), (TIMESTAMP_NTZ'2020-01-01'), (TIMESTAMP_NTZ'2020-01-02') AS v(d)")
+    rows = interval_partners(frame, "d", 0).collect()
+    assert len(rows) == 2 and sorted(r.partners for r in rows) == [0, 1]
