@@ -4,7 +4,8 @@ Plain DataFrame work. A first pass measures each document; the measures go into
 one count per (language, source, measure, bin): counts add up, so sketches of parts merge to
 the sketch of the whole, in any order, and give the same result in every run. Cutoffs are
 read from the sketch of the cell, or, where the cell has few documents, from the merged
-sketch of its language or of everything. They are joined back to the documents.
+sketch of its language or of everything. Those two also bound each cell, so that a cell with
+much junk cannot lift its own limit. Cutoffs are joined back to the documents.
 
 Defined cases: null text has no words and fails the base rule, as empty text does. Null
 language or source is a value of its own. Repeated rows count and are judged each. An empty
@@ -141,15 +142,19 @@ def cutoffs(sketches: DataFrame, policy: QualityPolicy = QualityPolicy()) -> Dat
     rows = cell.join(language, F.expr("lang <=> l_lang and measure = l_measure")).join(
         everything, F.expr("measure = e_measure")
     )
-    few, few_l = f"total < {policy.min_cell}", f"l_total < {policy.min_cell}"
+    slack = "case measure " + " ".join(f"when '{m}' then {s}" for m, (_, s) in MEASURES.items()) + " end"
+
+    def limit(q: str) -> str:
+        return f"{q}q3 + {policy.spread} * ({q}q3 - {q}q1) + {slack}"
+
+    # The sketch of everything, and that of the language if it has the documents, bound each cell.
     chosen = rows.selectExpr(
         "lang", "source", "measure",
-        *(f"case when {few} and {few_l} then e_{q} when {few} then l_{q} else {q} end {q}" for q in ("q1", "q3")),
+        f"least({limit('e_')}, if(l_total < {policy.min_cell}, {limit('e_')}, {limit('l_')}),"
+        f" if(total < {policy.min_cell}, {limit('e_')}, {limit('')})) cut",
     )
-    slack = "case measure " + " ".join(f"when '{m}' then {s}" for m, (_, s) in MEASURES.items()) + " end"
-    limit = F.expr(f"q3 + {policy.spread} * (q3 - q1) + {slack}")
     return chosen.groupBy("lang", "source").agg(
-        *(F.max(F.when(F.col("measure") == m, limit)).alias(f"max_{m}") for m in MEASURES)
+        *(F.max(F.when(F.col("measure") == m, F.col("cut"))).alias(f"max_{m}") for m in MEASURES)
     )
 
 

@@ -344,6 +344,22 @@ def test_quality_rules(spark, docs, rows, none):
     assert quality_rules.quality_verdicts(none).count() == 0 and quality_rules.passing(none).count() == 0
 
 
+def test_quality_rules_bound_a_cell_with_junk(spark):
+    rng, rows = random.Random(7), []
+    for i in range(200):
+        junk = i < 40 and i % 10 < 3  # 30% of the cell s0
+        text = " ".join(f"v{rng.randrange(10**6)}" + ("####" if junk else "") for _ in range(80))
+        rows.append((i, text, "en" if i < 80 else "de", f"s{i // 40}", junk))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, junk boolean")
+    policy = quality_rules.QualityPolicy(min_cell=20)
+    clean = sorted(r[0] for r in rows if not r[4])
+    assert [r[0] for r in _sorted(quality_rules.passing(docs, policy), "doc_id")] == clean
+    assert [r[0] for r in _sorted(quality_rules.quality_verdicts(docs, policy).where("kept"), "doc_id")] == clean
+    # A language of the cell alone cannot lift it either.
+    alone = docs.selectExpr("doc_id", "text", "if(source = 's0', 'fr', lang) lang", "source", "junk")
+    assert [r[0] for r in _sorted(quality_rules.passing(alone, policy), "doc_id")] == clean
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
