@@ -212,6 +212,21 @@ def test_line_dedup(spark, docs, rows, none):
     assert line_dedup.line_dedup(none).count() == 0
 
 
+def test_line_dedup_keeps_near_copies(spark):
+    rng = random.Random(8)
+    prose = lambda: [" ".join(f"v{rng.randrange(10**6)}" for _ in range(12)) for _ in range(8)]
+    base, footer, rows = prose(), "The same footer on each page.", []
+    for i in range(60):
+        lines = prose()
+        if i < 6:  # one other word each, in another line each
+            lines = list(base)
+            lines[i] = lines[i].replace(lines[i].split()[3], f"changed{i}")
+        rows.append((i, "\n".join([*lines, footer]), "s"))
+    rows += [(100 + i, "\n".join(prose()), "t") for i in range(30)]
+    got = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert _sorted(got, "doc_id", "text") == [(i, t.replace("\n" + footer, "")) for i, t, _ in rows]
+
+
 def test_piece_codec_equals_library(docs, rows, none):
     import sentencepiece
 
