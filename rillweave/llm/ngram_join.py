@@ -323,6 +323,13 @@ def ngram_classes(
 
     text_hash is xxhash64 of the text (of empty text for null).
     """
+    return rooted_classes(docs, width, percent, doc_id, text).drop("root")
+
+
+def rooted_classes(
+    docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``ngram_classes`` with root: a number of the class, also where no row of it has an id; null without words."""
     own = input_rows(
         docs, doc_id=F.col(f"`{doc_id}`").cast("long"), text=text, text_hash=F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
     )
@@ -336,11 +343,11 @@ def ngram_classes(
             "sig", "doc_id", "coalesce(root, sig) root"
         )
         names = classes.groupBy("root").agg(F.min("doc_id").alias("component"))
-        named = classes.join(names, "root").select("sig", "component")
+        named = classes.join(names, "root").select("sig", "component", "root")
         rows = join.rows.select("doc_id", "text_hash", "n", F.expr("if(n > 0, sig, null) sig"))
         return settled(
             rows.join(named, "sig", "left").selectExpr(
-                "doc_id", "text_hash", "n n_shingles", "if(sig is null, doc_id, component) component_id"
+                "doc_id", "text_hash", "n n_shingles", "if(sig is null, doc_id, component) component_id", "root"
             )
         )
 

@@ -14,6 +14,9 @@ walk the same full bins again and again.
 Lengths are UTF-8 bytes plus one for the end of the document, so pieces may end within a
 character: this packs for byte-level models. The query packs what is given as ``length``.
 
+Clusters come from the n-gram join (5 words, similarity 0.8); texts equal but for case and
+blanks are of one cluster too. So packing costs a run of that join.
+
 Defined cases: null and empty text have length 1 and no cluster. A null source counts as a
 source. Repeated rows are rows of one cluster. An empty table gives an empty result. Further
 columns are ignored.
@@ -30,7 +33,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillweave.llm.common import input_rows, settled
+from rillweave.llm.common import components, input_rows, settled
+from rillweave.llm.ngram_join import rooted_classes
 
 CAPACITY = 8192
 #: Documents of a group on average. Memory and time of a task follow it.
@@ -126,13 +130,25 @@ def pack_group(pieces: pd.DataFrame, capacity: int) -> pd.DataFrame:
     return p.assign(bin=np.array(bins, dtype=np.int64), bin_slot=np.array(slots, dtype=np.int64), bin_offset=np.array(offsets, dtype=np.int64))
 
 
+def clusters(docs: DataFrame) -> DataFrame:
+    """text_hash, cluster of each different text but the empty one (columns doc_id, text)."""
+    key = r"xxhash64(lower(translate(text, ' \t\n\x0b\f\r', ''))) key"
+    keys = docs.where("text <> ''").selectExpr("xxhash64(text) text_hash", key).groupBy("text_hash").agg(F.min("key").alias("key"))
+    roots = rooted_classes(docs).groupBy("text_hash").agg(F.min("root").alias("root"))
+    texts = settled(keys.join(roots, "text_hash", "left").selectExpr("text_hash", "key", "coalesce(root, key) node"))
+    # Classes with texts of one key are one cluster.
+    first = texts.groupBy("key").agg(F.min("node").alias("u"), F.max("node").alias("last")).where("u <> last").select("key", "u")
+    names = components(texts.join(first, "key").selectExpr("u", "node v")).withColumnRenamed("root", "cluster")
+    return texts.join(names, "node", "left").selectExpr("text_hash", "coalesce(cluster, node) cluster")
+
+
 def pack(
     docs: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS,
     doc_id: str = "doc_id", text: str = "text", source: str = "source",
 ) -> DataFrame:
     """doc_id, source, piece, piece_start, piece_length, bin_id, bin_slot, bin_offset: a row per piece.
 
-    Clusters are texts equal but for case and blanks.
+    Clusters are the classes of near copies of the n-gram join, and texts equal but for case and blanks.
     """
     own = input_rows(docs, doc_id=F.col(f"`{doc_id}`").cast("long"), source=F.col(f"`{source}`").cast("string"), text=text)
     narrow = settled(
@@ -141,8 +157,8 @@ def pack(
             "cast(coalesce(octet_length(text), 0) + 1 as bigint) length",
             # The exact text takes part in the deal, so that rows of one id spread too.
             "xxhash64('deal', doc_id, text) deal",
-            "case when text <> '' then xxhash64(lower(replace(replace(text, '\n', ''), ' ', ''))) end cluster",
-        )
+            "xxhash64(coalesce(text, '')) text_hash",
+        ).join(clusters(own), "text_hash", "left")
     )
     groups = max(1, -(-narrow.count() // group_rows))
     pieces = narrow.selectExpr(

@@ -113,6 +113,21 @@ def test_packing_equals_brute_force(spark, docs, rows, none):
     assert packing.pack(none).count() == 0
 
 
+def test_packing_parts_clusters(spark):
+    rng, rows = random.Random(9), []
+    for c in range(8):
+        words = [f"v{rng.randrange(10**6)}" for _ in range(100)]
+        one_off = [*words[:50], "changed", *words[51:]]
+        for t in (" ".join(words), " ".join(one_off), "\t".join(words), "\r\n".join(words).upper(), "".join(words)):
+            rows.append((None if c == 7 else len(rows), t, f"s{len(rows)}", c))
+    cluster = {r[2]: r[3] for r in rows}
+    bins = collections.defaultdict(list)
+    for r in packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string, c int")).collect():
+        bins[r.bin_id].append(cluster[r.source])
+    assert sum(map(len, bins.values())) == len(rows) and max(map(len, bins.values())) > 1
+    assert all(len(set(b)) == len(b) for b in bins.values())
+
+
 def test_cover_tree_equals_brute_force(spark):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(12, 8))
