@@ -150,9 +150,142 @@ FROM measured m
 """
 
 
+def _crc32(text: str) -> str:
+    """crc32 of a short text of ASCII characters, bit by bit."""
+    bits = "[1, 1, 1, 1, 1, 1, 1, 1]::BIGINT[]"
+    step = f"list_reduce(list_prepend(xor(a, b), {bits}), lambda v, k: xor(v >> 1, 3988292384::BIGINT * (v & 1)))"
+    letters = f"list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {letters}), lambda a, b: {step}), 4294967295::BIGINT)"
+
+
+def _decontamination() -> str:
+    words = (
+        "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+        " '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    )
+    return f"""
+WITH docs AS (SELECT row_number() OVER () r, doc_id, {words} w FROM documents),
+items AS (SELECT item_id, {words} w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, len(w[i : i + 9]) width, array_to_string(w[i : i + 9], ' ') g
+    FROM items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) u(i) WHERE len(w) > 0
+),
+widths AS (SELECT DISTINCT width FROM windows),
+found AS (
+    SELECT r, i, d.width, item_id FROM (
+        SELECT r, i, width, array_to_string(w[i : i + width - 1], ' ') g
+        FROM docs, widths, unnest(range(1, len(w) - width + 2)) u(i)
+    ) d JOIN windows x ON d.width = x.width AND d.g = x.g
+),
+hit AS (SELECT r, count(DISTINCT p) n FROM found, unnest(range(i, i + width)) u(p) GROUP BY r),
+named AS (
+    SELECT r, count(*) n, string_agg(item, ',' ORDER BY item) ids
+    FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) item FROM found WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT n_words, coalesce(h.n, 0)::BIGINT n_hit, coalesce(m.n, 0)::BIGINT n_items,
+    sha256(coalesce(ids, '')) items_sha256, h.n IS NOT NULL contaminated
+FROM docs d LEFT JOIN hit h ON h.r = d.r LEFT JOIN named m ON m.r = d.r
+"""
+
+
+def _conversation_trie() -> str:
+    return f"""
+WITH turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) p,
+        {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} t
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (SELECT conv_id c, list(t ORDER BY p) t FROM turns GROUP BY conv_id),
+rebuilt AS (
+    SELECT o.c, list_concat(coalesce(b.t, [])[: h], o.t[h + 1 :]) t
+    FROM (SELECT c, t, {_crc32("c::VARCHAR")} % 9 h FROM own) o LEFT JOIN own b ON b.c = o.c - o.c % 5
+),
+paths AS (
+    SELECT c, d, t[: d] path, d = len(t) ends, CASE WHEN d = 0 THEN 0 ELSE strlen(t[d].text) END bytes
+    FROM rebuilt, unnest(range(0, len(t) + 1)) u(d)
+),
+nodes AS (
+    SELECT d, path, min(c) c, count(*) n, any_value(bytes) bytes,
+        string_agg(CASE WHEN ends THEN c::VARCHAR END, ',' ORDER BY c) ids
+    FROM paths GROUP BY d, path
+),
+kids AS (SELECT d - 1 d, path[: d - 1] path, count(*) n FROM nodes WHERE d > 0 GROUP BY ALL),
+counted AS (
+    SELECT n.*, coalesce(k.n, 0) n_children FROM nodes n LEFT JOIN kids k ON k.d = n.d AND k.path = n.path
+),
+below AS (
+    SELECT a.d, a.path, count(*) FILTER (b.n_children = 0) n_leaves, sum((b.n - 1) * b.bytes) saved
+    FROM counted a JOIN counted b ON b.d >= a.d AND b.path[: a.d] = a.path GROUP BY a.d, a.path
+)
+SELECT n.c conv_id, n.d depth, p.c parent_conv_id, n.n n_convs, n.n_children, n_leaves::BIGINT n_leaves,
+    saved::BIGINT saved_tokens, sha256(coalesce(n.ids, '')) ends_sha256
+FROM counted n JOIN below b ON b.d = n.d AND b.path = n.path
+LEFT JOIN nodes p ON p.d = n.d - 1 AND p.path = n.path[: n.d - 1]
+"""
+
+
+def _merkle_manifest() -> str:
+    def field(value: str) -> str:
+        return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+    tampered = f"CASE WHEN {_crc32('doc_id::VARCHAR')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END"
+    climb = """
+    SELECT {0}, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY i))
+    FROM {1} WHERE n > 1 GROUP BY {0}, level, i // 3, n
+"""
+    # Siblings of each node, in order, to its left and to its right.
+    beside = """
+    SELECT a.*, coalesce(string_agg(b.digest, '' ORDER BY b.i) FILTER (b.i < a.i), '') l,
+        coalesce(string_agg(b.digest, '' ORDER BY b.i) FILTER (b.i > a.i), '') r
+    FROM {1} a LEFT JOIN {1} b ON {0} AND a.level = b.level AND a.i // 3 = b.i // 3 AND a.i <> b.i
+    WHERE a.n > 1 GROUP BY ALL
+"""
+    return f"""
+WITH RECURSIVE leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 i, count(*) OVER (PARTITION BY source) n
+    FROM (SELECT doc_id, source, {leaf("text")} leaf, {leaf(tampered)} tampered FROM documents)
+),
+numbered AS (SELECT l.*, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 tree FROM leaves l),
+inner_nodes(tree, level, i, n, digest) AS (
+    SELECT tree, 0::BIGINT, i, n, leaf FROM numbered UNION ALL {climb.format("tree", "inner_nodes")}
+),
+subroots AS (SELECT tree i, level height, digest FROM inner_nodes WHERE n = 1),
+top_nodes(k, level, i, n, digest) AS (
+    SELECT 0, 0::BIGINT, i, (SELECT count(*) FROM subroots), digest FROM subroots UNION ALL {climb.format("k", "top_nodes")}
+),
+inner_beside AS ({beside.format("a.tree = b.tree", "inner_nodes")}),
+top_beside AS ({beside.format("a.k = b.k", "top_nodes")}),
+steps AS (
+    SELECT doc_id, source, x.i, b.level, l, r FROM numbered x JOIN inner_beside b
+    ON b.tree = x.tree AND b.i = x.i // CAST(pow(3, b.level) AS BIGINT)
+    UNION ALL
+    SELECT doc_id, source, x.i, 1000 + b.level, l, r FROM numbered x JOIN top_beside b ON b.i = x.tree // CAST(pow(3, b.level) AS BIGINT)
+),
+proofs AS (
+    SELECT source, i, list([l, r] ORDER BY level) path FROM steps GROUP BY source, i
+),
+folded AS (
+    SELECT x.doc_id, x.leaf, s.digest subroot, (SELECT digest FROM top_nodes WHERE n = 1) root,
+        coalesce(path, []) path, tampered
+    FROM numbered x JOIN subroots s ON s.i = x.tree
+    LEFT JOIN proofs p ON p.i = x.i AND p.source IS NOT DISTINCT FROM x.source
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda p: p[1] || p[2]), '')) proof_sha256,
+    list_reduce(list_prepend([tampered], path), lambda d, p: [sha256(p[1] || d[1] || p[2])])[1] folded_root,
+    folded_root = root verified
+FROM folded
+"""
+
+
 ORACLES = {
     "op2_cover_tree": _near_vectors(),
     "op6_line_dedup": _line_dedup(),
     "op8_ngram_join": _ngram_join(),
     "op10_quality_rules": _quality_rules(),
+    "op11_decontamination": _decontamination(),
+    "op12_conversation_trie": _conversation_trie(),
+    "op13_merkle_manifest": _merkle_manifest(),
 }
