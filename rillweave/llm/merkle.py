@@ -183,7 +183,7 @@ def proofs(rows: DataFrame, group: str, order: list[str], digest: str, work: Wor
     upper, roots = _grown(tops, work, "upper")
     root = roots.first()
     if root is None:
-        return rows.selectExpr("*", "0L n", "cast(array() as array<struct<l:binary,r:binary>>) path", "'' root")
+        return settled(rows.selectExpr("*", "0L n", "cast(array() as array<struct<l:binary,r:binary>>) path", "'' root"))
     # The root of a group goes by its name in the top tree. A pointer to the root of all is null: nothing is left to do.
     nodes = inner.unionByName(upper).selectExpr(
         *_ID, f"tree >= 0 and level + 1 = {height('n')} up", f"tree < 0 and level + 1 = {height('n')} last", "l", "r"
