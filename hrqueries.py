@@ -402,7 +402,7 @@ def token_sort_similarity(spark: SparkSession, sf: str) -> DataFrame:
         "lower(concat(first_name, ' ', last_name)) AS name",
         "lower(concat(last_name, ', ', first_name)) AS listed",
     )
-    return _ordered(forms, F.expr(f"{token_sort_ratio('name', 'listed')} AS score"))
+    return _ordered(forms, token_sort_ratio("name", "listed").alias("score"))
 
 
 @query
@@ -410,6 +410,18 @@ def fuzzy_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return resolve(cleaned(spark, sf), Staging(spark)).probable_matches
 
 
+@query
+def fuzzy_links(spark: SparkSession, sf: str) -> DataFrame:
+    """The review list in short: links between cells of records, with their numbers of pairs."""
+    return resolve(cleaned(spark, sf), Staging(spark)).match_links
+
+
+@query
+def fuzzy_records(spark: SparkSession, sf: str) -> DataFrame:
+    """The records of the linked cells."""
+    return resolve(cleaned(spark, sf), Staging(spark)).match_records
+
+
 @query
 def flag_probable(spark: SparkSession, sf: str) -> DataFrame:
     golden_rows = resolve(cleaned(spark, sf), Staging(spark)).golden

@@ -220,6 +220,14 @@ scored AS MATERIALIZED (SELECT ka, kb, {_score('ka', 'kb')} AS score FROM key_pa
 pairs AS MATERIALIZED (
  SELECT id1, id2, n1, n2, days, s1, s2, score FROM near JOIN scored ON ka = least(k1, k2) AND kb = greatest(k1, k2) WHERE score >= 88)"""
 
+_CELLS = f"""{_PAIRS},
+placed AS MATERIALIZED (SELECT *, CAST(floor(epoch_us(hire_date) / 2592000000000) AS INTEGER) AS bucket FROM people),
+cells AS (SELECT bucket, key, count(*) AS n FROM placed GROUP BY bucket, key),
+linked AS MATERIALIZED (
+ SELECT least((p.bucket, p.key), (q.bucket, q.key)) AS one, greatest((p.bucket, p.key), (q.bucket, q.key)) AS two,
+  one[1] AS bucket_1, one[2] AS name_1, two[1] AS bucket_2, two[2] AS name_2, score
+ FROM pairs JOIN placed p ON p.employee_id = id1 JOIN placed q ON q.employee_id = id2)"""
+
 _FLAGGED = f"""{_PAIRS},
 golden AS (SELECT *, employee_id IN (SELECT id1 FROM pairs UNION SELECT id2 FROM pairs) AS probable_match_flag FROM merged)"""
 
@@ -397,6 +405,12 @@ ORACLES: dict[str, str] = {
         SELECT ord, {_score('a', 'b')} AS score FROM forms""",
     "fuzzy_pairs": f"""WITH {_PAIRS} SELECT id1 AS record_1_id, id2 AS record_2_id, {_title('n1')} AS record_1_name, {_title('n2')} AS record_2_name,
         score AS similarity_score, days::INTEGER AS hire_date_diff_days, s1 AS record_1_source, s2 AS record_2_source, 'REVIEW' AS recommended_action FROM pairs""",
+    "fuzzy_links": f"""WITH {_CELLS}
+        SELECT bucket_1, name_1, bucket_2, name_2, any_value(score) AS similarity_score, any_value(a.n) AS records_1, any_value(b.n) AS records_2, count(*) AS n_pairs
+        FROM linked JOIN cells a ON a.bucket = bucket_1 AND a.key = name_1 JOIN cells b ON b.bucket = bucket_2 AND b.key = name_2
+        GROUP BY bucket_1, name_1, bucket_2, name_2""",
+    "fuzzy_records": f"""WITH {_CELLS} SELECT bucket, key AS name, employee_id, hire_date, source_systems FROM placed p
+        WHERE EXISTS (SELECT 1 FROM linked WHERE (bucket_1 = p.bucket AND name_1 = p.key) OR (bucket_2 = p.bucket AND name_2 = p.key))""",
     "flag_probable": f"WITH {_FLAGGED} SELECT employee_id, probable_match_flag FROM golden",
     "ghosts": f"""WITH {_MERGED} SELECT employee_id AS payroll_employee_id, trim(coalesce(first_name, '') || ' ' || coalesce(last_name, '')) AS name,
         salary_usd_annual, 'Payroll record with no matching HRIS entry' AS ghost_flag_reason

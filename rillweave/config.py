@@ -164,8 +164,6 @@ class SkewPolicy:
     max_hot_keys: int = 20_000
     scatter: int = 4_096
     block_rows: int = 2_000
-    # Distinct names per date bucket from which similar names must share two segments.
-    crowded_names: int = 200_000
 
 
 @dataclass(frozen=True)

@@ -1,15 +1,17 @@
 """Probable matches: similar names and hire dates within a window.
 
 Records collapse to *cells* (date bucket, token-sorted name) first, so work grows with
-distinct names per bucket and not with copies. Similar names are found by shared
-segments: if two texts differ by at most k inserted or deleted letters and one is cut
-into k + 1 segments, at least one segment occurs unchanged in the other, close to its
-place; of k + 2 segments at least two do. That turns the similarity join into an
-equi-join that misses nothing. Crowded buckets ask for two segments, so that few names
-meet by chance. The exact score is computed for those, once per pair of names.
-
-Flags come from cells alone, in linear work. Only ``fuzzy_pairs`` lists record pairs,
-because that list is its result.
+distinct names per bucket and not with copies. Similar names are found by shared grams, the
+runs of g letters: an insertion or deletion spoils at most g of them, so two similar names share
+a known number, in the same order and close to the same place. If grams are ranked, rare ones first,
+and a name of n grams shares c, one of its first n - c + 1 is shared, and it is among the first ones
+of the other name too. That turns the similarity join into an equi-join that misses nothing.
+A name of p letters has at most p grams of each of three lengths, and for the usual threshold about
+0.6 p in all, whatever its length. The exact score is computed for what meets, once per pair of names.
+
+Flags come from cells alone, in linear work. The review list names links between cells, each
+with its number of record pairs, and the records of the linked cells; ``fuzzy_pairs`` lists the record
+pairs themselves, of all links or of chosen ones.
 """
 
 from __future__ import annotations
@@ -53,96 +55,61 @@ def name_cells(df: DataFrame, days: int) -> DataFrame:
     )
 
 
-def _cut(texts: DataFrame, threshold: int) -> DataFrame:
-    """Per pair of lengths p <= q within reach: the allowed distance k, and every choice of
-    ``shared`` among the k + shared segments that p is cut into: i < j, or i = j for one.
-
-    A distance has the parity of p + q, so the allowed one is rounded down to it.
-    """
-    allowed = allowed_distance("p + q", threshold)
-    edge = "cast(({0}) * p div (k + shared) AS int)"
-    return (
-        texts.withColumn("k", F.expr(f"{allowed} - pmod({allowed} + p + q, 2)"))
-        .where("k >= q - p")
-        .withColumn("i", F.expr("explode(sequence(0, k))"))
-        .withColumn("j", F.expr("explode(if(shared = 1, array(i), sequence(i + 1, k + 1)))"))
-        .withColumn("at_i", F.expr(edge.format("i")))
-        .withColumn("at_j", F.expr(edge.format("j")))
-        .withColumn("width_i", F.expr(f"{edge.format('i + 1')} - at_i"))
-        .withColumn("width_j", F.expr(f"{edge.format('j + 1')} - at_j"))
-    )
+#: Lengths of grams, the most telling first.
+_GRAMS = (3, 2, 1)
+#: So many of the most frequent grams are known as such and go to the end of the ranking. It
+#: affects cost only.
+_FREQUENT = 20_000
 
 
-def _signature(at_i: str, at_j: str) -> str:
-    segments = f"substr(key, {at_i} + 1, width_i), substr(key, {at_j} + 1, width_j)"
-    return f"xxhash64(slot, p, q, i, j, {segments}) AS sig"
+def _shared_grams(total: str, threshold: int, g: int) -> str:
+    """Fewest common grams of ``g`` letters of two similar names of ``total`` letters.
 
-
-def _slots(cells: DataFrame, policy: SkewPolicy) -> DataFrame:
-    """Buckets that hold names, and how many segments two similar names have to share there.
-
-    One row per bucket: the range of dates bounds their number, hence the broadcast.
+    Deletions in one name spoil g grams of it each, letters that the other has instead g - 1. A distance
+    has the parity of ``total``, so the allowed one is rounded down to it.
     """
-    sizes = cells.groupBy(F.col("bucket").alias("slot")).agg(F.expr("count(1) AS names"))
-    return F.broadcast(
-        sizes.selectExpr("slot", f"if(names > {policy.crowded_names}, 2, 1) AS shared")
-    )
+    allowed = allowed_distance(total, threshold)
+    distance = f"({allowed} - pmod({allowed} + {total}, 2))"
+    return f"(({total} - {2 * (g - 1)} - {2 * g - 1} * {distance}) div 2)"
 
 
-def _segments(cells: DataFrame, slots: DataFrame, threshold: int) -> DataFrame:
-    """Signatures of the shorter text in its own and the adjacent buckets: its segments, under
-    every length the longer may have."""
-    longest = f"cast(p * {200 - threshold} div {threshold} AS int)"
-    texts = (
-        cells.where("key <> ''")
-        .selectExpr("bucket", "key", "length(key) AS p")
-        .withColumn("slot", neighbour_slots("bucket"))
-        .join(slots, "slot")
-        .withColumn("q", F.expr(f"explode(sequence(p, {longest}))"))
-    )
-    return _cut(texts, threshold).selectExpr(_signature("at_i", "at_j"), "bucket", "key")
+def _gram_length(total: str, threshold: int) -> str:
+    """The longest grams of which two similar names of ``total`` letters share one for sure; they share a letter anyway."""
+    cases = " ".join(f"WHEN {_shared_grams(total, threshold, g)} >= 1 THEN {g}" for g in _GRAMS[:-1])
+    return f"CASE {cases} ELSE {_GRAMS[-1]} END"
 
 
-def _edits(hit: str, shift: str) -> str:
-    """Fewest edits that move the text by ``shift`` and touch ``hit`` segments on the way."""
-    least = f"greatest({hit}, abs({shift}))"
-    return f"({least} + pmod({least} + {shift}, 2))"
-
-
-def _windows(cells: DataFrame, slots: DataFrame, threshold: int) -> DataFrame:
-    """Signatures of the longer text: the places where the shared segments may reappear.
-
-    Segments i and j can be taken as the first intact ones: the i segments before, and those
-    between, are touched. Only shifts within the edits that this leaves are listed.
-    """
-    shortest = f"cast(q * {threshold} div {200 - threshold} AS int)"
-    texts = (
-        cells.where("key <> ''")
-        .selectExpr("bucket", "bucket AS slot", "key", "length(key) AS q")
-        .join(slots, "slot")
-        .withColumn("p", F.expr(f"explode(sequence({shortest}, q))"))
-    )
-    # q - p - k is even and not positive.
-    shifts = "sequence((q - p - k) div 2, (q - p + k) div 2)"
-    edits = f"{_edits('i', 'move_i')} + {_edits('j - i - 1', '(move_j - move_i)')} + abs(q - p - move_j)"
+def _prefixes(names: DataFrame, threshold: int) -> DataFrame:
+    """p, g, taken: how many grams of ``g`` letters a name of p letters must be found by. A row per length and g."""
+    shortest, longest = f"cast(ceil(p * {threshold}D / {200 - threshold}) AS int)", f"cast(p * {200 - threshold} div {threshold} AS int)"
+    shared = "CASE g " + " ".join(f"WHEN {g} THEN {_shared_grams('(p + q)', threshold, g)}" for g in _GRAMS) + " END"
     return (
-        _cut(texts, threshold)
-        .withColumn("move_i", F.expr(f"explode({shifts})"))
-        .withColumn("move_j", F.expr(f"explode(if(shared = 1, array(move_i), {shifts}))"))
-        .where(f"{edits} <= k")
-        .where("at_i + move_i >= 0 AND at_j + move_j + width_j <= q")
-        .selectExpr(_signature("at_i + move_i", "at_j + move_j"), "bucket", "key")
+        names.select("p").distinct()
+        .withColumn("q", F.expr(f"explode(sequence(greatest({shortest} - 1, 1), {longest} + 1))"))
+        .withColumn("g", F.expr(_gram_length("(p + q)", threshold)))
+        .groupBy("p", "g").agg(F.max(F.expr(f"p - g + 1 - {shared} + 1")).alias("taken"))
+        .where("taken > 0 AND p >= g")
     )
 
 
-def _largest(df: DataFrame, key: str, n: str, policy: SkewPolicy) -> DataFrame:
-    """Keys that need more than one block: a bounded list, the largest first."""
-    return (
-        df.where(F.col(n) > policy.block_rows)
-        .orderBy(F.desc(n), key)
-        .limit(policy.max_hot_keys)
-        .selectExpr(key, f"cast(ceil({n} / {policy.block_rows}) AS int) AS blocks")
+def _signatures(cells: DataFrame, threshold: int) -> DataFrame:
+    """key, p, g, gram, at: the rarest grams of each different name, with its buckets."""
+    names = (
+        cells.where("key <> ''").groupBy("key").agg(F.collect_set("bucket").alias("buckets"))
+        .withColumn("p", F.expr("length(key)"))
     )
+    # A row per length: the longest name bounds their number, hence the broadcast.
+    grams = names.join(F.broadcast(_prefixes(names, threshold)), "p").selectExpr(
+        "key", "buckets", "p", "g", "taken", "posexplode(transform(sequence(1, p - g + 1), i -> substr(key, i, g))) AS (at, gram)"
+    )
+    frequent = (
+        grams.groupBy("g", "gram").agg(F.expr("count(1) AS n")).orderBy(F.desc("n"), "gram").limit(_FREQUENT)
+    )
+    ranked = grams.join(F.broadcast(frequent), ["g", "gram"], "left").groupBy("key", "g").agg(
+        F.first("buckets").alias("buckets"), F.first("p").alias("p"), F.first("taken").alias("taken"),
+        F.sort_array(F.collect_list(F.expr("struct(coalesce(n, 0L) AS n, xxhash64(gram) AS h, gram, at)"))).alias("all"),
+    )
+    return ranked.selectExpr("key", "buckets", "p", "g", "inline(transform(slice(all, 1, taken), x -> struct(x.gram, x.at)))")
 
 
 def _block_of(column: str) -> str:
@@ -158,30 +125,40 @@ def similar_cells(
 ) -> DataFrame:
     """Pairs of cells in the same or adjacent buckets whose different names reach ``threshold``.
 
-    A segment shared by very many names is split into blocks of the shorter side.
+    A gram that many names of a bucket are found by is split into blocks of both sides, by their
+    numbers; each block of one side meets each of the other.
     """
-    slots = _slots(cells, policy)
-    shorter, longer = _segments(cells, slots, threshold), _windows(cells, slots, threshold)
-    sizes = shorter.groupBy("sig").agg(F.expr("count(1) AS n"))
-    crowded = F.broadcast(_largest(sizes, "sig", "n", policy))
-    x = shorter.join(crowded, "sig", "left").selectExpr(
-        "sig", f"{_block_of('key')} AS block", "bucket AS bucket_x", "key AS x"
-    )
-    y = longer.join(crowded, "sig", "left").selectExpr(
-        "sig", f"{_all_blocks('blocks')} AS block", "bucket AS bucket_y", "key AS y"
+    found = _signatures(cells, threshold)
+    sig = ["slot", "g", "gram"]
+    longer = found.selectExpr("explode(buckets) AS slot", "g", "gram", "at", "key")
+    shorter = longer.withColumnRenamed("slot", "bucket").withColumn("slot", neighbour_slots("bucket"))
+    sides = shorter.selectExpr(*sig, "1L AS nx", "0L AS ny").unionAll(longer.selectExpr(*sig, "0L AS nx", "1L AS ny"))
+    crowded = (
+        sides.groupBy(*sig).agg(F.sum("nx").alias("nx"), F.sum("ny").alias("ny"))
+        .where(f"greatest(nx, ny) > {policy.block_rows} AND ny > 0")
+        .selectExpr(*sig, *(f"cast(ceil({n} / {policy.block_rows}) AS int) AS {b}" for n, b in (("nx", "bx"), ("ny", "by"))))
     )
-    total = "length(x) + length(y)"
+    x = shorter.join(crowded, sig, "left").withColumn("blocks", F.col("bx")).selectExpr(
+        *sig, f"{_block_of('key')} AS i", "by", "bucket AS bucket_x", "key AS x", "at AS at_x"
+    ).withColumn("j", F.expr(_all_blocks("by"))).drop("by")
+    y = longer.join(crowded, sig, "left").withColumn("blocks", F.col("by")).selectExpr(
+        *sig, f"{_block_of('key')} AS j", "bx", "slot AS bucket_y", "key AS y", "at AS at_y"
+    ).withColumn("i", F.expr(_all_blocks("bx"))).drop("bx")
+    total = "(length(x) + length(y))"
     limit = allowed_distance(total, threshold)
-    candidates = x.join(y, ["sig", "block"]).where(
-        f"""abs(bucket_x - bucket_y) <= 1
-            AND (length(x) < length(y) OR (length(x) = length(y) AND x < y))
+    grown = "(length(y) - length(x))"
+    # What the edits allow the place of a shared gram to move by.
+    candidates = x.join(y, [*sig, "i", "j"]).where(
+        f"""(length(x) < length(y) OR (length(x) = length(y) AND x < y))
+            AND {grown} <= {limit} AND g = {_gram_length(total, threshold)}
+            AND 2 * (at_y - at_x) BETWEEN {grown} - {limit} AND {grown} + {limit}
             AND levenshtein(x, y, {limit}) >= 0"""
     )
     # A name pair is scored once. Its bucket pairs are bounded by the range of dates.
     named = candidates.groupBy("x", "y").agg(
         F.expr("collect_set(struct(bucket_x, bucket_y)) AS places")
     )
-    scored = named.withColumn("distance", F.expr(f"explode(array({indel_distance('x', 'y')}))"))
+    scored = named.withColumn("distance", indel_distance("x", "y"))
     return scored.where(f"distance <= {limit}").selectExpr(
         "x", "y", f"{similarity('distance', total)} AS score", "inline(places)"
     )
@@ -242,20 +219,109 @@ def flag_probable(
     )
 
 
+def cell_links(cells: DataFrame, similar: DataFrame) -> DataFrame:
+    """bucket_1, name_1, bucket_2, name_2, score of each pair of cells whose records may be partners, each once.
+
+    Also each cell with itself, and with its name in the next bucket. The earlier bucket comes first, and in a bucket the
+    smaller name.
+    """
+    along = Window.partitionBy("key").orderBy("bucket")
+    same = cells.where("n > 1").selectExpr("bucket AS bucket_1", "key AS name_1", "bucket AS bucket_2", "key AS name_2", "100.0D AS score")
+    beside = (
+        cells.withColumn("follower", F.lead("bucket").over(along)).where("follower = bucket + 1")
+        .selectExpr("bucket AS bucket_1", "key AS name_1", "follower AS bucket_2", "key AS name_2", "100.0D AS score")
+    )
+    ends = "struct(bucket_x AS bucket, x AS name)", "struct(bucket_y AS bucket, y AS name)"
+    different = similar.selectExpr(f"least({', '.join(ends)}) AS a", f"greatest({', '.join(ends)}) AS b", "score").selectExpr(
+        "a.bucket AS bucket_1", "a.name AS name_1", "b.bucket AS bucket_2", "b.name AS name_2", "score"
+    )
+    return same.unionAll(beside).unionAll(different)
+
+
+_LINK = ["bucket_1", "name_1", "bucket_2", "name_2"]
+#: Parts of a bucket in which partners of cells in adjacent buckets are counted.
+_SLICES = 64
+
+
+def _pairs_across(df: DataFrame, links: DataFrame, days: int) -> DataFrame:
+    """n_pairs of each of ``links`` between adjacent buckets: record pairs within the window.
+
+    A record of the first cell reaches those of the second up to its own instant plus the window. Distinct
+    instants are merged, slice by slice of the bucket; what lies in earlier slices counts whole.
+    """
+    width = window_micros(days)
+    instants = (
+        df.where("hire_date IS NOT NULL")
+        .selectExpr(f"{epoch_micros('hire_date')} AS t", f"{token_sort(_NAME)} AS name")
+        .groupBy("t", "name").agg(F.expr("count(1) AS n"))
+        .withColumn("bucket", F.expr(bucket_of("t", days)))
+    )
+    first = links.join(instants.selectExpr("bucket AS bucket_1", "name AS name_1", "t", "n"), ["bucket_1", "name_1"])
+    second = links.join(instants.selectExpr("bucket AS bucket_2", "name AS name_2", "t", "n"), ["bucket_2", "name_2"])
+    events = first.selectExpr(*_LINK, f"t + {width} AS t", "n AS na", "0L AS nb").unionAll(
+        second.selectExpr(*_LINK, "t", "0L AS na", "n AS nb")
+    ).withColumn("slice", F.expr(f"t div {-(-width // _SLICES)}"))
+    within = Window.partitionBy(*_LINK, "slice").orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    slices = events.withColumn("reached", F.sum("nb").over(within)).groupBy(*_LINK, "slice").agg(
+        F.sum(F.expr("na * reached")).alias("near"), F.sum("na").alias("na"), F.sum("nb").alias("nb")
+    )
+    before = Window.partitionBy(*_LINK).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        slices.withColumn("whole", F.expr("na") * F.coalesce(F.sum("nb").over(before), F.lit(0)))
+        .groupBy(*_LINK).agg(F.sum(F.expr("near + whole")).alias("n_pairs"))
+    )
+
+
+def review_links(df: DataFrame, cells: DataFrame, similar: DataFrame, days: int) -> DataFrame:
+    """The review list in short: a row per pair of cells with partners, instead of one per pair of records.
+
+    similarity_score, records_1 and records_2 (sizes of the cells) and n_pairs (record pairs within the window). A cell
+    linked with itself holds partners of one name. Its size is that of the cells and of the similar names.
+    """
+    width = window_micros(days)
+
+    def sized(side: int) -> DataFrame:
+        return cells.selectExpr(
+            f"bucket AS bucket_{side}", f"key AS name_{side}", f"n AS records_{side}", f"min_t AS min_{side}", f"max_t AS max_{side}"
+        )
+
+    links = cell_links(cells, similar).join(sized(1), ["bucket_1", "name_1"]).join(sized(2), ["bucket_2", "name_2"])
+    # Cells of a bucket lie within the window; those beside each other may lie within it as a whole.
+    settled = links.where(f"bucket_1 = bucket_2 OR max_2 - min_1 <= {width}").withColumn(
+        "n_pairs", F.expr("if(bucket_1 = bucket_2 AND name_1 = name_2, records_1 * (records_1 - 1) div 2, records_1 * records_2)")
+    )
+    open_ = links.where(f"bucket_1 < bucket_2 AND max_2 - min_1 > {width} AND min_2 - max_1 <= {width}")
+    counted = open_.join(_pairs_across(df, open_.select(*_LINK), days), _LINK)
+    return settled.unionByName(counted).where("n_pairs > 0").selectExpr(
+        *_LINK, "score AS similarity_score", "records_1", "records_2", "n_pairs"
+    )
+
+
+def review_records(df: DataFrame, links: DataFrame, days: int) -> DataFrame:
+    """The records of the cells that ``links`` names: bucket, name, employee_id, hire_date, source_systems."""
+    linked = links.selectExpr("inline(array(struct(bucket_1 AS bucket, name_1 AS name), struct(bucket_2 AS bucket, name_2 AS name)))")
+    records = df.where("hire_date IS NOT NULL").withColumn("_t", F.expr(epoch_micros("hire_date"))).selectExpr(
+        f"{bucket_of('_t', days)} AS bucket", f"{token_sort(_NAME)} AS name", "employee_id", "hire_date", "source_systems"
+    )
+    return records.join(linked.distinct(), ["bucket", "name"], "left_semi")
+
+
 def fuzzy_pairs(
     df: DataFrame,
     cells: DataFrame,
-    similar: DataFrame,
+    links: DataFrame,
     days: int,
     policy: SkewPolicy = SkewPolicy(),
 ) -> DataFrame:
-    """All record pairs behind the flags, for review; record 1 is hired earlier (ties: smaller id).
+    """The record pairs of ``links`` (``cell_links`` or ``review_links``, all or some of them), for review;
+    record 1 is hired earlier (ties: smaller id).
 
     Large cells are cut into blocks, so that even the pairs of one very common name and
     date are produced by many tasks.
     """
-    large = F.broadcast(
-        _largest(cells.selectExpr(f"{_cell('bucket', 'key')} AS cell", "n"), "cell", "n", policy)
+    score = "similarity_score" if "similarity_score" in links.columns else "score"
+    large = cells.where(F.col("n") > policy.block_rows).selectExpr(
+        f"{_cell('bucket', 'key')} AS cell", f"cast(ceil(n / {policy.block_rows}) AS int) AS blocks"
     )
     records = (
         _with_cell(df, days)
@@ -268,20 +334,8 @@ def fuzzy_pairs(
             f"struct(_t AS t, employee_id AS id, {title_case(_NAME)} AS name, source_systems AS source) AS r",
         )
     )
-    own = _cell("bucket", "key")
-    same = cells.where("n > 1").selectExpr(f"{own} AS cell_1", f"{own} AS cell_2", "100.0D AS score")
-    along = Window.partitionBy("key").orderBy("bucket")
-    beside = (
-        cells.withColumn("follower", F.lead("bucket").over(along))
-        .where("follower = bucket + 1")
-        .selectExpr(f"{own} AS cell_1", f"{_cell('follower', 'key')} AS cell_2", "100.0D AS score")
-    )
-    different = similar.selectExpr(
-        f"{_cell('bucket_x', 'x')} AS cell_1", f"{_cell('bucket_y', 'y')} AS cell_2", "score"
-    )
     links = (
-        same.unionAll(beside)
-        .unionAll(different)
+        links.selectExpr(f"{_cell('bucket_1', 'name_1')} AS cell_1", f"{_cell('bucket_2', 'name_2')} AS cell_2", f"{score} AS score")
         .join(large.selectExpr("cell AS cell_1", "blocks AS blocks_1"), "cell_1", "left")
         .join(large.selectExpr("cell AS cell_2", "blocks AS blocks_2"), "cell_2", "left")
     )

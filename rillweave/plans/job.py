@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -119,11 +119,13 @@ def run_job(
     output: str,
     as_of: date | str | None = None,
     config: IntegrationConfig = DEFAULT,
+    list_pairs: bool = False,
     **reader_options,
 ) -> JobResult:
     """Run everything and write the outputs below ``output``.
 
-    The report is written before the gate. A failed gate raises ``GateFailed`` and leaves
+    Probable matches are written as links between groups of records and as the records of those groups;
+    ``list_pairs`` adds the list of all record pairs, whose size grows with the square of a group. The report is written before the gate. A failed gate raises ``GateFailed`` and leaves
     golden data, reports and profiles unwritten.
     """
     as_of = as_of or date.today()
@@ -146,5 +148,9 @@ def run_job(
         write_csv(table, f"{output}/profile/{name}")
     write_golden(golden, f"{output}/golden")
     write_csv(resolution.ghosts, f"{output}/ghosts")
-    write_csv(resolution.probable_matches, f"{output}/probable_matches")
-    return JobResult(report, passed, Resolution(golden, resolution.ghosts, resolution.probable_matches))
+    links = stage(resolution.match_links, "match_links")
+    write_csv(links, f"{output}/probable_match_links")
+    write_csv(resolution.match_records, f"{output}/probable_match_records")
+    if list_pairs:
+        write_csv(resolution.probable_matches, f"{output}/probable_matches")
+    return JobResult(report, passed, replace(resolution, golden=golden, match_links=links))

@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame
 
 from rillweave.config import DEFAULT, IntegrationConfig
 from rillweave.operators.email_merge import email_merge
-from rillweave.operators.fuzzy import flag_probable, fuzzy_pairs, name_cells, similar_cells
+from rillweave.operators.fuzzy import (
+    cell_links,
+    flag_probable,
+    fuzzy_pairs,
+    name_cells,
+    review_links,
+    review_records,
+    similar_cells,
+)
 from rillweave.operators.ghosts import ghosts
 from rillweave.operators.survivorship import exact_merge
 from rillweave.plans.staging import Staging
@@ -16,8 +24,12 @@ from rillweave.plans.staging import Staging
 
 @dataclass(frozen=True)
 class Resolution:
+    """``match_links`` and ``match_records`` are the review list in short, ``probable_matches`` all pairs of records."""
+
     golden: DataFrame
     ghosts: DataFrame
+    match_links: DataFrame
+    match_records: DataFrame
     probable_matches: DataFrame
 
 
@@ -43,8 +55,11 @@ def resolve(records: DataFrame, stage: Staging, config: IntegrationConfig = DEFA
     survivors = stage(merged(records, stage, config), "merged")
     cells, similar = probable_matches(survivors, stage, config)
     days, policy = config.date_window_days, config.skew
+    links = review_links(survivors, cells, similar, days)
     return Resolution(
         golden=flag_probable(survivors, cells, similar, days, policy),
         ghosts=ghosts(survivors),
-        probable_matches=fuzzy_pairs(survivors, cells, similar, days, policy),
+        match_links=links,
+        match_records=review_records(survivors, links, days),
+        probable_matches=fuzzy_pairs(survivors, cells, cell_links(cells, similar), days, policy),
     )

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 from rillweave.config import DEFAULT, NULL_SENTINELS
 from rillweave.functions import money, text
-from rillweave.functions.similarity import lcs_length, token_sort, token_sort_ratio
+from rillweave.functions.similarity import indel_distance, lcs_length, lcs_lengths, token_sort, token_sort_ratio
 from rillweave.functions.taxonomy import source_priority
 from rillweave.plans import clean
 from rillweave.plans.clean import with_layers
@@ -186,16 +186,29 @@ def _lcs(a, b):
     return row[-1]
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(st.text("abcé ", max_size=9), st.text("abcé ", max_size=9)), min_size=1, max_size=40))
-def test_lcs(spark, pairs):
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.text("abcé \U0001F600", max_size=70), st.text("abcé \U0001F600", max_size=140)), min_size=1, max_size=12))
+def test_lcs(pairs):
+    xs, ys = zip(*pairs, strict=True)
+    assert lcs_lengths(xs, ys).tolist() == lcs_lengths(ys, xs).tolist() == [_lcs(a, b) for a, b in pairs]
+
+
+def test_lcs_of_long_texts():
+    rng = random.Random(3)
+    text = lambda k: "".join(rng.choices("ab\U00010348", k=k))
+    pairs = [(text(a), text(b)) for a in (0, 1, 63, 64, 65, 128, 200, 321) for b in (0, 64, 129, 400)]
+    assert lcs_lengths(*zip(*pairs, strict=True)).tolist() == [_lcs(a, b) for a, b in pairs]
+
+
+def test_lcs_column(spark):
+    pairs = [("abc\U0001F600", "b\U0001F600"), ("", "a"), (None, "a"), ("a", None)]
     frame = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
-    rows = frame.selectExpr("i", f"{lcs_length('a', 'b')} AS l", f"{lcs_length('b', 'a')} AS m").orderBy("i").collect()
-    assert [r.l for r in rows] == [r.m for r in rows] == [_lcs(a, b) for a, b in pairs]
+    rows = frame.select("i", lcs_length("a", "b").alias("l"), indel_distance("a", "b").alias("d")).orderBy("i").collect()
+    assert [(r.l, r.d) for r in rows] == [(2, 2), (0, 1), (None, None), (None, None)]
 
 
 def test_token_sort_ratio(spark):
     frame = spark.createDataFrame([(0, "ann  lee", "lee ann"), (1, "", ""), (2, "a", ""), (3, "abcd", "abce")], "i int, a string, b string")
-    scores = [r.s for r in frame.selectExpr("i", f"{token_sort_ratio('a', 'b')} AS s").orderBy("i").collect()]
+    scores = [r.s for r in frame.select("i", token_sort_ratio("a", "b").alias("s")).orderBy("i").collect()]
     assert scores == [100.0, 100.0, 0.0, 75.0]
     assert frame.selectExpr(f"{token_sort('a')} AS t").first().t == "ann lee"

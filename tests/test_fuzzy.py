@@ -1,3 +1,4 @@
+import collections
 import random
 from datetime import datetime, timedelta
 
@@ -5,12 +6,20 @@ import pytest
 from test_functions import _lcs
 
 from rillweave.config import IntegrationConfig, SkewPolicy
-from rillweave.operators.fuzzy import flag_probable, fuzzy_pairs, name_cells, similar_cells
+from rillweave.operators.fuzzy import (
+    _signatures,
+    cell_links,
+    flag_probable,
+    fuzzy_pairs,
+    name_cells,
+    review_links,
+    review_records,
+    similar_cells,
+)
 from rillweave.operators.interval import interval_partners
 
 SCHEMA = "employee_id string, first_name string, last_name string, hire_date timestamp_ntz, source_systems string"
-TINY = SkewPolicy(hot_rows=2, max_hot_keys=3, scatter=4, block_rows=2, crowded_names=12)
-CROWDED = SkewPolicy(crowded_names=0)
+TINY = SkewPolicy(hot_rows=2, max_hot_keys=3, scatter=4, block_rows=2)
 
 
 def people(n, seed, letters="abn", days=200):
@@ -47,6 +56,8 @@ def brute(rows, threshold, days):
                 continue
             x, y = (" ".join(sorted(f"{r[1] or ''} {r[2] or ''}".lower().split())) for r in (a, b))
             total = len(x) + len(y)
+            if abs(len(x) - len(y)) * 100 > (100 - threshold) * total:
+                continue
             distance = total - 2 * _lcs(x, y)
             if distance * 100 <= (100 - threshold) * total:
                 p, q = sorted((a, b), key=lambda r: (r[3], r[0]))
@@ -56,7 +67,7 @@ def brute(rows, threshold, days):
 
 
 @pytest.mark.parametrize("threshold,days,seed,policy", [
-    (88, 30, 1, SkewPolicy()), (88, 30, 2, TINY), (75, 10, 3, TINY), (60, 7, 4, SkewPolicy()), (60, 7, 4, CROWDED), (95, 30, 5, TINY),
+    (88, 30, 1, SkewPolicy()), (88, 30, 2, TINY), (75, 10, 3, TINY), (60, 7, 4, SkewPolicy()), (30, 7, 6, TINY), (95, 30, 5, TINY),
 ])
 def test_pairs_and_flags_equal_brute_force(spark, threshold, days, seed, policy):
     rows = people(150, seed)
@@ -64,7 +75,7 @@ def test_pairs_and_flags_equal_brute_force(spark, threshold, days, seed, policy)
     cells = name_cells(df, days).cache()
     similar = similar_cells(cells, threshold, policy).cache()
     expected = brute(rows, threshold, days)
-    found = fuzzy_pairs(df, cells, similar, days, policy).collect()
+    found = fuzzy_pairs(df, cells, cell_links(cells, similar), days, policy).collect()
     assert len(found) == len(expected)
     assert {(r.record_1_id, r.record_2_id, r.similarity_score, r.hire_date_diff_days) for r in found} == expected
     flagged = {r.employee_id for r in flag_probable(df, cells, similar, days, policy).where("probable_match_flag").collect()}
@@ -72,19 +83,59 @@ def test_pairs_and_flags_equal_brute_force(spark, threshold, days, seed, policy)
     assert flag_probable(df, cells, similar, days, policy).count() == len(rows)
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), CROWDED])
+def _places(rows, days):
+    """Cell (bucket, name) of each record with a date."""
+    width, start = timedelta(days=days), datetime(1970, 1, 1)
+    return {r[0]: ((r[3] - start) // width, " ".join(sorted(f"{r[1] or ''} {r[2] or ''}".lower().split()))) for r in rows if r[3]}
+
+
+@pytest.mark.parametrize("threshold,days,seed", [(88, 30, 12), (75, 5, 13)])
+def test_links_and_records_sum_up_the_pairs(spark, threshold, days, seed):
+    rng = random.Random(seed)
+    # Instants of all sorts, so that partners in adjacent buckets are counted within slices too.
+    rows = [(*r[:3], r[3] and r[3] + timedelta(seconds=rng.choice([0, 0, 1, 7200, 40000])), r[4]) for r in people(200, seed, days=40)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    cells = name_cells(df, days).cache()
+    links = review_links(df, cells, similar_cells(cells, threshold), days).cache()
+    place, expected = _places(rows, days), collections.defaultdict(lambda: [0, None])
+    for a, b, score, _ in brute(rows, threshold, days):
+        link = expected[tuple(sorted((place[a], place[b])))]
+        link[0] += 1
+        link[1] = score
+    sizes = collections.Counter(place.values())
+    got = {((r.bucket_1, r.name_1), (r.bucket_2, r.name_2)): (r.n_pairs, r.similarity_score, r.records_1, r.records_2) for r in links.collect()}
+    assert got == {k: (n, score, sizes[k[0]], sizes[k[1]]) for k, (n, score) in expected.items()} and len(got) == links.count()
+    linked = {c for link in expected for c in link}
+    found = [((r.bucket, r.name), r.employee_id) for r in review_records(df, links, days).collect()]
+    assert sorted(found) == sorted((c, i) for i, c in place.items() if c in linked)
+    # The pairs of chosen links alone.
+    chosen = links.where("n_pairs > 1")
+    pairs = {(r.record_1_id, r.record_2_id) for r in fuzzy_pairs(df, cells, chosen, days).collect()}
+    wanted = {k for k, (n, _) in expected.items() if n > 1}
+    assert pairs == {p[:2] for p in brute(rows, threshold, days) if tuple(sorted((place[p[0]], place[p[1]]))) in wanted}
+
+
+def test_signatures_of_a_name_are_few(spark):
+    rng = random.Random(5)
+    names = ["".join(rng.choices("abcdefgh", k=k)) for k in (3, 8, 20, 60, 120, 200)]
+    cells = spark.createDataFrame([(0, x, 1, 0, 0) for x in names], "bucket int, key string, n long, min_t long, max_t long")
+    count = {r.key: r["count"] for r in _signatures(cells, 88).groupBy("key").count().collect()}
+    assert all(count[x] <= len(x) for x in names) and count[names[-1]] <= 0.7 * 200
+
+
+@pytest.mark.parametrize("policy", [SkewPolicy(), TINY])
 def test_longer_names_lose_nothing(spark, policy):
     rng = random.Random(9)
     rows = []
     for i in range(120):
-        base = list("maximiliana alexandrina von hohenzollern" if i % 2 else "li wu")
-        for _ in range(rng.randrange(6)):
+        base = list("maximiliana alexandrina von hohenzollern " * (1 + 4 * (i % 4 == 1)) if i % 2 else "li wu")
+        for _ in range(rng.randrange(6 + 20 * (len(base) > 99))):
             at = rng.randrange(len(base))
             base[at : at + 1] = rng.choice([[], [rng.choice("aeiou")], [base[at], rng.choice("aeiou")]])
         rows.append((f"GT-{i:06d}", "".join(base), None, datetime(2020, 1, 1), "payroll"))
     df = spark.createDataFrame(rows, SCHEMA)
     cells = name_cells(df, 30).cache()
-    found = fuzzy_pairs(df, cells, similar_cells(cells, 88, policy), 30, policy)
+    found = fuzzy_pairs(df, cells, cell_links(cells, similar_cells(cells, 88, policy)), 30, policy)
     assert {(r.record_1_id, r.record_2_id) for r in found.collect()} == {p[:2] for p in brute(rows, 88, 30)}
 
 
@@ -94,7 +145,7 @@ def test_name_display_and_missing_parts(spark):
             ("GT-000003", None, None, day, "c"), ("GT-000004", None, None, day + timedelta(days=30), "d")]
     df = spark.createDataFrame(rows, SCHEMA)
     cells = name_cells(df, 30).cache()
-    pairs = fuzzy_pairs(df, cells, similar_cells(cells, 88), 30).orderBy("record_1_id").collect()
+    pairs = fuzzy_pairs(df, cells, cell_links(cells, similar_cells(cells, 88)), 30).orderBy("record_1_id").collect()
     assert [(r.record_1_id, r.record_2_id, r.record_1_name, r.record_1_source, r.hire_date_diff_days) for r in pairs] == [
         ("GT-000001", "GT-000002", "O'Neil Smith-Jones", "b", 0), ("GT-000003", "GT-000004", "", "c", 30),
     ]

@@ -32,7 +32,7 @@ def paths(tmp_path):
 
 def test_whole_job(spark, paths, tmp_path):
     out = str(tmp_path / "out")
-    result = run_job(spark, paths, out, as_of="2026-12-03")
+    result = run_job(spark, paths, out, as_of="2026-12-03", list_pairs=True)
     assert result.gate_passed
     golden = {r.employee_id: r for r in spark.read.parquet(f"{out}/golden").collect()}
     assert len(golden) == 40 and "AC-000001" not in golden
@@ -44,6 +44,10 @@ def test_whole_job(spark, paths, tmp_path):
     assert one.probable_match_flag and golden["GT-000002"].probable_match_flag
     pairs = spark.read.csv(f"{out}/probable_matches", header=True).collect()
     assert ("GT-000001", "GT-000002", "100.0") in {(r.record_1_id, r.record_2_id, r.similarity_score) for r in pairs}
+    links = spark.read.csv(f"{out}/probable_match_links", header=True, inferSchema=True).collect()
+    assert sum(r.n_pairs for r in links) == len(pairs)
+    members = {r.employee_id for r in spark.read.csv(f"{out}/probable_match_records", header=True).collect()}
+    assert {i for r in pairs for i in (r.record_1_id, r.record_2_id)} <= members
     assert spark.read.csv(f"{out}/dead_letter", header=True, escape='"').count() == 1
     assert spark.read.csv(f"{out}/validation_report", header=True, escape='"').count() == 15
     assert spark.read.csv(f"{out}/profile/tenure_histogram", header=True).count() == 25
