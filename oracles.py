@@ -363,9 +363,7 @@ ORACLES: dict[str, str] = {
           job_title := '', hire_date := '', country := '', employment_type := '', manager_id := ''))::VARCHAR
         FROM items WHERE (ord // 10) % 3 <> 1""",
     "quarantine_xml": f"""WITH {_BASE}
-        SELECT 'Parse error: element is not well-formed' AS reason,
-         '<r>' || string_agg('<enrollment><employee_id>' || employee_id || '</employee_id><plan_type>' || plan_type || '</plan_type></enrollment>', '' ORDER BY ord)
-         || '<enrollment><employee_id>9' || chr(10) AS record
+        SELECT 'Parse error: element is not closed' AS reason, '<enrollment><employee_id>9' || chr(10) AS record
         FROM fx_benefits WHERE (ord // 500) % 4 = 1 GROUP BY ord // 500
         UNION ALL SELECT reason, to_json(struct_pack({', '.join(f'{k} := trim({k})' for k in _BEN if k in ('employee_id', 'plan_type'))},
          coverage_level := '', enrollment_date := '', premium_employee := NULL::VARCHAR, premium_employer := NULL::VARCHAR))::VARCHAR

@@ -23,7 +23,7 @@ from rillweave.operators.quality import GateFailed, run_validation
 from rillweave.plans.clean import apply_layers, cleaning_layers, unmapped_departments
 from rillweave.plans.resolve import Resolution, resolve
 from rillweave.plans.staging import Staging
-from rillweave.sources.extracts import EXTRACTORS, Extract, union_sources
+from rillweave.sources.extracts import EXTRACTORS, READ_ERRORS, Extract, failure_kind, union_sources, unreadable_extract
 from rillweave.sources.readers import (
     BENEFIT_COLUMNS,
     PAYROLL_COLUMNS,
@@ -56,7 +56,8 @@ def read_extracts(
     csv_multi_line: bool = False,
     on_missing: str = "empty",
 ) -> dict[str, Extract]:
-    """All sources in load order, quarantined. A missing path counts as an empty source.
+    """All sources in load order, quarantined. A missing path counts as an empty source, one that cannot
+    be read as a source with a letter about it (both raise with ``on_missing="fail"``).
 
     ``csv_multi_line=True`` allows line breaks inside quoted fields, for files that need not be split.
     """
@@ -75,20 +76,54 @@ def read_extracts(
         PAYROLL: payroll,
         BENEFITS: lambda path: read_xml(spark, path, on_missing=on_missing),
     }
-    return {name: EXTRACTORS[name](readers[name](paths[name]), config) for name in config.source_order}
+
+    def extract(name: str) -> Extract:
+        try:
+            return EXTRACTORS[name](readers[name](paths[name]), config)
+        except READ_ERRORS as e:
+            if on_missing == "fail" or not failure_kind(e):
+                raise
+            return unreadable_extract(spark, name, [paths[name]], e)
+
+    return {name: extract(name) for name in config.source_order}
+
+
+def _landed(extracts: Mapping[str, Extract], as_of: date | str, stage: Staging, config: IntegrationConfig, isolate: bool) -> DataFrame:
+    """All records of all sources, written once. If a file stops that, each source is written alone, and one
+    that cannot be read becomes a letter that names its files."""
+    layers = cleaning_layers(as_of, config)
+
+    def written(some: Mapping[str, Extract], name: str) -> DataFrame:
+        frames = [apply_layers(e.landed(config), layers) for e in some.values()]
+        return stage(union_sources(frames), name, partition_by="_rejected")
+
+    try:
+        return written(extracts, "landed")
+    except READ_ERRORS as e:
+        if not isolate or not failure_kind(e):
+            raise
+    parts = []
+    for name, extract in extracts.items():
+        try:
+            parts.append(written({name: extract}, f"landed_{name}"))
+        except READ_ERRORS as e:
+            if not failure_kind(e):
+                raise
+            letter = unreadable_extract(stage.spark, name, extract.rows.inputFiles(), e)
+            parts.append(written({name: letter}, f"unreadable_{name}"))
+    return union_sources(parts)
 
 
 def land(
-    extracts: Mapping[str, Extract], as_of: date | str, stage: Staging, config: IntegrationConfig
+    extracts: Mapping[str, Extract], as_of: date | str, stage: Staging, config: IntegrationConfig, isolate: bool = True
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Read and clean every source once: (cleaned records, dead letters, counts per source).
 
     Good and bad records are written side by side as columnar partitions, so the raw files,
-    the largest and slowest input, are parsed a single time.
+    the largest and slowest input, are parsed a single time. ``isolate``: a source that fails while it
+    is read does not stop the others.
     """
-    layers = cleaning_layers(as_of, config)
-    frames = [apply_layers(e.landed(config), layers) for e in extracts.values()]
-    landed = stage(union_sources(frames), "landed", partition_by="_rejected")
+    landed = _landed(extracts, as_of, stage, config, isolate)
     records = landed.where("NOT _rejected").drop("_reason", "_record", "_rejected")
     letters = landed.where("_rejected").selectExpr(
         "current_timestamp() AS timestamp", "source_system AS source", "_reason AS reason", "_record AS record"
@@ -131,7 +166,7 @@ def run_job(
     as_of = as_of or date.today()
     stage = Staging(spark)
     extracts = read_extracts(spark, paths, config, **reader_options)
-    records, letters, counts = land(extracts, as_of, stage, config)
+    records, letters, counts = land(extracts, as_of, stage, config, reader_options.get("on_missing") != "fail")
     append_dead_letters(letters, f"{output}/dead_letter")
     write_csv(counts.coalesce(1), f"{output}/ingest_counts")
     # A cleaned department is a standard name or one that no rule knows.

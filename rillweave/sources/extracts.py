@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillweave.config import API, BENEFITS, DEFAULT, HRIS, PAYROLL, IntegrationConfig
 from rillweave.functions.text import is_blank, quote, strip
-from rillweave.sources.readers import fence
+from rillweave.sources.readers import ORD_TYPE, fence
 
 # Target column -> path in a nested record (fixed values).
 API_PATHS = {
@@ -59,6 +63,8 @@ class Extract:
     def _record(self) -> str:
         """The fields of a record as JSON, or its raw text where it could not be flattened."""
         fields = ", ".join(f"cast(`{c}` AS string) AS `{c}`" for c in self.fields if c not in self.derived)
+        if not fields:
+            return "_raw"
         record = f"to_json(struct({fields}), map('ignoreNullFields', 'false'))"
         return f"coalesce(_raw, {record})" if "_raw" in self.rows.columns else record
 
@@ -128,7 +134,8 @@ def _unreadable(df: DataFrame, what: str) -> Column:
     """The reason for rows that the reader could not parse."""
     if "_raw" not in df.columns:
         return F.lit(None).cast("string")
-    return F.when(F.col("_raw").isNotNull(), F.lit(f"Parse error: {what}"))
+    problem = F.coalesce("_problem", F.lit(what)) if "_problem" in df.columns else F.lit(what)
+    return F.when(F.col("_raw").isNotNull(), F.concat(F.lit("Parse error: "), problem))
 
 
 _BAD_ROW = "row does not fit the header"
@@ -141,7 +148,7 @@ def _quarantined(df: DataFrame, name: str, config: IntegrationConfig, derived: t
 
 def hris_extract(raw: DataFrame, config: IntegrationConfig = DEFAULT) -> Extract:
     """CSV rows. The reader cannot tell an empty field from null, here both are empty text."""
-    kept = [c for c in raw.columns if c in ("_ord", "_raw")]
+    kept = [c for c in raw.columns if c in ("_ord", "_raw", "_problem")]
     fields = [c for c in raw.columns if c not in kept]
     filled = raw.selectExpr(*(f"coalesce(`{c}`, '') AS `{c}`" for c in fields), *kept)
     return _quarantined(filled, HRIS, config)
@@ -205,6 +212,26 @@ def api_extract(raw: DataFrame, config: IntegrationConfig = DEFAULT) -> Extract:
     return Extract(API, rows.withColumn("_reason", F.coalesce("_error", missing)).drop("_error"))
 
 
+def unreadable_extract(spark: SparkSession, name: str, files: Sequence[str], error: Exception) -> Extract:
+    """A source that could not be read: one letter with its files and the kind of failure."""
+    rows = spark.createDataFrame(
+        [(json.dumps({"files": list(files)}), f"Source unreadable: {failure_kind(error)}")], "_raw string, _reason string"
+    )
+    return Extract(name, rows.withColumn("_ord", F.lit(None).cast(ORD_TYPE)))
+
+
+def failure_kind(error: Exception) -> str | None:
+    """The condition of an error that comes from a file, null for any other (a lost cluster, a full disk)."""
+    if isinstance(error, PySparkException) and (error.getCondition() or "").startswith(_READ_FAILURES):
+        return error.getCondition().split(".")[0]
+    named = re.search(rf"\[((?:{'|'.join(_READ_FAILURES)})\w*)", str(error))
+    return named[1] if named else None
+
+
+#: What Spark raises when a file cannot be read, while planning or in a task.
+READ_ERRORS = (PySparkException, Py4JJavaError)
+_READ_FAILURES = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "MALFORMED", "UNABLE_TO_INFER_SCHEMA", "PARQUET_TYPE", "PARQUET_CONVERSION")
+
 EXTRACTORS = {
     HRIS: hris_extract,
     API: api_extract,

@@ -1,16 +1,20 @@
 """File readers. Each returns text columns plus ``_ord``, the position of a row in its source.
 
 Readers of text formats lose nothing: what cannot be parsed is a row of its own, with its text in
-``_raw`` (null for good rows). A reader whose path does not exist gives an empty table (or
+``_raw`` (null for good rows) and maybe its fault in ``_problem``; an empty file is such a row too,
+with its name for text. A reader whose path does not exist gives an empty table (or
 raises, ``on_missing="fail"``), so that one missing extract does not stop the others.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import csv
+import re
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +33,11 @@ BENEFIT_COLUMNS = (
 
 ORD_TYPE = "struct<file:string,start:bigint,row:bigint>"
 RAW = "_raw"
+PROBLEM = "_problem"
+
+_EMPTY, _CUT, _OPEN_QUOTE, _OPEN_ELEMENT = "file is empty", "file is cut off", "quote is not closed", "element is not closed"
+#: Bytes at either end of a file that the driver looks at.
+_END_BYTES = 1 << 20
 
 
 def fence(df: DataFrame) -> DataFrame:
@@ -56,6 +65,62 @@ def _text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+def _key(url: str) -> str:
+    """The name of a file as ``_metadata.file_path`` gives it."""
+    return "file:/" + url.removeprefix("file:///") if url.startswith("file:///") else url
+
+
+def _ends(spark: SparkSession, urls: Iterable[str], wanted: str) -> dict[str, str | None]:
+    """The beginning (``wanted="head"``) or the end ("tail") of each file as text: one small read per file.
+
+    A compressed file has a beginning alone.
+    """
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def read(url: str) -> str | None:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(url))
+        system, codec = path.getFileSystem(conf), codecs.getCodec(path)
+        if wanted == "tail" and codec is not None:
+            return None
+        stream = system.open(path)
+        try:
+            if wanted == "tail":
+                stream.seek(max(0, system.getFileStatus(path).getLen() - _END_BYTES))
+            source = stream if codec is None else codec.createInputStream(stream)
+            bounded = jvm.org.apache.commons.io.input.BoundedInputStream(source, _END_BYTES)
+            return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(bounded)).decode("utf-8", "replace").removeprefix("\ufeff")
+        finally:
+            stream.close()
+
+    urls = sorted(urls)
+    with ThreadPoolExecutor(16) as pool:
+        return dict(zip(map(_key, urls), pool.map(read, urls), strict=True))
+
+
+def _empty_files(spark: SparkSession, urls: Iterable[str]) -> list[str]:
+    """The files without a byte, from one listing per folder."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    wanted = {_key(u) for u in urls}
+    folders = {u.rsplit("/", 1)[0]: u for u in wanted}
+    found = []
+    for url in folders.values():
+        folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(url)).getParent()
+        for status in folder.getFileSystem(conf).listStatus(folder):
+            name = status.getPath().toUri().toString()
+            if status.getLen() == 0 and _key(name) in wanted:
+                found.append(_key(name))
+    return found
+
+
+def _faulty_files(spark: SparkSession, files: dict[str, str], schema: T.StructType) -> DataFrame:
+    """One row per file with a fault: its name, and what is wrong with it."""
+    rows = spark.createDataFrame(sorted(files.items()), f"file string, {PROBLEM} string")
+    place = F.expr(f"cast(struct(file, 0L, -1L) AS {ORD_TYPE})").alias("_ord")
+    known = {RAW: F.col("file").alias(RAW), PROBLEM: F.col(PROBLEM), "_ord": place}
+    return rows.select(*(known.get(f.name, F.lit(None).cast(f.dataType).alias(f.name)) for f in schema))
+
+
 def _or_empty(
     spark: SparkSession, read: Callable[[], DataFrame], columns: Sequence[str], on_missing: str
 ) -> DataFrame:
@@ -78,25 +143,73 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header, every column as text; ``columns`` is the schema of a missing file.
 
-    A row with more or fewer fields than the header keeps its text in ``_raw``. The header of
-    every file must be that of the first one, else the read fails. ``multi_line`` allows line
-    breaks inside quoted fields; such files cannot be split between tasks. Without it, the
-    lines of a broken field are rows that do not fit.
+    Each file has a header of its own, so columns may stand in another order or be absent in some. A line
+    that equals it is a header, wherever it stands. A row with more or fewer fields than its header, or
+    with a quote that is not closed, keeps its text in ``_raw``: without ``multi_line`` a row is a line,
+    and the lines of a broken field are rows that do not fit. ``multi_line`` allows line breaks inside
+    quoted fields; such files cannot be split between tasks, and share one header.
     """
 
     def read() -> DataFrame:
-        options = {"header": True, "escape": '"', "multiLine": multi_line}
-        names = spark.read.options(**options).csv(path).columns
-        frame = (
-            spark.read.options(**options, enforceSchema=False, columnPruning=False, columnNameOfCorruptRecord=RAW)
-            .schema(_text_schema([*names, RAW]))
-            .csv(path)
+        if multi_line:
+            return _whole_csv(spark, path)
+        lines = spark.read.text(path)
+        heads = _ends(spark, lines.inputFiles(), "head")
+        headers = {f: next((x for x in t.splitlines() if x.strip()), None) for f, t in heads.items()}
+        names = {h: _header_names(h) for h in headers.values() if h is not None}
+        found = list(dict.fromkeys(n for h in names.values() for n in h)) or list(columns)
+        of_file = spark.createDataFrame([(f, h) for f, h in headers.items() if h is not None], "file string, header string")
+        placed = lines.where("trim(value) <> ''").select("value", _file_order())
+        # A row per file; Spark's own size check decides how they are joined.
+        rows = placed.join(of_file, F.col("_ord.file") == F.col("file")).where("value <> header")
+        parsed = fence(rows.select(F.expr(_parsed(names, found)).alias("r"), "value", "_ord"))
+        fields = [F.col(f"r.`{c}`") for c in found]
+        open_ = F.when(F.expr(_OPEN), F.lit(_OPEN_QUOTE))
+        good = parsed.select(
+            *fields, F.coalesce(f"r.{RAW}", F.when(F.expr(_OPEN), F.col("value"))).alias(RAW),
+            F.when(F.col(f"r.{RAW}").isNull(), open_).alias(PROBLEM), "_ord",
         )
-        return frame.select(*(F.col(f"`{c}`") for c in frame.columns), _file_order())
+        empty = {f: _EMPTY for f, h in headers.items() if h is None}
+        return good.unionByName(_faulty_files(spark, empty, good.schema)) if empty else good
 
     return _or_empty(spark, read, columns, on_missing)
 
 
+#: A field that begins with a quote and, once all closed ones are taken away, is still there.
+_OPEN = r"""contains(value, '"') AND regexp_replace(value, '(^|,)"[^"]*+(?:""[^"]*+)*+"', '$1') RLIKE '(^|,)"'"""
+
+
+def _header_names(header: str) -> list[str]:
+    """Names of the fields; blank and repeated ones are told apart by their place."""
+    fields = next(csv.reader([header]))
+    taken = [f.lower() for f in fields]
+    return [f"_c{i}" if not f else f"{f}{i}" if taken.count(f.lower()) > 1 else f for i, f in enumerate(fields)]
+
+
+def _parsed(names: dict[str, list[str]], found: list[str]) -> str:
+    """SQL for the fields of a line under the header of its file, as one struct of all columns."""
+    options = f"map('escape', '\"', 'columnNameOfCorruptRecord', '{RAW}')"
+    cases = []
+    for header, fields in names.items():
+        schema = ", ".join(f"`{c}` STRING" for c in (*fields, RAW))
+        every = ", ".join(f"{quote(c)}, {f'r.`{c}`' if c in (*fields, RAW) else 'cast(NULL AS STRING)'}" for c in (*found, RAW))
+        one = f"get(transform(array(from_csv(value, {quote(schema)}, {options})), r -> named_struct({every})), 0)"
+        cases.append(f"WHEN header = {quote(header)} THEN {one}")
+    empty = ", ".join(f"{quote(c)}, cast(NULL AS STRING)" for c in (*found, RAW))
+    return f"CASE {' '.join(cases)} ELSE named_struct({empty}) END"
+
+
+def _whole_csv(spark: SparkSession, path: str) -> DataFrame:
+    options = {"header": True, "escape": '"', "multiLine": True}
+    names = spark.read.options(**options).csv(path).columns
+    frame = (
+        spark.read.options(**options, enforceSchema=False, columnPruning=False, columnNameOfCorruptRecord=RAW)
+        .schema(_text_schema([*names, RAW]))
+        .csv(path)
+    )
+    return frame.select(*(F.col(f"`{c}`") for c in frame.columns), _file_order())
+
+
 def read_parquet(
     spark: SparkSession, path: str, columns: Sequence[str], on_missing: str = "empty"
 ) -> DataFrame:
@@ -121,7 +234,7 @@ def read_json_records(
     """Nested JSON as one variant column ``doc`` per record.
 
     A line or document that is no JSON, or a document without the array, is one row without
-    ``doc``, its text in ``_raw``.
+    ``doc``, its text in ``_raw``. So is an empty document.
 
     ``document``: each file holds one object with an array of records. A file is one row
     until its array is exploded, so land large extracts as many page files or as
@@ -142,13 +255,18 @@ def read_json_records(
                     doc -> named_struct('doc', doc, 'raw', cast(NULL AS string))),
                 array(named_struct('doc', cast(NULL AS variant), 'raw', value)))"""
         )
-        return text.select(
+        documents = text.select(
             F.col("_metadata.file_path").alias("file"), F.posexplode(records).alias("pos", "record")
         ).select(
             "record.doc",
             F.col("record.raw").alias(RAW),
             F.struct("file", F.lit(0).cast("bigint").alias("start"), F.col("pos").cast("bigint").alias("row")).alias("_ord"),
         )
+        # Files without a byte have no row in a text table.
+        empty = _empty_files(spark, text.inputFiles())
+        if not empty:
+            return documents
+        return documents.unionByName(_faulty_files(spark, dict.fromkeys(empty, _EMPTY), documents.schema))
 
     try:
         return read()
@@ -165,19 +283,77 @@ def read_xml(
     columns: Sequence[str] = BENEFIT_COLUMNS,
     on_missing: str = "empty",
 ) -> DataFrame:
-    """One row per ``row_tag`` element. Files are read in parallel, one file by one task.
+    """One row per ``row_tag`` element, at any depth.
 
-    Behind a malformed element nothing can be told apart: it and what follows in its file are one
-    row, the text of the file in ``_raw``.
+    Files are cut at the end tags, so a large one is read by several tasks, and each element is parsed
+    alone. One that is malformed or not closed is one row with its text in ``_raw``, and what follows it is
+    read. A file that ends before its root element does is a row with its name. An end tag inside a comment
+    or a CDATA section is taken for one. The end of a compressed file is not looked at.
     """
 
     def read() -> DataFrame:
-        frame = (
-            spark.read.format("xml")
-            .options(rowTag=row_tag, columnNameOfCorruptRecord=RAW)
-            .schema(_text_schema([*columns, RAW]))
-            .load(path)
+        urls = spark.read.text(path).inputFiles()
+        heads, tails = _ends(spark, urls, "head"), _ends(spark, urls, "tail")
+        faults, open_ended = {}, []
+        for url in urls:
+            fault, is_open = _xml_fault(heads[_key(url)], tails[_key(url)], row_tag)
+            if fault:
+                faults[_key(url)] = fault
+            if is_open:
+                open_ended.append(url)
+        whole = [u for u in urls if u not in open_ended]
+        parts = [_elements(spark, us, row_tag, is_open) for us, is_open in ((whole, False), (open_ended, True)) if us]
+        elements = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        schema = ", ".join(f"`{c}` STRING" for c in (*columns, RAW))
+        options = f"map('rowTag', {quote(row_tag)}, 'columnNameOfCorruptRecord', '{RAW}')"
+        parsed = fence(
+            elements.select(F.expr(f"CASE WHEN closed THEN from_xml(element, {quote(schema)}, {options}) END").alias("r"), "element", "closed", "_ord")
+        )
+        rows = parsed.select(
+            *(F.col(f"r.`{c}`") for c in columns), F.expr(f"if(closed, r.{RAW}, element)").alias(RAW),
+            F.when(~F.col("closed"), F.lit(_OPEN_ELEMENT)).alias(PROBLEM), "_ord",
         )
-        return frame.select(*columns, RAW, _file_order())
+        return rows.unionByName(_faulty_files(spark, faults, rows.schema)) if faults else rows
 
     return _or_empty(spark, read, columns, on_missing)
+
+
+def _xml_fault(head: str, tail: str | None, row_tag: str) -> tuple[str | None, bool]:
+    """What is wrong with a file as a whole, and whether it ends within an element of ``row_tag``."""
+    if not head.strip():
+        return _EMPTY, False
+    if tail is None:
+        return None, False
+    rest = tail.rpartition(f"</{row_tag}>")[2]
+    if re.search(rf"<{re.escape(row_tag)}(?:\s[^>]*[^/>])?>", rest):
+        return None, True
+    root = re.search(r"<([A-Za-z_][\w:.-]*)", re.sub(r"<\?.*?\?>|<!--.*?-->|<!.*?>", "", head, flags=re.S))
+    if root is None or root[1] == row_tag:
+        return (_CUT if root is None else None), False
+    end = rf"(?:</{re.escape(root[1])}\s*>|<{re.escape(root[1])}[^>]*/>)\s*(?:<!--.*?-->\s*|<\?.*?\?>\s*)*$"
+    return (None if re.search(end, tail, flags=re.S) else _CUT), False
+
+
+def _elements(spark: SparkSession, urls: list[str], row_tag: str, open_ended: bool) -> DataFrame:
+    """element, closed, _ord of each element. ``open_ended``: the last part of each file has no end tag.
+
+    Those few files are sorted to find that part; the others are not.
+    """
+    end = f"</{row_tag}>"
+    parts = spark.read.option("lineSep", end).text(urls).select("value", _file_order())
+    if open_ended:
+        along = Window.partitionBy("_ord.file").orderBy("_ord")
+        parts = parts.withColumn("last", F.lead("value").over(along).isNull())
+    else:
+        parts = parts.withColumn("last", F.lit(False))
+    tag = re.escape(row_tag)
+    # From one start tag to the next. Only the last of them can have the end tag at which the file was cut.
+    begun = f"filter(split(value, {quote(f'(?=<{tag}[{chr(92)}s/>])')}), x -> x RLIKE {quote(f'^<{tag}[{chr(92)}s/>]')})"
+    alone, spaced = quote(rf"^<{tag}(?:\s[^>]*)?/>"), quote(rf"</{tag}\s+>")
+    closed = (
+        f"CASE WHEN x RLIKE {alone} THEN struct(regexp_extract(x, {alone}, 0) AS element, true AS closed)"
+        f" WHEN i + 1 = size(begun) AND NOT last THEN struct(x || {quote(end)} AS element, true AS closed)"
+        f" WHEN x RLIKE {spaced} THEN struct(regexp_replace(x, {quote(rf'(?s)</{tag}{chr(92)}s+>.*')}, {quote(end)}) AS element, true AS closed)"
+        f" ELSE struct(x AS element, false AS closed) END"
+    )
+    return parts.withColumn("begun", F.expr(begun)).select(F.expr(f"inline(transform(begun, (x, i) -> {closed}))"), "_ord")

@@ -61,3 +61,28 @@ def test_gate_stops_before_the_exports(spark, paths, tmp_path):
     with pytest.raises(GateFailed):
         run_job(spark, paths, str(out), as_of="2026-12-03", config=config)
     assert (out / "validation_report").exists() and not (out / "golden").exists()
+
+
+def test_unreadable_sources_do_not_stop_the_others(spark, paths, tmp_path):
+    payroll = tmp_path / "payroll"
+    spark.read.csv(paths["payroll"], header=True).repartition(2).write.parquet(str(payroll))
+    part = next(payroll.glob("part-*.parquet"))
+    part.write_bytes(part.read_bytes()[:-40])
+    empty = tmp_path / "hris"
+    empty.mkdir()
+    (empty / "0.csv").write_text("")
+    text = (tmp_path / "hris.csv").read_text()
+    (empty / "1.csv").write_text("\n".join(",".join(reversed(line.split(","))) for line in text.splitlines()))
+    out = str(tmp_path / "out")
+    config = IntegrationConfig(gate_max_failures=15)
+    run_job(spark, paths | {"payroll": str(payroll), "globaltech_hris": str(empty)}, out, as_of="2026-12-03", config=config, payroll_format="parquet")
+    counts = {r.source: (r.raw, r.clean, r.dropped) for r in spark.read.csv(f"{out}/ingest_counts", header=True).collect()}
+    assert counts == {
+        "globaltech_hris": ("42", "40", "2"), "acquiredco_api": ("1", "1", "0"), "payroll": ("1", "0", "1"), "benefits": ("20", "20", "0"),
+    }
+    letters = {r.reason: r for r in spark.read.csv(f"{out}/dead_letter", header=True, escape='"').collect()}
+    assert {"Parse error: file is empty", "Missing required fields: ['first_name']"} < set(letters)
+    [unread] = [r for k, r in letters.items() if k.startswith("Source unreadable: ")]
+    assert unread.source == "payroll" and str(payroll) in unread.record
+    with pytest.raises(Exception, match="FAILED_READ_FILE|CANNOT_READ"):
+        run_job(spark, paths | {"payroll": str(payroll)}, out, as_of="2026-12-03", payroll_format="parquet", on_missing="fail")

@@ -129,21 +129,83 @@ def test_csv_rows_that_do_not_fit_are_letters(spark, tmp_path):
     assert sorted((r.employee_id, r.source) for r in extract.accepted().collect()) == [("1", "x"), ("4", '5" pipe'), ("6", "w")]
 
 
-def test_csv_with_another_header_fails(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("employee_id,source\n1,x\n")
-    (tmp_path / "b.csv").write_text("source,employee_id\ny,2\n")
-    with pytest.raises(Exception, match="header"):
-        readers.read_csv(spark, str(tmp_path), readers.PAYROLL_COLUMNS).collect()
+def test_csv_headers_count_per_file(spark, tmp_path):
+    for name, text in {
+        "a": "employee_id,source,base_salary\n1,x,10\n", "b": "\ufeffbase_salary,employee_id,extra\n20,2,e\nbase_salary,employee_id\n", "c": "", "d": "\n \n",
+        "e": "source\n\nemployee_id\n", "f g": 'base_salary,"employee_id"\n30,3\n',
+    }.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    extract = ex.payroll_extract(readers.read_csv(spark, str(tmp_path), readers.PAYROLL_COLUMNS))
+    letters = accounted(extract)
+    assert sorted((r, t.rsplit("/")[-1]) for r, t in letters) == [
+        ("Parse error: file is empty", "c.csv"), ("Parse error: file is empty", "d.csv"),
+        ("Parse error: row does not fit the header", "base_salary,employee_id"),
+    ]
+    rows = extract.accepted().orderBy("_ord").collect()
+    assert [(r.employee_id, r.source, r.base_salary, r.extra) for r in rows] == [
+        ("1", "x", "10", None), ("2", None, "20", "e"), (None, "employee_id", None, None), ("3", None, "30", None),
+    ]
 
 
-def test_malformed_xml_is_a_letter_with_all_that_follows(spark, tmp_path):
-    tail = "<enrollment><employee_id>2</employee_id><plan_type>x<enrollment><employee_id>3</employee_id></enrollment></r>"
-    (tmp_path / "a.xml").write_text("<r><enrollment><employee_id>1</employee_id></enrollment>" + tail)
-    (tmp_path / "b.xml").write_text("<r><enrollment><employee_id>4</employee_id></enrollment></r>")
-    extract = ex.benefits_extract(readers.read_xml(spark, str(tmp_path)))
+def test_csv_open_quotes_are_letters(spark, tmp_path):
+    good = ["1,a,b", '2,"a, ""b""",c', '3,a"b,c', '4,"",""', '5,"a"x,b"']
+    bad = ['6,a,"x', '7,b,"""', '8,c,"x""', '9,d,"a,b']
+    (tmp_path / "p.csv").write_text("\n".join(["employee_id,source,base_salary", *good, *bad, '10,"a,b']))
+    extract = ex.payroll_extract(readers.read_csv(spark, str(tmp_path), readers.PAYROLL_COLUMNS))
+    assert sorted(accounted(extract)) == sorted(
+        [("Parse error: quote is not closed", t) for t in bad] + [("Parse error: row does not fit the header", '10,"a,b')]
+        + [("Missing required fields: ['base_salary']", json.dumps({"employee_id": "4", "source": "", "base_salary": ""}, separators=(",", ":")))]
+        * (extract.accepted().where("employee_id = '4'").count() == 0)
+    )
+    assert {"1", "2", "3", "5"} <= {r.employee_id for r in extract.accepted().collect()}
+
+
+def test_empty_json_document_is_a_letter(spark, tmp_path):
+    (tmp_path / "a.json").write_text("")
+    (tmp_path / "b.json").write_text(json.dumps({"employees": RECORDS[:1]}))
+    extract = ex.api_extract(readers.read_json_records(spark, str(tmp_path)))
     [(reason, text)] = accounted(extract)
-    assert reason == "Parse error: element is not well-formed" and tail in text
-    assert {r.employee_id for r in extract.accepted().collect()} == {"1", "4"}
+    assert reason == "Parse error: no JSON record" and text.endswith("/a.json")
+    assert [r.employee_id for r in extract.accepted().collect()] == ["ACQ_1"]
+
+
+def _enrolled(*ids):
+    return "".join(f"<enrollment><employee_id>{i}</employee_id></enrollment>" for i in ids)
+
+
+def test_malformed_xml_elements_are_letters_of_their_own(spark, tmp_path):
+    files = {
+        "a": f"<?xml version='1.0'?><!-- <x> --><r>{_enrolled(1)}<enrollment><employee_id>2</employee_id><plan_type>x{_enrolled(3)}</r>\n",
+        "b": f"<r>{_enrolled(4)}<enrollment><a></enrollment>{_enrolled(5)}</r><!-- end -->",
+        "c": f"<r>{_enrolled(6)}<enrollment n='1'><employee_id>7</employee_id></enrollment ><enrollment><employee_id>8</employee_id></enrollment></r>",
+        "d": f"<r>{_enrolled(9)}",  # cut between elements
+        "e": f"<r>{_enrolled(10)}<enrollment><employee_id>11</employee_id>",  # cut within one
+        "f": f"<r>{_enrolled(12)}</",
+        "g": "", "h": "<r/>", "i": "<r></r>", "j": _enrolled(13), "k": f"<r><enrollment/>{_enrolled(14)}<enrollmentx>1</enrollmentx></r>",
+    }
+    for name, text in files.items():
+        (tmp_path / f"{name}.xml").write_text(text)
+    extract = ex.benefits_extract(readers.read_xml(spark, str(tmp_path)))
+    letters = sorted((r.removeprefix("Parse error: "), t.rsplit("/")[-1] if t.startswith("file:") else t) for r, t in accounted(extract))
+    nothing = json.dumps({c: "" if c in readers.BENEFIT_COLUMNS[:4] else None for c in readers.BENEFIT_COLUMNS}, separators=(",", ":"))
+    assert letters == sorted([
+        ("Missing employee_id", nothing), ("element is not closed", "<enrollment><employee_id>2</employee_id><plan_type>x"),
+        ("element is not closed", "<enrollment><employee_id>11</employee_id>"), ("element is not well-formed", "<enrollment><a></enrollment>"),
+        ("file is cut off", "d.xml"), ("file is cut off", "f.xml"), ("file is empty", "g.xml"),
+    ])
+    assert sorted(int(r.employee_id) for r in extract.accepted().collect()) == [1, 3, 4, 5, 6, 7, 8, 9, 10, 12, 13, 14]
+
+
+def test_one_xml_file_is_read_by_several_tasks(spark, tmp_path):
+    (tmp_path / "a.xml").write_text(f"<r>{_enrolled(*range(2000))}</r>")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        frame = readers.read_xml(spark, str(tmp_path))
+        assert frame.rdd.getNumPartitions() > 3
+        assert [r.employee_id for r in frame.orderBy("_ord").collect()] == [str(i) for i in range(2000)]
+        assert frame.where("_raw is not null").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_files_follow_each_other_by_name(spark, tmp_path):
