@@ -60,13 +60,21 @@ class Workspace:
             df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, *names: str) -> None:
+        """Deletes written tables that no later step reads."""
+        for name in names:
+            self._delete(f"{self.path}/{name}")
+
+    def _delete(self, path: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(path)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
     def __enter__(self) -> Workspace:
         return self
 
     def __exit__(self, *_) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        self._delete(self.path)
 
 
 def spare_name(df: DataFrame, name: str) -> str:

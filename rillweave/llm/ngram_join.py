@@ -32,6 +32,7 @@ gives an empty result. Further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,11 @@ SAMPLE, FREQUENT = 16, 8
 FREQUENT_KEPT = 200_000
 #: Keys that are given to all tasks rather than joined by a shuffle.
 RESIDENT_KEYS = 500_000
+#: Words of a bitmap, a power of two. It travels with each pair that is looked at.
 _BITMAP_WORDS = 32
+#: Steps that shuffle all prefixes or whole sets run in so many parts, one after the other, so that
+#: what is on disk at once is a part of them.
+PARTS = 4
 
 
 def _frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +92,8 @@ def _needed(n, percent: int):
 
 def _bitmaps(shingles: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     bits = np.zeros(n * _BITMAP_WORDS * 64, dtype=bool)
-    bits[owner * (_BITMAP_WORDS * 64) + (shingles >> np.uint64(64 - 11)).astype(np.int64)] = True
+    width = (_BITMAP_WORDS * 64).bit_length() - 1
+    bits[(owner << width) + (shingles >> np.uint64(64 - width)).astype(np.int64)] = True
     return np.packbits(bits).view(np.int64)
 
 
@@ -173,6 +179,7 @@ class _Join:
         self.steps = 0
         shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, width))
         self.rows = work(_sets(docs, shared, width, percent), "rows")
+        self.ids = work(self.rows.select("doc_id", "text_hash", "n", "sig"), "ids")
         # A row per different set. Its n-grams are computed again, where needed, from a text that has it.
         self.classes = work(
             self.rows.where("n > 0").groupBy("sig").agg(
@@ -207,33 +214,43 @@ class _Join:
             f"bounded{self.steps}",
         )
         still = bounded.where("open")
-        wanted = settled(
-            still.selectExpr("a sig", "hash_a text_hash").union(still.select("b", "hash_b")).distinct()
-        )
-        sets = self.work(_whole_sets(self.docs, wanted, self.width), f"sets{self.steps}")
-        overlaps = (
-            still.select("a", "b", "na", "nb")
-            .join(sets.selectExpr("sig a", "tokens tokens_a"), "a")
-            .join(sets.selectExpr("sig b", "tokens tokens_b"), "b")
-            .selectExpr("a", "b", "na", "nb", "cast(size(array_intersect(tokens_a, tokens_b)) as bigint) common")
-        )
-        done = overlaps.selectExpr(
-            "a", "b", "na", "nb", "common low", "common high", f"100 * common >= {self.percent} * (na + nb - common) linked"
-        )
+        done = []
+        for k in range(PARTS):
+            part, sets = still.where(f"pmod(a, {PARTS}) = {k}"), f"sets{self.steps}_{k}"
+            wanted = settled(part.selectExpr("a sig", "hash_a text_hash").union(part.select("b", "hash_b")).distinct())
+            whole = self.work(_whole_sets(self.docs, wanted, self.width), sets)
+            overlaps = (
+                part.select("a", "b", "na", "nb")
+                .join(whole.selectExpr("sig a", "tokens tokens_a"), "a")
+                .join(whole.selectExpr("sig b", "tokens tokens_b"), "b")
+                .selectExpr("a", "b", "na", "nb", "cast(size(array_intersect(tokens_a, tokens_b)) as bigint) common")
+            )
+            linked = f"100 * common >= {self.percent} * (na + nb - common) linked"
+            done.append(self.work(overlaps.selectExpr("a", "b", "na", "nb", "common low", "common high", linked), f"overlaps{self.steps}_{k}"))
+            self.work.drop(sets)
         skipped = bounded.where("not open").selectExpr("a", "b", "na", "nb", "0L low", "high", "false linked")
-        return self.work(done.unionByName(skipped), f"checked{self.steps}")
+        checked = self.work(reduce(DataFrame.unionByName, done, skipped), f"checked{self.steps}")
+        self.work.drop(f"bounded{self.steps}", *(f"overlaps{self.steps}_{k}" for k in range(PARTS)))
+        return checked
 
     def star(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Entries of shared n-grams, leaders of their blocks, and the pairs of step 2."""
-        entries = self.rows.where("n > 0").selectExpr(
-            "sig", "n", f"cast(floor(ln(n) / ln({100 / self.percent}D)) as int) s", "posexplode(prefix) as (pos, token)"
-        )
-        shared = (
-            entries.groupBy("token").agg(F.min("sig").alias("first"), F.max("sig").alias("last"))
-            .where("first <> last").select("token")
+        # Size and place travel as one number.
+        listed = self.rows.where("n > 0").selectExpr("sig", "n", "posexplode(prefix) as (pos, token)").selectExpr(
+            "sig", "token", "shiftleft(n, 32) + pos at"
         )
-        # Copies of a set are one entry.
-        entries = self.work(entries.join(shared, "token").distinct(), "entries")
+        parts = []
+        for k in range(PARTS):
+            part = listed.where(f"pmod(token, {PARTS}) = {k}")
+            shared = (
+                part.groupBy("token").agg(F.min("sig").alias("first"), F.max("sig").alias("last"))
+                .where("first <> last").select("token")
+            )
+            # Copies of a set are one entry.
+            parts.append(self.work(part.join(shared, "token").distinct(), f"entries{k}"))
+        entries = reduce(DataFrame.unionByName, parts).selectExpr("sig", "token", "shiftright(at, 32) n", "cast(at & 2147483647 as int) pos")
+        entries = entries.withColumn("s", F.expr(f"cast(floor(ln(n) / ln({100 / self.percent}D)) as int)"))
+        self.work.drop("rows")
         leaders = self.work(
             # Another leader in each list: a near copy is compared with as many others as it has
             # lists, so the copies of one text hang together after this step.
@@ -278,6 +295,7 @@ class _Join:
             )
         )
         placed = self.work(placed, "placed")
+        self.work.drop("leaders", *(f"entries{k}" for k in range(PARTS)))
         names = ["sig", "n", "pos", "class", "lead", "low", "high"]
         allowed = (
             "x_class <> class and x_sig <> lead and sig <> x_lead and "
@@ -302,7 +320,8 @@ class _Join:
         minor = placed.where("not is_main")
         others = met(minor, minor, names, "x_sig < sig").unionByName(met(minor, main_alone, names, "true"))
         pairs = to_main.unionByName(others)
-        new = pairs.distinct().join(answers, ["a", "b"], "left_anti")
+        new = self.work(pairs.distinct().join(answers, ["a", "b"], "left_anti"), "new")
+        self.work.drop("placed", "mapped")
         return self.checked(new)
 
 
@@ -344,7 +363,7 @@ def rooted_classes(
         )
         names = classes.groupBy("root").agg(F.min("doc_id").alias("component"))
         named = classes.join(names, "root").select("sig", "component", "root")
-        rows = join.rows.select("doc_id", "text_hash", "n", F.expr("if(n > 0, sig, null) sig"))
+        rows = join.ids.select("doc_id", "text_hash", "n", F.expr("if(n > 0, sig, null) sig"))
         return settled(
             rows.join(named, "sig", "left").selectExpr(
                 "doc_id", "text_hash", "n n_shingles", "if(sig is null, doc_id, component) component_id", "root"

@@ -15,7 +15,8 @@ Lengths are UTF-8 bytes plus one for the end of the document, so pieces may end
 character: this packs for byte-level models. The query packs what is given as ``length``.
 
 Clusters come from the n-gram join (5 words, similarity 0.8); texts equal but for case and
-blanks are of one cluster too. So packing costs a run of that join.
+blanks are of one cluster too. So packing costs a run of that join. Where it ran before and one
+document of each class was kept, ``near_copies=False`` leaves it out: no two texts would link.
 
 Defined cases: null and empty text have length 1 and no cluster. A null source counts as a
 source. Repeated rows are rows of one cluster. An empty table gives an empty result. Further
@@ -130,10 +131,12 @@ def pack_group(pieces: pd.DataFrame, capacity: int) -> pd.DataFrame:
     return p.assign(bin=np.array(bins, dtype=np.int64), bin_slot=np.array(slots, dtype=np.int64), bin_offset=np.array(offsets, dtype=np.int64))
 
 
-def clusters(docs: DataFrame) -> DataFrame:
+def clusters(docs: DataFrame, near_copies: bool = True) -> DataFrame:
     """text_hash, cluster of each different text but the empty one (columns doc_id, text)."""
     key = r"xxhash64(lower(translate(text, ' \t\n\x0b\f\r', ''))) key"
     keys = docs.where("text <> ''").selectExpr("xxhash64(text) text_hash", key).groupBy("text_hash").agg(F.min("key").alias("key"))
+    if not near_copies:
+        return keys.selectExpr("text_hash", "key cluster")
     roots = rooted_classes(docs).groupBy("text_hash").agg(F.min("root").alias("root"))
     texts = settled(keys.join(roots, "text_hash", "left").selectExpr("text_hash", "key", "coalesce(root, key) node"))
     # Classes with texts of one key are one cluster.
@@ -144,11 +147,12 @@ def clusters(docs: DataFrame) -> DataFrame:
 
 def pack(
     docs: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS,
-    doc_id: str = "doc_id", text: str = "text", source: str = "source",
+    doc_id: str = "doc_id", text: str = "text", source: str = "source", near_copies: bool = True,
 ) -> DataFrame:
     """doc_id, source, piece, piece_start, piece_length, bin_id, bin_slot, bin_offset: a row per piece.
 
-    Clusters are the classes of near copies of the n-gram join, and texts equal but for case and blanks.
+    Clusters are the classes of near copies of the n-gram join, and texts equal but for case and blanks; the latter alone
+    without ``near_copies``.
     """
     own = input_rows(docs, doc_id=F.col(f"`{doc_id}`").cast("long"), source=F.col(f"`{source}`").cast("string"), text=text)
     narrow = settled(
@@ -158,7 +162,7 @@ def pack(
             # The exact text takes part in the deal, so that rows of one id spread too.
             "xxhash64('deal', doc_id, text) deal",
             "xxhash64(coalesce(text, '')) text_hash",
-        ).join(clusters(own), "text_hash", "left")
+        ).join(clusters(own, near_copies), "text_hash", "left")
     )
     groups = max(1, -(-narrow.count() // group_rows))
     pieces = narrow.selectExpr(
