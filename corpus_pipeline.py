@@ -38,8 +38,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their place in bins."""
-    return pack(docs)
+    """Pieces of all documents with their place in bins. The stage before left no near copies."""
+    return pack(docs, near_copies=False)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
