@@ -18,6 +18,7 @@ dimensions leave all pairs of cells of a label, which is quadratic in its cells.
 
 Defined cases: a vector that is null, empty or zero or holds null or non-finite components
 links with nothing, nor does one with a null label; vectors of different lengths do not link.
+Components of any finite size are compared by their direction alone, 1e-200 or 1e200 included.
 Repeated rows and ids are rows of their own, which link if their vectors do. An empty table
 gives an empty result. Further columns are ignored.
 """
@@ -203,8 +204,15 @@ class DualTraversal:
             self.forest.join(p[r] + self.base[0], py[c] + self.base[1])
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component to [0.5, 1): norms neither
+    overflow nor vanish, and no cosine changes, since such a factor is exact."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+
+
 def _vectors(rows: pd.DataFrame) -> np.ndarray:
-    return np.array(rows["v"].tolist(), dtype=np.float64)
+    v = np.array(rows["v"].tolist(), dtype=np.float64)
+    return _scaled(v) if len(v) else v
 
 
 def _near(cosine: float):
@@ -264,7 +272,7 @@ def _placed(points: DataFrame, cell_points: int) -> tuple[DataFrame, DataFrame]:
     )
     units: dict[tuple, list] = {}
     for r in drawn.select(*key, "nth", "v").orderBy(*key, "nth").collect():  # PIVOTS_KEPT rows at most
-        v = np.array(r.v)
+        v = _scaled(np.array([r.v]))[0]
         units.setdefault((r.label, r.dim), []).append(v / np.sqrt((v * v).sum()))
     shared = spark.sparkContext.broadcast({k: np.array(v) for k, v in units.items()})
     fields = "point bigint, weight bigint, label bigint, dim int, v array<double>"

@@ -157,6 +157,23 @@ def test_cover_tree_equals_brute_force(spark):
     assert cover_tree.near_copies(df.limit(0)).count() == 0
 
 
+def test_cover_tree_takes_components_of_any_size(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(40, 8))
+    rows = [(100 * i + k, [float(x) for x in v * f]) for i, v in enumerate(base) for k, f in enumerate([1.0, 1e-200, 1e200])]
+    rows += [(9000, [1e-200] * 8), (9001, [1e200] * 8), (9002, [1e308, -1e308] * 4), (9003, [5e-324, -5e-324] * 4)]
+    unit = {i: np.array(v) / np.abs(v).max() for i, v in rows}
+    unit = {i: v / np.sqrt(v @ v) for i, v in unit.items()}
+    links = {i: [j for j in unit if j != i and unit[i] @ unit[j] >= 0.98] for i in unit}
+    assert set(links[9002]) == {9003} and set(links[9000]) == {9001}
+    assert all(len(links[100 * i]) == 2 for i in range(40))  # so components are the three sizes of a vector
+    expected = {i: (len(js), min([i, *js])) for i, js in links.items()}
+    df = spark.createDataFrame([(*r, 0) for r in rows], "vec_id long, embedding array<double>, label int")
+    for cell in (4096, 16):
+        got = {r.vec_id: (r.n_links, r.component_id) for r in cover_tree.near_copies(df, cell_points=cell).collect()}
+        assert got == expected
+
+
 def test_token_counts_equal_library(docs, rows, none):
     from tokenizers import models
 
