@@ -209,6 +209,15 @@ def quarantine_document(spark: SparkSession, sf: str) -> DataFrame:
     return _letters(api_extract(read_json_records(spark, path, on_missing="fail")))
 
 
+@query
+def flatten_large_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of large JSON documents, which several tasks read."""
+    nested = nested_records(fixture(spark, sf, "fx_api")).withColumn("item", F.to_json("doc"))
+    path = _page_files(nested, 20_000, """'{"pages":[{"page":1},{"page":2}],"employees":[' || array_join(items, ',') || '],"total":{"records":' || size(items) || '}}'""")
+    records = read_json_records(spark, path, "large_document", on_missing="fail")
+    return api_extract(records).accepted().select(*HRIS_FIELDS)
+
+
 @query
 def quarantine_xml(spark: SparkSession, sf: str) -> DataFrame:
     """Letters of XML files of which every fourth ends within an element."""

@@ -331,6 +331,7 @@ ranked_salaries AS (
 ORACLES: dict[str, str] = {
     "scan_csv_hris": f"WITH {_BASE} SELECT ord, {', '.join(_HR)} FROM fx_hris",
     "flatten_json": f"WITH {_BASE} SELECT ord, {', '.join(f'{v} AS {k}' for k, v in _API.items())} FROM fx_api",
+    "flatten_large_json": f"WITH {_BASE} SELECT {', '.join(f'{v} AS {k}' for k, v in _API.items())} FROM fx_api",
     "scan_payroll": f"WITH {_BASE} SELECT ord, {', '.join(_PAY)}, payroll_company_source, source_system FROM aligned WHERE p = 3",
     "scan_xml_benefits": f"WITH {_BASE} SELECT ord, {', '.join(_BEN)}, premium_employee, premium_employer FROM aligned WHERE p = 4",
     "align_schema": f"WITH {_BASE} SELECT * EXCLUDE (p) FROM aligned WHERE p = 3",

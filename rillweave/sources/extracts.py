@@ -224,12 +224,14 @@ def failure_kind(error: Exception) -> str | None:
     """The condition of an error that comes from a file, null for any other (a lost cluster, a full disk)."""
     if isinstance(error, PySparkException) and (error.getCondition() or "").startswith(_READ_FAILURES):
         return error.getCondition().split(".")[0]
-    named = re.search(rf"\[((?:{'|'.join(_READ_FAILURES)})\w*)", str(error))
-    return named[1] if named else None
+    named = re.search(rf"\[((?:{'|'.join(_READ_FAILURES)})\w*)|{re.escape(_BAD_CHECKSUM)}", str(error))
+    return named and (named[1] or "FAILED_READ_FILE")
 
 
 #: What Spark raises when a file cannot be read, while planning or in a task.
 READ_ERRORS = (PySparkException, Py4JJavaError)
+#: Raised as it is, without a condition, by readers of file footers.
+_BAD_CHECKSUM = "org.apache.hadoop.fs.ChecksumException: Checksum error"
 _READ_FAILURES = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "MALFORMED", "UNABLE_TO_INFER_SCHEMA", "PARQUET_TYPE", "PARQUET_CONVERSION")
 
 EXTRACTORS = {

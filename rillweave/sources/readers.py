@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import csv
 import re
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -237,21 +238,29 @@ def read_json_records(
     ``doc``, its text in ``_raw``. So is an empty document.
 
     ``document``: each file holds one object with an array of records. A file is one row
-    until its array is exploded, so land large extracts as many page files or as
-    ``lines`` (one record per line), which is splittable.
+    until its array is exploded, so it suits page files.
+
+    ``large_document``: the same for files of any size, each read by several tasks and cut between
+    its records. A record that is no JSON is one row with its own text, and a document whose frame
+    around the records is none, or lacks the array, one row with the name of its file. ``array_path``
+    names members only ("$.data.employees").
+
+    ``lines``: one record per line.
     """
 
     def read() -> DataFrame:
+        if layout == "large_document":
+            return _split_documents(spark, path, array_path)
         if layout == "lines":
             lines = spark.read.text(path).where(F.trim("value") != "")
-            return fence(lines.select(F.try_parse_json("value").alias("doc"), "value", _file_order())).selectExpr(
+            return fence(lines.select(F.expr(_json("value")).alias("doc"), "value", _file_order())).selectExpr(
                 "doc", f"CASE WHEN doc IS NULL THEN value END AS {RAW}", "_ord"
             )
         text = spark.read.text(path, wholetext=True)
         # The text goes into the one element of an unreadable document, never along with records.
         records = F.expr(
             f"""coalesce(
-                transform(try_variant_get(try_parse_json(value), {quote(array_path)}, 'array<variant>'),
+                transform(try_variant_get({_json("value")}, {quote(array_path)}, 'array<variant>'),
                     doc -> named_struct('doc', doc, 'raw', cast(NULL AS string))),
                 array(named_struct('doc', cast(NULL AS variant), 'raw', value)))"""
         )
@@ -276,6 +285,125 @@ def read_json_records(
         return spark.createDataFrame([], f"doc variant, {RAW} string, _ord {ORD_TYPE}")
 
 
+def _json(text: str) -> str:
+    """SQL for the variant of a text that is one JSON value, null for any other.
+
+    The parser takes no notice of what follows a value, so the text stands inside an object and what
+    follows it there has to be found.
+    """
+    whole = f"try_parse_json(concat('{{\"value\":', {text}, ',\"{_AFTER}\":1}}'))"
+    return f"get(transform(array({whole}), v -> CASE WHEN try_variant_get(v, '$.{_AFTER}', 'int') = 1 THEN try_variant_get(v, '$.value', 'variant') END), 0)"
+
+
+_AFTER = "after_" + uuid.uuid5(uuid.NAMESPACE_OID, __name__).hex
+
+#: Salts of the join that gives pieces their place: one file may hold all records.
+_SALTS = 64
+#: Runs of records between two other pieces of a document go into its frame as one element with this key.
+_RUN = "run_" + uuid.uuid5(uuid.NAMESPACE_OID, __name__).hex
+
+
+def _split_documents(spark: SparkSession, path: str, array_path: str) -> DataFrame:
+    """doc, _raw, _ord of the records of JSON documents.
+
+    Files are read in chunks that end at a closing brace. Running sums of quotes tell which chunks begin
+    inside a string, running sums of brackets how deep each ends; sums over a block of a file are taken
+    in one task, and only a row per block is ordered along the file. Chunks up to one that ends at the
+    depth of the records are a piece. A piece that is a comma and an object is a record. All others (with
+    the first record of each array, since that comes with what precedes it) make up the frame.
+    """
+    inner = array_path.count(".") + 1
+    lines = spark.read.option("lineSep", "}").text(path)
+    urls = lines.inputFiles()
+    tails = _ends(spark, urls, "tail")
+    rows = lines.select("value", _file_order()).select("value", "_ord.*")
+
+    within = ["file", "start"]
+    block = Window.partitionBy(*within).orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    along = Window.partitionBy("file").orderBy("start")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+
+    def number(text: Column, letters: str) -> Column:
+        return (F.length(text) - F.length(F.translate(text, letters, ""))).cast("bigint")
+
+    def rise(flip: int) -> Column:
+        """How much deeper a chunk ends than it begins; ``flip``: its block begins inside a string."""
+        begins = (F.col("quoted") + F.col("quotes") + flip) % 2 == 1
+        text = F.concat(F.when(begins, F.lit('"')).otherwise(F.lit("")), F.col("plain"))
+        bare = F.regexp_replace(text, r'"[^"]*("|\z)', "")
+        closes = F.when((F.col("quoted") + flip) % 2 == 0, F.lit(1)).otherwise(F.lit(0))
+        return number(bare, "{[") - number(bare, "}]") - closes
+
+    chunks = (
+        rows.withColumn("plain", F.regexp_replace("value", r"(?s)\\.", ""))
+        .withColumn("quotes", number(F.col("plain"), '"') % 2)
+        .withColumn("quoted", F.sum("quotes").over(block) % 2)
+        .withColumns({"rise0": rise(0), "rise1": rise(1)})
+        .drop("plain")
+    )
+    blocks = chunks.groupBy(*within).agg(
+        F.sum("quotes").alias("quotes"), F.sum("rise0").alias("rise0"), F.sum("rise1").alias("rise1"), F.max("row").alias("end")
+    )
+    rises = F.when(F.col("flip") == 1, F.col("rise1")).otherwise(F.col("rise0"))
+    blocks = (
+        blocks.withColumn("flip", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+        .withColumn("above", F.coalesce(F.sum(rises).over(earlier), F.lit(0)))
+        .withColumn("end", F.when(F.lead("start").over(along).isNull(), F.col("end")))
+        .select(*within, "flip", "above", "end")
+    )
+    # The last chunk of a file has no brace.
+    last = F.coalesce(F.col("row") == F.col("end"), F.lit(False))
+    cut = ~last & (F.col("above") + F.sum(rises).over(block) == inner) & ((F.col("quoted") + F.col("flip")) % 2 == 0)
+    deep = chunks.join(blocks, within).select(
+        *within, "row", F.when(last, F.col("value")).otherwise(F.concat("value", F.lit("}"))).alias("text"), cut.cast("bigint").alias("cut")
+    )
+    cuts = deep.groupBy(*within).agg(F.sum("cut").alias("before")).select(
+        *within, F.coalesce(F.sum("before").over(earlier), F.lit(0)).alias("before")
+    )
+    numbered = deep.join(cuts, within).withColumn("piece", F.col("before") + F.sum("cut").over(block) - F.col("cut"))
+    # As many chunks as a record has closing braces.
+    pieces = numbered.groupBy("file", "piece").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "row", "text"))), lambda c: c.text), "").alias("text"),
+        (F.max("cut") == 1).alias("whole"),
+    )
+    is_record = (F.col("piece") > 0) & F.col("whole") & F.col("text").rlike(r"^\s*,\s*\{")
+
+    closed = [(f, None if t is None else t.endswith("}")) for f, t in tails.items()]
+    frame = pieces.where(~is_record).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("piece", "text"))).alias("parts"))
+    run = f"concat(',{{{chr(34)}{_RUN}{chr(34)}:[', p.piece, ',', parts[i + 1].piece, ']}}')"
+    follows = "i + 1 < size(parts) AND parts[least(i + 1, size(parts) - 1)].piece > p.piece + 1"
+    text = f"array_join(transform(parts, (p, i) -> concat(p.text, CASE WHEN {follows} THEN {run} ELSE '' END)), '')"
+    # The end of a compressed file is not known beforehand: only one of the two can be JSON.
+    whole, short = _json("concat(text, '}')"), _json("text")
+    document = f"coalesce(CASE WHEN coalesce(closed, true) THEN {whole} END, CASE WHEN NOT coalesce(closed, false) THEN {short} END)"
+    records = f"""coalesce(
+        transform(try_variant_get({document}, {quote(array_path)}, 'array<variant>'),
+            doc -> named_struct('doc', doc, 'raw', cast(NULL AS string))),
+        array(named_struct('doc', cast(NULL AS variant), 'raw', file)))"""
+    elements = (
+        frame.select("file", F.expr(text).alias("text"))
+        .join(spark.createDataFrame(closed, "file string, closed boolean"), "file")
+        .select("file", F.posexplode(F.expr(records)).alias("pos", "record"))
+        .select("file", "pos", "record.*", F.expr(f"try_variant_get(record.doc, '$.{_RUN}', 'array<bigint>')").alias("run"))
+    )
+    place = "cast(struct(file, {}, {}) AS " + ORD_TYPE + ") AS _ord"
+    framed = elements.where("run IS NULL").selectExpr("doc", f"raw AS {RAW}", place.format("pos", "0L"))
+    runs = (
+        elements.where("run IS NOT NULL").groupBy("file")
+        .agg(F.collect_list(F.expr("struct(run[0] AS head, run[1] AS next, pos)")).alias("runs"))
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    )
+    found = pieces.where(is_record).withColumn("salt", (F.col("piece") % _SALTS).cast("int")).join(runs, ["file", "salt"])
+    parsed = fence(
+        found.selectExpr("file", "piece", r"regexp_replace(text, '^\\s*,\\s*', '') AS text", "filter(runs, r -> r.head < piece AND piece < r.next) AS own")
+        .where("size(own) > 0")
+        .selectExpr(f"{_json('text')} AS doc", "text", place.format("own[0].pos", "piece"))
+    ).selectExpr("doc", f"CASE WHEN doc IS NULL THEN text END AS {RAW}", "_ord")
+    documents = framed.unionByName(parsed)
+    empty = _empty_files(spark, urls)
+    return documents.unionByName(_faulty_files(spark, dict.fromkeys(empty, _EMPTY), documents.schema)) if empty else documents
+
+
 def read_xml(
     spark: SparkSession,
     path: str,

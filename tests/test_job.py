@@ -63,10 +63,11 @@ def test_gate_stops_before_the_exports(spark, paths, tmp_path):
     assert (out / "validation_report").exists() and not (out / "golden").exists()
 
 
-def test_unreadable_sources_do_not_stop_the_others(spark, paths, tmp_path):
+@pytest.mark.parametrize("damaged", [0, 1])
+def test_unreadable_sources_do_not_stop_the_others(spark, paths, tmp_path, damaged):
     payroll = tmp_path / "payroll"
     spark.read.csv(paths["payroll"], header=True).repartition(2).write.parquet(str(payroll))
-    part = next(payroll.glob("part-*.parquet"))
+    part = sorted(payroll.glob("part-*.parquet"))[damaged]
     part.write_bytes(part.read_bytes()[:-40])
     empty = tmp_path / "hris"
     empty.mkdir()
@@ -84,5 +85,5 @@ def test_unreadable_sources_do_not_stop_the_others(spark, paths, tmp_path):
     assert {"Parse error: file is empty", "Missing required fields: ['first_name']"} < set(letters)
     [unread] = [r for k, r in letters.items() if k.startswith("Source unreadable: ")]
     assert unread.source == "payroll" and str(payroll) in unread.record
-    with pytest.raises(Exception, match="FAILED_READ_FILE|CANNOT_READ"):
+    with pytest.raises(Exception, match="FAILED_READ_FILE|CANNOT_READ|Checksum error"):
         run_job(spark, paths | {"payroll": str(payroll)}, out, as_of="2026-12-03", payroll_format="parquet", on_missing="fail")

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -112,6 +113,62 @@ def test_unreadable_json_documents_are_letters(spark, tmp_path):
     assert [r.employee_id for r in extract.accepted().collect()] == ["ACQ_1"]
 
 
+def _json_records(rng, n):
+    texts = ["a } b", '"},{"', "\\", 'x\\"{[', "\n}", "", "é{"]
+    return [{"id": i, "t": rng.choice(texts) * rng.randrange(3), "n": {"a": [{"b": rng.choice([1, None, "]"])}] * rng.randrange(3)}} for i in range(n)]
+
+
+def test_text_after_a_json_value_is_not_lost(spark, tmp_path):
+    for name, text in {"a": '{"employees":[{"a":1}]}{"employees":[{"a":2}]}', "b": '{"employees":[{"a":1}]}}', "c": '{"employees":[{"a":1}]}\n'}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    for layout in ("document", "large_document"):
+        rows = readers.read_json_records(spark, str(tmp_path), layout).selectExpr("to_json(doc) AS doc", "_raw", "_ord.file").collect()
+        assert {r.file[-6]: r.doc for r in rows} == {"a": None, "b": None, "c": '{"a":1}'} and len(rows) == 3
+    (tmp_path / "l.jsonl").write_text('{"a":1}{"a":2}\n{"a":3} \n')
+    rows = readers.read_json_records(spark, str(tmp_path / "l.jsonl"), "lines").selectExpr("to_json(doc) AS doc", "_raw").collect()
+    assert [tuple(r) for r in rows] == [(None, '{"a":1}{"a":2}'), ('{"a":3}', None)]
+
+
+def test_large_json_documents_equal_whole_ones(spark, tmp_path):
+    rng = random.Random(2)
+    for k, indent in enumerate([None, 1, None, 2]):
+        document = {"meta": [{"z": 1}, {"z": 2}], "total": {"q": {"r": 1}}, "employees": _json_records(rng, 100), "more": [{"y": 1}, {"y": 5}]}
+        (tmp_path / f"d{k}.json").write_text(json.dumps(document, indent=indent, ensure_ascii=k > 1) + "\n" * (k % 2))
+    (tmp_path / "e.json").write_text('{"employees": []}')
+    (tmp_path / "f.json").write_text('{"employees":[1,{"a":2}, null, {"b":3},{"c":4},[{"x":1},{"x":2}],5,{"d":6},{"e":7}]}')
+
+    def read(layout):
+        rows = readers.read_json_records(spark, str(tmp_path), layout).selectExpr("_ord", "to_json(doc) AS doc", "_raw")
+        return [(r._ord.file, r.doc, r._raw) for r in rows.orderBy("_ord").collect()]
+
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        assert spark.read.option("lineSep", "}").text(str(tmp_path)).rdd.getNumPartitions() > 6
+        split = read("large_document")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert split == read("document") and len(split) == 409
+
+
+def test_faults_in_large_json_documents_are_letters(spark, tmp_path):
+    documents = {
+        "bad record": '{"employees":[{"a":1},{"a":oops},{"a":3}]}', "no array": '{"people":[{"a":1},{"a":2}]}', "no json": "{not json",
+        "cut in a record": '{"employees":[{"a":1},{"a":2},{"a":', "cut after a record": '{"employees":[{"a":1},{"a":2}',
+        "cut at the end": '{"employees":[{"a":1},{"a":2},{"a":3}]', "surplus": '{"employees":[{"a":1},{"a":2}]}}', "blank": " \n", "empty": "",
+        "good": '{"employees":[{"a":1},{"a":2}]}\n',
+    }
+    for name, text in documents.items():
+        (tmp_path / f"{name.replace(' ', '_')}.json").write_text(text)
+    rows = readers.read_json_records(spark, str(tmp_path), "large_document").selectExpr("_ord.file", "to_json(doc) AS doc", "_raw").collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r.file.rsplit("/", 1)[1].removesuffix(".json").replace("_", " "), []).append(r.doc or r._raw.rsplit("/", 1)[-1])
+    good = ['{"a":1}', '{"a":2}']
+    expected = {name: [f"{name.replace(' ', '_')}.json"] for name in documents}
+    expected |= {"good": good, "bad record": ['{"a":1}', '{"a":3}', '{"a":oops}']}
+    assert {k: sorted(v) for k, v in found.items()} == expected
+
+
 def test_unreadable_json_line_is_a_letter(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"x": \n' + json.dumps(RECORDS[0]) + "\n\n")
     extract = ex.api_extract(readers.read_json_records(spark, str(tmp_path), "lines"))
