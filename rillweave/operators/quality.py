@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -29,14 +29,14 @@ class GateFailed(Exception):
 
 @dataclass(frozen=True)
 class Check:
-    """One report row. Scan checks give two aggregate columns, others a one-row table
-    ``total, failed``."""
+    """One report row: two aggregate columns over the rows or, with ``keys``, over the distinct
+    values of those columns and the number of rows that have each (see ``_key_counts``)."""
 
     name: str
     description: str
     total: Column | None = None
     failed: Column | None = None
-    table: Callable[[], DataFrame] | None = None
+    keys: tuple[str, ...] = ()
     skip: bool = False
 
 
@@ -44,12 +44,16 @@ def _zero() -> Column:
     return F.lit(0).cast("bigint")
 
 
+def _rows_with(column: str) -> Column:
+    return F.col(f"`_rows_{column}`")
+
+
 class DataQuality:
     """Collects checks and runs them together.
 
-    Checks on single rows share one scan and one global aggregate. A uniqueness check is
-    one grouped count, and the reference check compares distinct keys, so a frequent value
-    is combined before it is shuffled.
+    Checks on single rows share one scan and one global aggregate. Uniqueness and reference
+    checks share another scan and one grouped count of all their values, which combines a
+    frequent value before it is shuffled.
     """
 
     def __init__(
@@ -85,12 +89,11 @@ class DataQuality:
         if column not in self.df.columns:
             return self._skip(name, f"{column} must be unique")
 
-        def table() -> DataFrame:
-            groups = self.df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-            total = F.coalesce(F.sum("n"), _zero())
-            return groups.agg(total.alias("total"), (total - F.count(column)).alias("failed"))
-
-        return self._add(Check(name, f"{column} must be unique across all records", table=table))
+        # Rows without a value are no duplicates of each other, but count as not unique.
+        n, has_value = _rows_with(column), F.col("_key").isNotNull()
+        total = F.coalesce(F.sum(n), _zero())
+        failed = total - F.count_if(has_value & (n > 0))
+        return self._add(Check(name, f"{column} must be unique across all records", total, failed, (column,)))
 
     def check_values_in_set(self, column: str, valid: Iterable) -> DataQuality:
         name, values = f"values_in_set.{column}", sorted(valid, key=str)
@@ -140,21 +143,10 @@ class DataQuality:
         if fk not in self.df.columns or pk not in self.df.columns:
             return self._skip(name, f"Every {fk} must exist as a {pk}")
 
-        def table() -> DataFrame:
-            used = (
-                self.df.where(F.col(fk).isNotNull())
-                .groupBy(F.col(fk).alias("_k"))
-                .agg(F.count(F.lit(1)).alias("n"))
-            )
-            known = self.df.where(F.col(pk).isNotNull()).groupBy(F.col(pk).alias("_k")).agg(
-                F.lit(True).alias("known")
-            )
-            return used.join(known, "_k", "left").agg(
-                F.coalesce(F.sum("n"), _zero()).alias("total"),
-                F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("n"))), _zero()).alias("failed"),
-            )
-
-        return self._add(Check(name, f"Every {fk} must exist as an {pk}", table=table))
+        used = F.when(F.col("_key").isNotNull(), _rows_with(fk))
+        total = F.coalesce(F.sum(used), _zero())
+        failed = F.coalesce(F.sum(F.when(_rows_with(pk) == 0, used)), _zero())
+        return self._add(Check(name, f"Every {fk} must exist as an {pk}", total, failed, (fk, pk)))
 
     def run_all_checks(self) -> DataQuality:
         """The fifteen standard checks."""
@@ -175,30 +167,42 @@ class DataQuality:
         return self
 
     def _measured(self) -> DataFrame:
-        scanned = [(i, c) for i, c in enumerate(self.checks, 1) if c.table is None]
+        numbered = list(enumerate(self.checks, 1))
         parts = []
-        if scanned:
-            measures = [
-                m for i, c in scanned for m in (c.total.alias(f"t{i}"), c.failed.alias(f"f{i}"))
-            ]
-            rows = F.array(
-                *(
-                    F.struct(
-                        F.lit(i).alias("position"),
-                        F.col(f"t{i}").alias("total"),
-                        F.col(f"f{i}").alias("failed"),
-                    )
-                    for i, _ in scanned
-                )
-            )
-            parts.append(self.df.agg(*measures).select(F.inline(rows)))
-        parts += [
-            c.table().select(F.lit(i).alias("position"), "total", "failed")
-            for i, c in enumerate(self.checks, 1)
-            if c.table is not None
-        ]
+        for rows, checks in (
+            (lambda: self.df, [(i, c) for i, c in numbered if not c.keys]),
+            (self._key_counts, [(i, c) for i, c in numbered if c.keys]),
+        ):
+            if checks:
+                measures = [m for i, c in checks for m in (c.total.alias(f"t{i}"), c.failed.alias(f"f{i}"))]
+                found = [
+                    F.struct(F.lit(i).alias("position"), F.col(f"t{i}").alias("total"), F.col(f"f{i}").alias("failed"))
+                    for i, _ in checks
+                ]
+                parts.append(rows().agg(*measures).select(F.inline(F.array(*found))))
         return reduce(DataFrame.unionByName, parts)
 
+    def _key_counts(self) -> DataFrame:
+        """``_key`` and the number of rows that have it in each column of ``keys``.
+
+        Columns that one check compares are counted together, by value; other columns have rows of
+        their own, where the first ones count 0. Values are compared as text.
+        """
+        groups: list[set[str]] = []
+        for check in self.checks:
+            if check.keys:
+                joined = set(check.keys).union(*(g for g in groups if g & set(check.keys)))
+                groups = [g for g in groups if not g & joined] + [joined]
+        columns = [(i, c) for i, g in enumerate(groups) for c in sorted(g)]
+        stacked = F.array(
+            *(F.struct(F.lit(i).alias("_group"), F.col(c).cast("string").alias("_key"), F.lit(c).alias("_column")) for i, c in columns)
+        )
+        return (
+            self.df.select(F.inline(stacked))
+            .groupBy("_group", "_key")
+            .agg(*(F.count_if(F.col("_column") == c).alias(f"_rows_{c}") for _, c in columns))
+        )
+
     def report(self) -> DataFrame:
         """One row per check, ``position`` being the order in which the checks were added."""
 
