@@ -13,7 +13,7 @@ from rillweave.functions.similarity import token_sort_ratio
 from rillweave.functions.taxonomy import source_priority
 from rillweave.functions.text import nfc, strip, title_case
 from rillweave.operators import profile
-from rillweave.operators.email_merge import email_groups, email_members, loser_map, remap_reference
+from rillweave.operators.email_merge import email_groups, email_members, email_merge, loser_map, remap_reference
 from rillweave.operators.ghosts import ghosts
 from rillweave.operators.interval import interval_partners
 from rillweave.operators.quality import DataQuality, gate
@@ -388,6 +388,12 @@ def dedup_email(spark: SparkSession, sf: str) -> DataFrame:
     return survivors(spark, sf)
 
 
+@query
+def dedup_email_coalesced(spark: SparkSession, sf: str) -> DataFrame:
+    """Merges across companies alone, in which winners take what they lack from losers."""
+    return email_merge(_exact_staged(spark, sf), require_distinct_prefix=True, coalesce=True)
+
+
 @query
 def remap_fk(spark: SparkSession, sf: str) -> DataFrame:
     """Every record's manager before and after the losers are merged away."""

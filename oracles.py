@@ -394,6 +394,16 @@ ORACLES: dict[str, str] = {
     "dedup_provenance": f"WITH {_EXACT} SELECT employee_id, source_systems, dedup_method FROM exact",
     "dup_groups": f"WITH {_MERGED} SELECT email, employee_id, group_size FROM ranked WHERE group_size > 1",
     "dedup_email": f"WITH {_MERGED} SELECT {', '.join(_GOLDEN)} FROM merged",
+    "dedup_email_coalesced": f"""WITH {_EXACT},
+        addressed AS (SELECT email, first(employee_id ORDER BY priority, employee_id) AS winner_id, array_to_string(list_sort(list(DISTINCT source_systems)), ',') AS merged
+         FROM exact WHERE trim(email) <> '' GROUP BY email HAVING count(DISTINCT split_part(employee_id, '-', 1)) > 1),
+        placed AS (SELECT e.*, coalesce(a.winner_id, e.employee_id) AS survivor, a.merged FROM exact e LEFT JOIN addressed a ON a.email = e.email),
+        filled AS (SELECT survivor AS employee_id, {', '.join(f'first({x} ORDER BY priority, employee_id) FILTER (WHERE {x} IS NOT NULL) AS {x}' for x in (*_TEXTS, *_TYPED))},
+          coalesce(any_value(merged), any_value(source_systems)) AS source_systems,
+          CASE WHEN any_value(merged) IS NULL THEN any_value(dedup_method) ELSE 'email_match' END AS dedup_method
+         FROM placed GROUP BY survivor)
+        SELECT f.* REPLACE (coalesce(l.survivor, f.manager_id) AS manager_id)
+        FROM filled f LEFT JOIN placed l ON l.employee_id = f.manager_id AND l.survivor <> l.employee_id""",
     "remap_fk": f"WITH {_MERGED} SELECT employee_id, coalesce(l.winner_id, manager_id) AS manager_id, manager_id AS old_manager_id FROM exact LEFT JOIN losers l ON l.loser_id = manager_id",
     "interval_self_join": f"""WITH {_MERGED}
         SELECT hire_date, count(*) AS records,

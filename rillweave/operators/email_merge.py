@@ -18,18 +18,25 @@ def _with_email(df: DataFrame) -> DataFrame:
 
 
 def email_groups(
-    df: DataFrame, priority: Mapping[str, int] = SOURCE_PRIORITY, normalise: bool = False
+    df: DataFrame,
+    priority: Mapping[str, int] = SOURCE_PRIORITY,
+    normalise: bool = False,
+    require_distinct_prefix: bool = False,
 ) -> DataFrame:
     """One row per address used by several records: winner, size and joined provenance.
 
     The winner has the smallest source priority, then the smallest id. Provenance strings
     are joined whole, so a name can occur twice; ``normalise`` splits them first. Only as
     many distinct strings exist as there are combinations of sources.
+    ``require_distinct_prefix`` leaves addresses alone whose records all come from one company,
+    by the part of the id before the hyphen.
     """
     rank = F.expr(source_priority("source_systems", priority, UNKNOWN_PRIORITY))
     sources = F.collect_set("source_systems")
     if normalise:
         sources = F.array_distinct(F.split(F.array_join(sources, ","), ","))
+    prefix = F.substring_index("employee_id", "-", 1)
+    shared = "_first_prefix <> _last_prefix" if require_distinct_prefix else "group_size > 1"
     return (
         _with_email(df)
         .groupBy("email")
@@ -37,8 +44,10 @@ def email_groups(
             F.min(F.struct(rank.alias("p"), "employee_id")).alias("_best"),
             F.count(F.lit(1)).alias("group_size"),
             F.array_join(F.array_sort(sources), ",").alias("merged_sources"),
+            F.min(prefix).alias("_first_prefix"),
+            F.max(prefix).alias("_last_prefix"),
         )
-        .where("group_size > 1")
+        .where(shared)
         .select("email", F.col("_best.employee_id").alias("winner_id"), "group_size", "merged_sources")
     )
 
@@ -91,16 +100,38 @@ def drop_losers(df: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
+def filled_winners(df: DataFrame, members: DataFrame, priority: Mapping[str, int] = SOURCE_PRIORITY) -> DataFrame:
+    """``df`` with what winners lack taken from their losers, best source first, then smallest id.
+
+    A minimum picks each value, as in the exact merge: no group is held as a whole.
+    """
+    values = [c for c in df.columns if c not in ("employee_id", "source_systems", "dedup_method")]
+    rank = F.struct(F.expr(source_priority("source_systems", priority, UNKNOWN_PRIORITY)).alias("p"), "employee_id")
+    best = [F.min(F.when(F.col(c).isNotNull(), F.struct(rank.alias("r"), F.col(c).alias("v")))).alias(c) for c in values]
+    found = (
+        df.join(members.select("employee_id", "winner_id"), "employee_id")
+        .groupBy(F.col("winner_id").alias("_winner"))
+        .agg(*best)
+        .select("_winner", F.struct(*(F.col(f"{c}.v").alias(c) for c in values)).alias("_best"))
+    )
+    joined = df.join(found, df["employee_id"] == F.col("_winner"), "left")
+    return joined.withColumns({c: F.coalesce(c, f"_best.{c}") for c in values}).select(*df.columns)
+
+
 def email_merge(
     df: DataFrame,
     priority: Mapping[str, int] = SOURCE_PRIORITY,
     policy: SkewPolicy = SkewPolicy(),
     normalise: bool = False,
+    require_distinct_prefix: bool = False,
+    coalesce: bool = False,
 ) -> DataFrame:
     """Drop the losers of every shared address and repoint references to them.
 
+    ``coalesce`` keeps what only losers know: winners take the values that they lack.
     ``df`` is read several times: pass a staged table.
     """
-    members = email_members(df, email_groups(df, priority, normalise), policy)
-    hot = hot_keys(df, "manager_id", policy)
-    return remap_reference(drop_losers(df, members), loser_map(members), policy=policy, hot=hot)
+    members = email_members(df, email_groups(df, priority, normalise, require_distinct_prefix), policy)
+    records = filled_winners(df, members, priority) if coalesce else df
+    hot = hot_keys(records, "manager_id", policy)
+    return remap_reference(drop_losers(records, members), loser_map(members), policy=policy, hot=hot)

@@ -98,6 +98,22 @@ def test_email_merge(spark, policy):
     assert {tuple(r) for r in email_merge(df, policy=policy).collect()} == expected_email_merge(rows)
 
 
+def test_email_merge_options(spark):
+    rows = [("GT-1", "a@x", None, "payroll", "s", None), ("GT-2", "a@x", "M", "globaltech_hris", "s", None), ("GT-3", "a@x", "N", "payroll", "s", 7),
+            ("GT-4", "b@x", "GT-6", "globaltech_hris", "s", None), ("AC-5", "b@x", "P", "acquiredco_api", "s", 5), ("GT-6", "b@x", None, "payroll", "s", 6),
+            ("GT-7", None, "AC-5", "payroll", "s", None)]
+    df = spark.createDataFrame(rows, f"{GOLDEN}, grade int").repartition(3)
+
+    def merge(**options):
+        return {r.employee_id: (r.manager_id, r.grade) for r in email_merge(df, policy=TINY, **options).collect()}
+
+    assert merge() == {"GT-2": ("M", None), "GT-4": ("GT-4", None), "GT-7": ("GT-4", None)}
+    assert merge(coalesce=True) == {"GT-2": ("M", 7), "GT-4": ("GT-4", 5), "GT-7": ("GT-4", None)}
+    alone = {"GT-1": (None, None), "GT-2": ("M", None), "GT-3": ("N", 7)}
+    assert merge(require_distinct_prefix=True) == alone | {"GT-4": ("GT-4", None), "GT-7": ("GT-4", None)}
+    assert merge(require_distinct_prefix=True, coalesce=True) == alone | {"GT-4": ("GT-4", 5), "GT-7": ("GT-4", None)}
+
+
 def test_email_merge_without_shared_addresses(spark):
     rows = [("A", None, "B", "payroll", "single_source"), ("B", "b@x", None, "payroll", "single_source")]
     df = spark.createDataFrame(rows, GOLDEN)
