@@ -154,14 +154,14 @@ def merged_departments() -> dict[str, str]:
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When a key counts as hot, and how many hot keys may be listed for broadcast.
+    """When a key counts as hot: when it has at least one in ``share`` of the rows.
 
-    A list never holds more than ``max_hot_keys`` rows, so its broadcast is bounded
-    whatever the data. Keys beyond the list take the ordinary shuffle.
+    Then a list of hot keys is bounded by arithmetic, whatever the data: at most ``share`` keys
+    have that many rows, twice as many with the error of a sketch. No other key can make a
+    task of a shuffle much larger than one in ``share`` of the rows.
     """
 
-    hot_rows: int = 200_000
-    max_hot_keys: int = 20_000
+    share: int = 1_024
     scatter: int = 4_096
     block_rows: int = 2_000
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rillweave.config import SOURCE_PRIORITY, UNKNOWN_PRIORITY, SkewPolicy
 from rillweave.functions.taxonomy import source_priority
 from rillweave.functions.text import is_blank
-from rillweave.operators.skew import hot_keys, lookup
+from rillweave.operators.skew import hot_groups, hot_keys, lookup
 
 
 def _with_email(df: DataFrame) -> DataFrame:
@@ -56,13 +56,8 @@ def email_members(
     df: DataFrame, groups: DataFrame, policy: SkewPolicy = SkewPolicy()
 ) -> DataFrame:
     """Every record of a shared address with its group. Long form: no list grows with a group."""
-    hot = (
-        groups.where(F.col("group_size") >= policy.hot_rows)
-        .orderBy(F.desc("group_size"), "email")
-        .limit(policy.max_hot_keys)
-        .select("email")
-    )
     narrow = _with_email(df).select("email", "employee_id")
+    hot = hot_groups(groups, "group_size", policy).select("email")
     return lookup(narrow, groups, "email", "employee_id", policy, hot).where("winner_id is not null")
 
 

@@ -29,7 +29,7 @@ from rillweave.functions.similarity import (
 )
 from rillweave.functions.text import full_name, title_case
 from rillweave.operators.interval import bucket_of, neighbour_slots, window_micros
-from rillweave.operators.skew import lookup
+from rillweave.operators.skew import hot_groups, lookup
 
 _NAME = f"lower({full_name('first_name', 'last_name')})"
 
@@ -205,12 +205,7 @@ def flag_probable(
         .agg(F.expr("max(close) AS close"), F.expr("min(next_t) AS next_t"), F.expr("max(previous_t) AS previous_t"))
         .selectExpr(f"{_cell('bucket', 'key')} AS _cell", "close", "next_t", "previous_t")
     )
-    hot = (
-        cells.where(F.col("n") >= policy.hot_rows)
-        .orderBy(F.desc("n"), "bucket", "key")
-        .limit(policy.max_hot_keys)
-        .selectExpr(f"{_cell('bucket', 'key')} AS _cell")
-    )
+    hot = hot_groups(cells, "n", policy).selectExpr(f"{_cell('bucket', 'key')} AS _cell")
     width = window_micros(days)
     joined = lookup(_with_cell(df, days), reach, "_cell", "employee_id", policy, hot)
     return joined.selectExpr(

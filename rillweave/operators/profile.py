@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rillweave.config import SkewPolicy
 from rillweave.functions.dates import MICROS_PER_DAY, epoch_micros, timestamp
+from rillweave.operators.skew import hot_groups
 
 TENURE_BINS = 25
 TENURE_MAX_YEARS = 50
@@ -113,9 +114,9 @@ def _values(df: DataFrame, by: str, value: str) -> DataFrame:
 
 
 def _with_group_facts(rows: DataFrame, facts: DataFrame, policy: SkewPolicy) -> DataFrame:
-    """Attach per-group facts. The largest groups, a bounded list, are broadcast; rows of any
+    """Attach per-group facts. Those of hot groups, a bounded list, are broadcast; rows of any
     further group join by shuffle."""
-    listed = F.broadcast(facts.orderBy(F.desc("n"), "g").limit(policy.max_hot_keys))
+    listed = F.broadcast(hot_groups(facts, "n", policy))
     rest = rows.join(listed.select("g"), "g", "left_anti").join(facts, "g")
     return rows.join(listed, "g").unionByName(rest)
 

@@ -19,7 +19,7 @@ from rillweave.operators.fuzzy import (
 from rillweave.operators.interval import interval_partners
 
 SCHEMA = "employee_id string, first_name string, last_name string, hire_date timestamp_ntz, source_systems string"
-TINY = SkewPolicy(hot_rows=2, max_hot_keys=3, scatter=4, block_rows=2)
+TINY = SkewPolicy(share=8, scatter=4, block_rows=2)
 
 
 def people(n, seed, letters="abn", days=200):

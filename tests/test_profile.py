@@ -8,7 +8,7 @@ from rillweave.config import SkewPolicy
 from rillweave.operators import profile
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(max_hot_keys=1)])
+@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(share=2)])
 @pytest.mark.parametrize("accuracy", [20, 20_000])
 def test_salary_distribution_is_exact(spark, policy, accuracy):
     rng = random.Random(4)

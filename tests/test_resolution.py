@@ -8,7 +8,7 @@ from rillweave.operators.ghosts import ghosts, payroll_only_ids
 from rillweave.operators.skew import hot_keys, lookup
 from rillweave.operators.survivorship import exact_merge, nullify_sentinels
 
-TINY = SkewPolicy(hot_rows=3, max_hot_keys=2, scatter=4, block_rows=2)
+TINY = SkewPolicy(share=8, scatter=4, block_rows=2)
 RECORDS = "employee_id string, first_name string, base_salary double, email string, manager_id string, source_system string, _src int, _ord int"
 SOURCES = list(SOURCE_PRIORITY)
 
@@ -137,7 +137,7 @@ def test_loser_map_and_remap(spark):
     assert done == {r[0]: mapping.get(r[2], r[2]) for r in rows}
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), TINY, SkewPolicy(hot_rows=1, max_hot_keys=1000)])
+@pytest.mark.parametrize("policy", [SkewPolicy(), TINY, SkewPolicy(share=1)])
 def test_lookup_equals_a_left_join(spark, policy):
     rng = random.Random(1)
     left = [(i, rng.choice([None, "hot", "hot", "alsohot", f"k{rng.randrange(20)}"])) for i in range(200)]
@@ -148,10 +148,32 @@ def test_lookup_equals_a_left_join(spark, policy):
     assert out.count() == len(left)
 
 
-def test_hot_keys_are_bounded(spark):
+def test_hot_keys_are_those_with_their_share(spark):
     df = spark.createDataFrame([(f"k{i % 10}",) for i in range(100)] + [(None,)] * 50, "k string")
-    assert hot_keys(df, "k", SkewPolicy(hot_rows=5, max_hot_keys=4)).count() == 4
-    assert hot_keys(df, "k", SkewPolicy(hot_rows=11, max_hot_keys=4)).count() == 0
+    assert hot_keys(df, "k", SkewPolicy(share=10)).count() == 10
+    assert hot_keys(df, "k", SkewPolicy(share=3)).count() == 0
+    assert hot_keys(df.where("k is null"), "k", SkewPolicy(share=3)).count() == 0
+    assert hot_keys(df.limit(0), "k", SkewPolicy()).count() == 0
+
+
+@pytest.mark.parametrize("share", [7, 64, 700])
+def test_no_hot_key_is_missed(spark, share):
+    # Far more keys than the sketch has counters, of sizes that fall slowly, in mixed order.
+    df = spark.range(0, 400_000, 1, 9).selectExpr("concat('k', cast(floor(pow(rand(3), 4) * 60000) as int)) k").cache()
+    sizes = {r.k: r["count"] for r in df.groupBy("k").count().collect()}
+    listed = {r.k for r in hot_keys(df, "k", SkewPolicy(share=share)).collect()}
+    assert {k for k, n in sizes.items() if n * share >= 400_000} <= listed
+    assert all(3 * n * share >= 2 * 400_000 for n in (sizes[k] for k in listed)) and len(listed) <= 2 * share
+
+
+def test_many_hot_keys_need_no_list_of_their_own(spark):
+    # More hot keys than any fixed list would hold: a key is hot by its share alone, and the result is that of a join.
+    left = spark.range(0, 120_000, 1, 6).selectExpr("id", "concat('k', id % 30000) k")
+    right = spark.range(0, 30_000, 2).selectExpr("concat('k', id) k", "id v")
+    for policy in (SkewPolicy(), SkewPolicy(share=40_000)):
+        out = lookup(left, right, "k", "id", policy)
+        assert out.exceptAll(left.join(right, "k", "left").select("id", "k", "v")).isEmpty() and out.count() == 120_000
+    assert hot_keys(left, "k", SkewPolicy(share=40_000)).count() == 30_000
 
 
 def test_ghosts_agree_with_the_anti_join(spark):
