@@ -30,6 +30,22 @@ def _dropped_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+#: Bytes of a batch that goes to a Python worker, where the steps behind hold several numbers for each byte.
+BATCH_BYTES = 4 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches for Python are bounded by their bytes, whatever the length of the texts. At least one row each."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the folder all executors share.
 

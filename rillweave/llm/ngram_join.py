@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillweave.llm import wordhash
-from rillweave.llm.common import Workspace, components, input_rows, settled
+from rillweave.llm.common import Workspace, components, input_rows, settled, small_batches
 from rillweave.llm.counting import KeyCounts
 
 WIDTH = 5
@@ -352,7 +352,7 @@ def rooted_classes(
     own = input_rows(
         docs, doc_id=F.col(f"`{doc_id}`").cast("long"), text=text, text_hash=F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
     )
-    with Workspace(docs.sparkSession) as work:
+    with Workspace(docs.sparkSession) as work, small_batches(docs.sparkSession):
         join = _Join(own, work, width, percent)
         entries, leaders, known = join.star()
         links = known.where("linked").selectExpr("a u", "b v")

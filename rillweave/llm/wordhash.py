@@ -13,14 +13,27 @@ import pyarrow as pa
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _WINDOW_BASE = 0xD6E8FEB86659FD93 | 1
-#: Texts of one pass: about this many bytes, at least one text.
-CHUNK_BYTES = 2 << 20
+#: Texts of one pass: about this many bytes, at least one text. A task's memory follows it: there are
+#: numbers of eight bytes for each byte.
+CHUNK_BYTES = 1 << 19
 
 
 def _powers(base: int, n: int) -> np.ndarray:
+    """base^0 to base^(n-1). Those of a usual chunk are kept, those of a longer text are not."""
+    if n <= 2 * CHUNK_BYTES:
+        if len(_known.get(base, ())) < n:
+            _known[base] = _new_powers(base, max(n, CHUNK_BYTES))
+        return _known[base][:n]
+    return _new_powers(base, n)
+
+
+_known: dict[int, np.ndarray] = {}
+
+
+def _new_powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, np.uint64(base), dtype=np.uint64)
     out[0] = 1
-    return np.multiply.accumulate(out)
+    return np.multiply.accumulate(out, out=out)
 
 
 def _byte_values() -> np.ndarray:
@@ -42,7 +55,8 @@ _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_VALUE = _byte_values()
+#: Of each byte, with A-Z in lower case.
+_VALUE_LOW = _byte_values()[_LOWER]
 
 
 def lower(data: np.ndarray) -> np.ndarray:
@@ -73,7 +87,6 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     n = len(data)
     if n == 0:
         return (np.empty(0, np.uint64), *(np.empty(0, np.int64) for _ in range(3)))
-    low = _LOWER[data]
     inside = ~_IS_SPACE[data]
     first = np.zeros(n, dtype=bool)
     rows_with_text = offsets[:-1][offsets[:-1] < offsets[1:]]
@@ -86,11 +99,16 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     ends = np.flatnonzero(ends_here) + 1
     # Hash of a word: the sum of value(byte) * base^place, as a difference of running sums
     # that is brought back to place 0 by the inverse power.
+    # One array of numbers a byte at a time, changed in place.
     sums = np.empty(n + 1, dtype=np.uint64)
     sums[0] = 0
-    np.cumsum(_VALUE[low] * _powers(_BASE, n), out=sums[1:])
-    back = _powers(pow(_BASE, -1, 1 << 64), n)
-    hashes = mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    np.take(_VALUE_LOW, data, out=sums[1:], mode="clip")  # clip: without a buffer
+    sums[1:] *= _powers(_BASE, n)
+    np.cumsum(sums[1:], out=sums[1:])
+    hashes = sums[ends] - sums[starts]
+    del sums
+    hashes *= _powers(pow(_BASE, -1, 1 << 64), n)[starts]
+    hashes = mix(hashes + (ends - starts).astype(np.uint64))
     rows = np.searchsorted(offsets, starts, "right") - 1
     return hashes, rows, starts, ends
 

@@ -5,13 +5,15 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from rillweave.llm import cover_tree, line_dedup, ngram_join, packing, piece_codec, ppm, quality_rules, sharding, token_counts, token_files
-from rillweave.llm.common import Workspace, components
+from rillweave.llm import cover_tree, line_dedup, ngram_join, packing, piece_codec, ppm, quality_rules, sharding, token_counts, token_files, wordhash
+from rillweave.llm.common import BATCH_BYTES, Workspace, components, small_batches
 from rillweave.llm.queries import tokenizer_file
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -344,6 +346,33 @@ def _ppm(strings, text, order):
     return total
 
 
+def test_word_hashing_takes_little_memory():
+    """A task's memory is bounded by the chunk, not by the batch; the sets do not depend on the chunks."""
+    texts = pa.array([" ".join(f"w{(i * j) % 977}" for j in range(20_000)) for i in range(1, 60)])
+    wordhash.words(np.zeros(1, np.uint8), np.array([0, 1]))  # what is kept between chunks
+    tracemalloc.start()
+    sets = [s for _, b, all_ in wordhash.shingle_sets(texts, 5) for s in np.split(all_, b[1:-1])]
+    held = sum(s.nbytes for s in sets)
+    peak = tracemalloc.get_traced_memory()[1] - held
+    tracemalloc.stop()
+    assert peak < 64 << 20
+    assert all(np.array_equal(s, next(wordhash.shingle_sets(texts.slice(i, 1), 5))[2]) for i, s in enumerate(sets))
+
+
+def test_batches_for_python_are_bounded(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.nbytes])], names=["b"])
+
+    long = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 5000) t")
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    with small_batches(spark):
+        found = [r.b for r in long.mapInArrow(sizes, "b long").collect()]
+    assert spark.conf.get(name) == before
+    assert len(found) > 2 and max(found) < 2 * BATCH_BYTES
+
+
 def test_ppm_equals_brute_force(docs, rows, none):
     plain = lambda t: " ".join(WORD.findall(re.sub("[A-Z]+", lambda m: m[0].lower(), t or ""))).encode()
     held = [r[0] is not None and zlib.crc32(str(r[0]).encode()) % 7 == 2 for r in rows]
