@@ -191,12 +191,19 @@ def quarantine_csv(spark: SparkSession, sf: str) -> DataFrame:
     return _letters(hris_extract(read_csv(spark, path, HRIS_FIELDS, on_missing="fail")))
 
 
+_FOLDERS = 64
+
+
 def _page_files(view: DataFrame, size: int, page: str) -> str:
-    """Writes one file per page of ``size`` records (column ``item``); ``page`` is its text, from ``items``."""
+    """Writes one file per page of ``size`` records (column ``item``); ``page`` is its text, from ``items``.
+
+    Files share a fixed number of folders: a folder per file costs more than the file.
+    """
     pages = view.groupBy(F.expr(f"_ord div {size}").alias("page")).agg(F.sort_array(F.collect_list(F.struct("_ord", "item"))).alias("rows"))
     path = f"{Staging(view.sparkSession).path}/pages"
     text = pages.withColumn("items", F.expr("rows.item")).select("page", F.expr(page).alias("value"))
-    text.write.partitionBy("page").text(path)
+    shared = text.select(F.expr(f"page % {_FOLDERS}").alias("folder"), "value")
+    shared.write.option("maxRecordsPerFile", 1).partitionBy("folder").text(path)
     return path
 
 

@@ -11,9 +11,11 @@ from __future__ import annotations
 import csv
 import re
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,6 +41,8 @@ PROBLEM = "_problem"
 _EMPTY, _CUT, _OPEN_QUOTE, _OPEN_ELEMENT = "file is empty", "file is cut off", "quote is not closed", "element is not closed"
 #: Bytes at either end of a file that the driver looks at.
 _END_BYTES = 1 << 20
+#: Files whose ends the driver holds at a time.
+_AT_ONCE = 64
 
 
 def fence(df: DataFrame) -> DataFrame:
@@ -420,18 +424,8 @@ def read_xml(
     """
 
     def read() -> DataFrame:
-        urls = spark.read.text(path).inputFiles()
-        heads, tails = _ends(spark, urls, "head"), _ends(spark, urls, "tail")
-        faults, open_ended = {}, []
-        for url in urls:
-            fault, is_open = _xml_fault(heads[_key(url)], tails[_key(url)], row_tag)
-            if fault:
-                faults[_key(url)] = fault
-            if is_open:
-                open_ended.append(url)
-        whole = [u for u in urls if u not in open_ended]
-        parts = [_elements(spark, us, row_tag, is_open) for us, is_open in ((whole, False), (open_ended, True)) if us]
-        elements = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        faults, open_ended = _xml_faults(spark, path, row_tag)
+        elements = _elements(spark, path, row_tag, open_ended)
         schema = ", ".join(f"`{c}` STRING" for c in (*columns, RAW))
         options = f"map('rowTag', {quote(row_tag)}, 'columnNameOfCorruptRecord', '{RAW}')"
         parsed = fence(
@@ -446,6 +440,45 @@ def read_xml(
     return _or_empty(spark, read, columns, on_missing)
 
 
+def _xml_faults(spark: SparkSession, path: str, row_tag: str) -> tuple[dict[str, str], list[str]]:
+    """What is wrong with files as a whole, and which files end within an element of ``row_tag``.
+
+    Tasks look at small files, whose number grows with the input, the driver at the ends of large and of
+    compressed ones, some at a time.
+    """
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"), "length", "content")
+    suffixes = _codec_suffixes(spark)
+    packed = reduce(Column.__or__, (F.col("file").endswith(x) for x in suffixes), F.lit(False))
+    small = F.col("length") <= _END_BYTES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = (c.as_py().decode("utf-8", "replace").removeprefix("\ufeff") for c in batch.column(1))
+            judged = [_xml_fault(t, t, row_tag) for t in texts]
+            faults, is_open = (pa.array([x[i] for x in judged], kind) for i, kind in enumerate((pa.string(), pa.bool_())))
+            yield pa.record_batch([batch.column(0), faults, is_open], names=["file", "fault", "is_open"])
+
+    looked = files.where(small & ~packed).select("file", "content").mapInArrow(run, "file string, fault string, is_open boolean")
+    found = [tuple(r.values()) for r in looked.toArrow().to_pylist()]
+    others = [r.file for r in files.where(~small | packed).select("file").collect()]
+    for i in range(0, len(others), _AT_ONCE):
+        some = others[i : i + _AT_ONCE]
+        heads, tails = _ends(spark, some, "head"), _ends(spark, some, "tail")
+        found += [(_key(f), *_xml_fault(heads[_key(f)], tails[_key(f)], row_tag)) for f in some]
+    # Files without a byte are listed but have no row.
+    empty = set(map(_key, files.inputFiles())).difference(f for f, _, _ in found)
+    faults = dict.fromkeys(empty, _EMPTY) | {f: fault for f, fault, _ in found if fault}
+    return faults, [f for f, _, is_open in found if is_open]
+
+
+def _codec_suffixes(spark: SparkSession) -> list[str]:
+    """Ends of the names of compressed files."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    reflect = jvm.org.apache.hadoop.util.ReflectionUtils
+    classes = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory.getCodecClasses(conf)
+    return [reflect.newInstance(c, conf).getDefaultExtension() for c in classes]
+
+
 def _xml_fault(head: str, tail: str | None, row_tag: str) -> tuple[str | None, bool]:
     """What is wrong with a file as a whole, and whether it ends within an element of ``row_tag``."""
     if not head.strip():
@@ -462,16 +495,20 @@ def _xml_fault(head: str, tail: str | None, row_tag: str) -> tuple[str | None, b
     return (None if re.search(end, tail, flags=re.S) else _CUT), False
 
 
-def _elements(spark: SparkSession, urls: list[str], row_tag: str, open_ended: bool) -> DataFrame:
-    """element, closed, _ord of each element. ``open_ended``: the last part of each file has no end tag.
+def _elements(spark: SparkSession, path: str, row_tag: str, open_ended: list[str]) -> DataFrame:
+    """element, closed, _ord of each element. The last part of each file of ``open_ended`` has no end tag.
 
     Those few files are sorted to find that part; the others are not.
     """
     end = f"</{row_tag}>"
-    parts = spark.read.option("lineSep", end).text(urls).select("value", _file_order())
+    parts = spark.read.option("lineSep", end).text(path).select("value", _file_order())
     if open_ended:
+        # Names alone, of files that the driver has to list anyway.
+        names = F.broadcast(spark.createDataFrame([(f,) for f in open_ended], "file string"))
         along = Window.partitionBy("_ord.file").orderBy("_ord")
-        parts = parts.withColumn("last", F.lead("value").over(along).isNull())
+        is_open = F.col("_ord.file") == F.col("file")
+        opened = parts.join(names, is_open, "left_semi").withColumn("last", F.lead("value").over(along).isNull())
+        parts = parts.join(names, is_open, "left_anti").withColumn("last", F.lit(False)).unionByName(opened)
     else:
         parts = parts.withColumn("last", F.lit(False))
     tag = re.escape(row_tag)

@@ -1,3 +1,5 @@
+import collections
+import gzip
 import json
 import random
 
@@ -253,6 +255,24 @@ def test_malformed_xml_elements_are_letters_of_their_own(spark, tmp_path):
     assert sorted(int(r.employee_id) for r in extract.accepted().collect()) == [1, 3, 4, 5, 6, 7, 8, 9, 10, 12, 13, 14]
 
 
+def test_small_xml_files_are_judged_by_tasks(spark, tmp_path, monkeypatch):
+    """The driver looks at large and at compressed files alone, however many there are of others."""
+    looked = []
+    ends = readers._ends
+    monkeypatch.setattr(readers, "_ends", lambda s, urls, wanted: looked.extend(urls) or ends(s, urls, wanted))
+    for i in range(40):
+        end = ["</r>", "<enrollment><employee_id>9", "", "</r>\n<!-- x -->"][i % 4]
+        (tmp_path / f"s {i}.xml").write_text(f"<r>{_enrolled(i)}{end}")
+    (tmp_path / "empty.xml").write_text("")
+    (tmp_path / "large.xml").write_text(f"<r>{_enrolled(100)}{' ' * (2 << 20)}<enrollment><employee_id>8")
+    (tmp_path / "packed.xml.gz").write_bytes(gzip.compress(f"<r>{_enrolled(101)}".encode()))
+    rows = readers.read_xml(spark, str(tmp_path)).selectExpr("employee_id", "_raw", "_problem").collect()
+    assert {u.rsplit("/", 1)[1] for u in looked} == {"large.xml", "packed.xml.gz"}
+    assert sorted(int(r.employee_id) for r in rows if r._problem is None) == [*range(40), 100, 101]
+    problems = collections.Counter(r._problem for r in rows if r._problem)
+    assert problems == {"element is not closed": 11, "file is cut off": 10, "file is empty": 1}
+
+
 def test_one_xml_file_is_read_by_several_tasks(spark, tmp_path):
     (tmp_path / "a.xml").write_text(f"<r>{_enrolled(*range(2000))}</r>")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
