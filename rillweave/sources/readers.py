@@ -450,11 +450,12 @@ def _xml_faults(spark: SparkSession, path: str, row_tag: str) -> tuple[dict[str,
     suffixes = _codec_suffixes(spark)
     packed = reduce(Column.__or__, (F.col("file").endswith(x) for x in suffixes), F.lit(False))
     small = F.col("length") <= _END_BYTES
+    fault_of = _xml_fault(row_tag)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = (c.as_py().decode("utf-8", "replace").removeprefix("\ufeff") for c in batch.column(1))
-            judged = [_xml_fault(t, t, row_tag) for t in texts]
+            judged = [fault_of(t, t) for t in texts]
             faults, is_open = (pa.array([x[i] for x in judged], kind) for i, kind in enumerate((pa.string(), pa.bool_())))
             yield pa.record_batch([batch.column(0), faults, is_open], names=["file", "fault", "is_open"])
 
@@ -464,7 +465,7 @@ def _xml_faults(spark: SparkSession, path: str, row_tag: str) -> tuple[dict[str,
     for i in range(0, len(others), _AT_ONCE):
         some = others[i : i + _AT_ONCE]
         heads, tails = _ends(spark, some, "head"), _ends(spark, some, "tail")
-        found += [(_key(f), *_xml_fault(heads[_key(f)], tails[_key(f)], row_tag)) for f in some]
+        found += [(_key(f), *fault_of(heads[_key(f)], tails[_key(f)])) for f in some]
     # Files without a byte are listed but have no row.
     empty = set(map(_key, files.inputFiles())).difference(f for f, _, _ in found)
     faults = dict.fromkeys(empty, _EMPTY) | {f: fault for f, fault, _ in found if fault}
@@ -479,20 +480,27 @@ def _codec_suffixes(spark: SparkSession) -> list[str]:
     return [reflect.newInstance(c, conf).getDefaultExtension() for c in classes]
 
 
-def _xml_fault(head: str, tail: str | None, row_tag: str) -> tuple[str | None, bool]:
-    """What is wrong with a file as a whole, and whether it ends within an element of ``row_tag``."""
-    if not head.strip():
-        return _EMPTY, False
-    if tail is None:
-        return None, False
-    rest = tail.rpartition(f"</{row_tag}>")[2]
-    if re.search(rf"<{re.escape(row_tag)}(?:\s[^>]*[^/>])?>", rest):
-        return None, True
-    root = re.search(r"<([A-Za-z_][\w:.-]*)", re.sub(r"<\?.*?\?>|<!--.*?-->|<!.*?>", "", head, flags=re.S))
-    if root is None or root[1] == row_tag:
-        return (_CUT if root is None else None), False
-    end = rf"(?:</{re.escape(root[1])}\s*>|<{re.escape(root[1])}[^>]*/>)\s*(?:<!--.*?-->\s*|<\?.*?\?>\s*)*$"
-    return (None if re.search(end, tail, flags=re.S) else _CUT), False
+def _xml_fault(row_tag: str) -> Callable[[str, str | None], tuple[str | None, bool]]:
+    """Tells from the beginning and the end of a file what is wrong with it as a whole, and whether it ends within an element.
+
+    A closure, so that tasks need not import this package.
+    """
+
+    def fault(head: str, tail: str | None) -> tuple[str | None, bool]:
+        if not head.strip():
+            return _EMPTY, False
+        if tail is None:
+            return None, False
+        rest = tail.rpartition(f"</{row_tag}>")[2]
+        if re.search(rf"<{re.escape(row_tag)}(?:\s[^>]*[^/>])?>", rest):
+            return None, True
+        root = re.search(r"<([A-Za-z_][\w:.-]*)", re.sub(r"<\?.*?\?>|<!--.*?-->|<!.*?>", "", head, flags=re.S))
+        if root is None or root[1] == row_tag:
+            return (_CUT if root is None else None), False
+        end = rf"(?:</{re.escape(root[1])}\s*>|<{re.escape(root[1])}[^>]*/>)\s*(?:<!--.*?-->\s*|<\?.*?\?>\s*)*$"
+        return (None if re.search(end, tail, flags=re.S) else _CUT), False
+
+    return fault
 
 
 def _elements(spark: SparkSession, path: str, row_tag: str, open_ended: list[str]) -> DataFrame:
