@@ -301,6 +301,21 @@ def review_records(df: DataFrame, links: DataFrame, days: int) -> DataFrame:
     return records.join(linked.distinct(), ["bucket", "name"], "left_semi")
 
 
+#: Comparisons of a task of ``fuzzy_pairs`` on average: its partitions follow the pairs it looks at, not its input.
+PAIRS_PER_TASK = 4_000_000
+
+
+def _tasks(cells: DataFrame, links: DataFrame) -> int:
+    """How many tasks share the comparisons of ``links`` (cell_1, cell_2), at least as many as any shuffle has."""
+    sizes = cells.selectExpr(f"{_cell('bucket', 'key')} AS cell", "n")
+    total = (
+        links.join(sizes.selectExpr("cell AS cell_1", "n AS n_1"), "cell_1")
+        .join(sizes.selectExpr("cell AS cell_2", "n AS n_2"), "cell_2")
+        .agg(F.expr("coalesce(sum(cast(n_1 AS double) * n_2), 0D)")).first()[0]
+    )
+    return max(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // PAIRS_PER_TASK))
+
+
 def fuzzy_pairs(
     df: DataFrame,
     cells: DataFrame,
@@ -312,12 +327,18 @@ def fuzzy_pairs(
     record 1 is hired earlier (ties: smaller id).
 
     Large cells are cut into blocks, so that even the pairs of one very common name and
-    date are produced by many tasks.
+    date are produced by many tasks. Pairs are many times the records, so what does not
+    depend on the pair is settled before the join.
     """
     score = "similarity_score" if "similarity_score" in links.columns else "score"
     large = cells.where(F.col("n") > policy.block_rows).selectExpr(
         f"{_cell('bucket', 'key')} AS cell", f"cast(ceil(n / {policy.block_rows}) AS int) AS blocks"
     )
+    links = links.selectExpr(
+        f"{_cell('bucket_1', 'name_1')} AS cell_1", f"{_cell('bucket_2', 'name_2')} AS cell_2", f"{score} AS score",
+        "bucket_1 = bucket_2 AS close", "bucket_1 = bucket_2 AND name_1 = name_2 AS own",
+    )
+    tasks = _tasks(cells, links)
     records = (
         _with_cell(df, days)
         .where("_cell IS NOT NULL")
@@ -326,34 +347,45 @@ def fuzzy_pairs(
         .selectExpr(
             "cell",
             f"{_block_of('employee_id')} AS block",
-            f"struct(_t AS t, employee_id AS id, {title_case(_NAME)} AS name, source_systems AS source) AS r",
+            "_t AS t", "employee_id AS id", f"{title_case(_NAME)} AS name", "source_systems AS source",
         )
+        # Once for both sides.
+        .repartition(tasks, "cell", "block")
     )
+
+    def side(k: int, prefix: str) -> DataFrame:
+        return records.selectExpr(
+            f"cell AS cell_{k}", f"block AS block_{k}", *(f"{c} AS {prefix}_{c}" for c in ("t", "id", "name", "source"))
+        )
+
     links = (
-        links.selectExpr(f"{_cell('bucket_1', 'name_1')} AS cell_1", f"{_cell('bucket_2', 'name_2')} AS cell_2", f"{score} AS score")
-        .join(large.selectExpr("cell AS cell_1", "blocks AS blocks_1"), "cell_1", "left")
+        links.join(large.selectExpr("cell AS cell_1", "blocks AS blocks_1"), "cell_1", "left")
         .join(large.selectExpr("cell AS cell_2", "blocks AS blocks_2"), "cell_2", "left")
     )
-    one = records.selectExpr("cell AS cell_1", "block AS block_1", "r AS a")
-    two = records.selectExpr("cell AS cell_2", "block AS block_2", "r AS b")
-    earlier = "(a.t < b.t OR (a.t = b.t AND a.id < b.id))"
-    return (
+    one = (
         links.withColumn("block_1", F.expr(_all_blocks("blocks_1")))
-        .join(one, ["cell_1", "block_1"])
+        .join(side(1, "a"), ["cell_1", "block_1"])
         .withColumn("block_2", F.expr(_all_blocks("blocks_2")))
-        .join(two, ["cell_2", "block_2"])
-        .where(f"cell_1 <> cell_2 OR {earlier}")
-        .where(f"abs(a.t - b.t) <= {window_micros(days)}")
-        .selectExpr(f"if({earlier}, a, b) AS r1", f"if({earlier}, b, a) AS r2", "score")
+        # Two blocks of a cell meet once; only a block with itself gives each pair twice.
+        .where("NOT own OR block_1 <= block_2")
+        .selectExpr("cell_2", "block_2", "score", "close", "own AND block_1 = block_2 AS twice", "a_t", "a_id", "a_name", "a_source")
+        .repartition(tasks, "cell_2", "block_2")
+    )
+    earlier = "(a_t < b_t OR (a_t = b_t AND a_id < b_id))"
+
+    def pick(column: str) -> list[str]:
+        return [f"if(a_first, {x}_{column}, {y}_{column}) AS record_{k}_{column}" for k, x, y in ((1, "a", "b"), (2, "b", "a"))]
+
+    return (
+        one.join(side(2, "b"), ["cell_2", "block_2"])
+        .where(f"(NOT twice OR {earlier}) AND (close OR abs(a_t - b_t) <= {window_micros(days)})")
+        .withColumn("a_first", F.expr(f"twice OR {earlier}"))
         .selectExpr(
-            "r1.id AS record_1_id",
-            "r2.id AS record_2_id",
-            "r1.name AS record_1_name",
-            "r2.name AS record_2_name",
+            *pick("id"),
+            *pick("name"),
             "score AS similarity_score",
-            f"cast((r2.t - r1.t) div {MICROS_PER_DAY} AS int) AS hire_date_diff_days",
-            "r1.source AS record_1_source",
-            "r2.source AS record_2_source",
+            f"cast(abs(b_t - a_t) div {MICROS_PER_DAY} AS int) AS hire_date_diff_days",
+            *pick("source"),
             "'REVIEW' AS recommended_action",
         )
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -30,7 +31,12 @@ class Resolution:
     ghosts: DataFrame
     match_links: DataFrame
     match_records: DataFrame
-    probable_matches: DataFrame
+    list_pairs: Callable[[], DataFrame]
+
+    @property
+    def probable_matches(self) -> DataFrame:
+        """Planned when asked for: the plan counts what there is to compare."""
+        return self.list_pairs()
 
 
 def exact(records: DataFrame, config: IntegrationConfig = DEFAULT) -> DataFrame:
@@ -61,5 +67,5 @@ def resolve(records: DataFrame, stage: Staging, config: IntegrationConfig = DEFA
         ghosts=ghosts(survivors),
         match_links=links,
         match_records=review_records(survivors, links, days),
-        probable_matches=fuzzy_pairs(survivors, cells, cell_links(cells, similar), days, policy),
+        list_pairs=lambda: fuzzy_pairs(survivors, cells, cell_links(cells, similar), days, policy),
     )

@@ -3,9 +3,11 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql.functions import spark_partition_id
 from test_functions import _lcs
 
 from rillweave.config import IntegrationConfig, SkewPolicy
+from rillweave.operators import fuzzy
 from rillweave.operators.fuzzy import (
     _signatures,
     cell_links,
@@ -139,6 +141,19 @@ def test_longer_names_lose_nothing(spark, policy):
     assert {(r.record_1_id, r.record_2_id) for r in found.collect()} == {p[:2] for p in brute(rows, 88, 30)}
 
 
+def test_tasks_follow_the_pairs(spark, monkeypatch):
+    """One crowded name and date: few records, many pairs, and no task has a large part of them."""
+    monkeypatch.setattr(fuzzy, "PAIRS_PER_TASK", 1_000, raising=False)
+    policy = SkewPolicy(block_rows=10)
+    rows = [(f"GT-{i:06d}", "Ann", "Lee", datetime(2020, 1, 1 + i % 3), "payroll") for i in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    cells = name_cells(df, 30).cache()
+    pairs = fuzzy_pairs(df, cells, cell_links(cells, similar_cells(cells, 88, policy)), 30, policy)
+    shares = [r["count"] for r in pairs.groupBy(spark_partition_id()).count().collect()]
+    assert sum(shares) == 200 * 199 // 2 and max(shares) <= 5_000
+    assert len({(r.record_1_id, r.record_2_id) for r in pairs.collect()}) == 200 * 199 // 2
+
+
 def test_name_display_and_missing_parts(spark):
     day = datetime(2020, 1, 1)
     rows = [("GT-000002", "o'neil", "SMITH-jones", day, "a"), ("GT-000001", "O'Neil", "Smith-Jones", day, "b"),
