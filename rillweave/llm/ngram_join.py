@@ -51,10 +51,11 @@ SAMPLE, FREQUENT = 16, 8
 FREQUENT_KEPT = 200_000
 #: Keys that are given to all tasks rather than joined by a shuffle.
 RESIDENT_KEYS = 500_000
-#: Words of a bitmap, a power of two. It travels with each pair that is looked at.
+#: Words of a bitmap at least, a power of two. It travels with each pair that is looked at. Larger sets have larger ones,
+#: of two to four bits an n-gram: those of a fixed size are full, and bound nothing, for some thousand n-grams.
 _BITMAP_WORDS = 32
-#: Steps that shuffle all prefixes or whole sets run in so many parts, one after the other, so that
-#: what is on disk at once is a part of them.
+#: Steps that shuffle all prefixes run in so many parts, one after the other, so that what is on disk at once is a part
+#: of them. Steps that shuffle whole sets do so too if the sets of all their pairs are as much as all sets, else in fewer.
 PARTS = 4
 
 
@@ -90,11 +91,13 @@ def _needed(n, percent: int):
     return -(-n * percent // 100)
 
 
-def _bitmaps(shingles: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    bits = np.zeros(n * _BITMAP_WORDS * 64, dtype=bool)
-    width = (_BITMAP_WORDS * 64).bit_length() - 1
-    bits[(owner << width) + (shingles >> np.uint64(64 - width)).astype(np.int64)] = True
-    return np.packbits(bits).view(np.int64)
+def _bitmaps(shingles: np.ndarray, owner: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of the rows, and the words of their bitmaps. A bitmap's halves, or-ed, are the next smaller one."""
+    words = np.maximum(_BITMAP_WORDS, 1 << np.ceil(np.log2(np.maximum(n, 1) / 32)).astype(np.int64).clip(0))
+    offsets = np.concatenate(([0], np.cumsum(words)))
+    bits = np.zeros(offsets[-1] * 64, dtype=bool)
+    bits[(offsets[owner] << 6) + (shingles & (words[owner] * 64 - 1).astype(np.uint64)).astype(np.int64)] = True
+    return offsets, np.packbits(bits).view(np.int64)
 
 
 def _late(shingles: np.ndarray, owner: np.ndarray, keys: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -132,15 +135,13 @@ def _sets(docs: DataFrame, shared, width: int, percent: int) -> DataFrame:
                 within = np.arange(len(shingles)) - np.repeat(borders[:-1], n)
                 prefix = ordered[within < np.repeat(take, n)]
                 bounds = np.concatenate(([0], np.cumsum(take)))
-                maps = _bitmaps(shingles, owner, rows)
+                places_of_maps, maps = _bitmaps(shingles, owner, n)
                 part = batch.slice(start, rows)
                 yield pa.record_batch(
                     [
                         part.column(0), part.column(1), pa.array(n), pa.array(sig.view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(prefix.view(np.int64))),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.arange(rows + 1) * _BITMAP_WORDS, pa.int32()), pa.array(maps)
-                        ),
+                        pa.ListArray.from_arrays(pa.array(places_of_maps, pa.int32()), pa.array(maps)),
                     ],
                     names=["doc_id", "text_hash", "n", "sig", "prefix", "bitmap"],
                 )
@@ -180,6 +181,7 @@ class _Join:
         shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, width))
         self.rows = work(_sets(docs, shared, width, percent), "rows")
         self.ids = work(self.rows.select("doc_id", "text_hash", "n", "sig"), "ids")
+        self.size = self.ids.agg(F.sum("n")).first()[0] or 0
         # A row per different set. Its n-grams are computed again, where needed, from a text that has it.
         self.classes = work(
             self.rows.where("n > 0").groupBy("sig").agg(
@@ -214,9 +216,12 @@ class _Join:
             f"bounded{self.steps}",
         )
         still = bounded.where("open")
+        volume = still.agg(F.sum(F.col("na") + F.col("nb"))).first()[0] or 0
+        # The shares of the sets' whole size that the pairs carry; none is open: no part.
+        parts = min(PARTS, -(-PARTS * volume // max(1, self.size)))
         done = []
-        for k in range(PARTS):
-            part, sets = still.where(f"pmod(a, {PARTS}) = {k}"), f"sets{self.steps}_{k}"
+        for k in range(parts):
+            part, sets = still.where(f"pmod(a, {parts}) = {k}"), f"sets{self.steps}_{k}"
             wanted = settled(part.selectExpr("a sig", "hash_a text_hash").union(part.select("b", "hash_b")).distinct())
             whole = self.work(_whole_sets(self.docs, wanted, self.width), sets)
             overlaps = (
@@ -230,7 +235,7 @@ class _Join:
             self.work.drop(sets)
         skipped = bounded.where("not open").selectExpr("a", "b", "na", "nb", "0L low", "high", "false linked")
         checked = self.work(reduce(DataFrame.unionByName, done, skipped), f"checked{self.steps}")
-        self.work.drop(f"bounded{self.steps}", *(f"overlaps{self.steps}_{k}" for k in range(PARTS)))
+        self.work.drop(f"bounded{self.steps}", *(f"overlaps{self.steps}_{k}" for k in range(parts)))
         return checked
 
     def star(self) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -247,7 +252,8 @@ class _Join:
                 .where("first <> last").select("token")
             )
             # Copies of a set are one entry.
-            parts.append(self.work(part.join(shared, "token").distinct(), f"entries{k}"))
+            # One row a token on that side, so a hash table of it is small and the entries need no sorting.
+            parts.append(self.work(part.join(shared.hint("shuffle_hash"), "token").distinct(), f"entries{k}"))
         entries = reduce(DataFrame.unionByName, parts).selectExpr("sig", "token", "shiftright(at, 32) n", "cast(at & 2147483647 as int) pos")
         entries = entries.withColumn("s", F.expr(f"cast(floor(ln(n) / ln({100 / self.percent}D)) as int)"))
         self.work.drop("rows")
@@ -312,7 +318,9 @@ class _Join:
 
         # A set outside of a large class against all of the class: here the bitmaps come along,
         # so that the join itself gives out only what may link.
-        mapped = placed.where("linked_main").join(self.classes.select("sig", "bitmap"), "sig")
+        # They come with each entry, so in their smallest size.
+        maps = self.classes.selectExpr("sig", f"{_folded('bitmap', str(_BITMAP_WORDS))} bitmap")
+        mapped = placed.where("linked_main").join(maps, "sig")
         mapped = self.work(mapped, "mapped")
         bounded = f"{_high('n', 'x_n', 'bitmap', 'x_bitmap')} >= {self.least_overlap('n', 'x_n')}"
         to_main = met(mapped.where("not is_main"), mapped.where("is_main"), [*names, "bitmap"], bounded)
@@ -325,10 +333,18 @@ class _Join:
         return self.checked(new)
 
 
+def _folded(bitmap: str, words: str) -> str:
+    """SQL for a bitmap brought to so many words; a larger one is or-ed from its parts."""
+    parts = f"transform(sequence(1, size({bitmap}) div {words} - 1), i -> slice({bitmap}, i * {words} + 1, {words}))"
+    ored = f"aggregate({parts}, slice({bitmap}, 1, {words}), (t, x) -> zip_with(t, x, (p, q) -> p | q))"
+    return f"if(size({bitmap}) <= {words}, {bitmap}, {ored})"
+
+
 def _high(na: str, nb: str, map_a: str, map_b: str) -> str:
     """SQL for the bound of the overlap: each bit in one map alone stands for an n-gram in one set alone."""
-    alone = f"aggregate(zip_with({map_a}, {map_b}, (p, q) -> cast(bit_count(p ^ q) as bigint)), 0L, (t, p) -> t + p)"
-    return f"(({na} + {nb} - {alone}) div 2)"
+    words = f"least(size({map_a}), size({map_b}))"
+    alone = f"zip_with({_folded(map_a, words)}, {_folded(map_b, words)}, (p, q) -> cast(bit_count(p ^ q) as bigint))"
+    return f"(({na} + {nb} - aggregate({alone}, 0L, (t, p) -> t + p)) div 2)"
 
 
 def _ordered(a: str, na: str, b: str, nb: str) -> list[str]:

@@ -27,14 +27,16 @@ from __future__ import annotations
 
 from bisect import insort
 from collections import defaultdict
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillweave.llm.common import components, input_rows, settled
+from rillweave.llm import wordhash
+from rillweave.llm.common import components, input_rows, settled, small_batches
 from rillweave.llm.ngram_join import rooted_classes
 
 CAPACITY = 8192
@@ -131,10 +133,23 @@ def pack_group(pieces: pd.DataFrame, capacity: int) -> pd.DataFrame:
     return p.assign(bin=np.array(bins, dtype=np.int64), bin_slot=np.array(slots, dtype=np.int64), bin_offset=np.array(offsets, dtype=np.int64))
 
 
+def _without_blanks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first column as it is, the texts of the second without blank and U+0009 to U+000D."""
+    for batch in batches:
+        data, offsets = wordhash.text_bytes(batch.column(1))
+        kept = ~wordhash.is_space(data)
+        ends = np.concatenate(([0], np.cumsum(kept)))[offsets].astype(np.int32)
+        letters = pa.StringArray.from_buffers(len(batch), pa.py_buffer(ends), pa.py_buffer(data[kept]))
+        yield pa.record_batch([batch.column(0), letters], names=["text_hash", "letters"])
+
+
 def clusters(docs: DataFrame, near_copies: bool = True) -> DataFrame:
     """text_hash, cluster of each different text but the empty one (columns doc_id, text)."""
-    key = r"xxhash64(lower(translate(text, ' \t\n\x0b\f\r', ''))) key"
-    keys = docs.where("text <> ''").selectExpr("xxhash64(text) text_hash", key).groupBy("text_hash").agg(F.min("key").alias("key"))
+    # Blanks go in a task's Python: SQL's translate takes most of the time of this step.
+    letters = docs.where("text <> ''").selectExpr("xxhash64(text) text_hash", "text").mapInArrow(
+        _without_blanks, "text_hash bigint, letters string"
+    )
+    keys = letters.selectExpr("text_hash", "xxhash64(lower(letters)) key").groupBy("text_hash").agg(F.min("key").alias("key"))
     if not near_copies:
         return keys.selectExpr("text_hash", "key cluster")
     roots = rooted_classes(docs).groupBy("text_hash").agg(F.min("root").alias("root"))
@@ -155,15 +170,16 @@ def pack(
     without ``near_copies``.
     """
     own = input_rows(docs, doc_id=F.col(f"`{doc_id}`").cast("long"), source=F.col(f"`{source}`").cast("string"), text=text)
-    narrow = settled(
-        own.selectExpr(
-            "doc_id", "source",
-            "cast(coalesce(octet_length(text), 0) + 1 as bigint) length",
-            # The exact text takes part in the deal, so that rows of one id spread too.
-            "xxhash64('deal', doc_id, text) deal",
-            "xxhash64(coalesce(text, '')) text_hash",
-        ).join(clusters(own, near_copies), "text_hash", "left")
-    )
+    with small_batches(docs.sparkSession):
+        narrow = settled(
+            own.selectExpr(
+                "doc_id", "source",
+                "cast(coalesce(octet_length(text), 0) + 1 as bigint) length",
+                # The exact text takes part in the deal, so that rows of one id spread too.
+                "xxhash64('deal', doc_id, text) deal",
+                "xxhash64(coalesce(text, '')) text_hash",
+            ).join(clusters(own, near_copies), "text_hash", "left")
+        )
     groups = max(1, -(-narrow.count() // group_rows))
     pieces = narrow.selectExpr(
         f"pmod(deal, {groups}) g", "doc_id", "source", "cluster", "length",

@@ -59,6 +59,11 @@ _LOWER[65:91] += 32
 _VALUE_LOW = _byte_values()[_LOWER]
 
 
+def is_space(data: np.ndarray) -> np.ndarray:
+    """Which bytes are blank or U+0009 to U+000D."""
+    return _IS_SPACE[data]
+
+
 def lower(data: np.ndarray) -> np.ndarray:
     """Bytes with A-Z in lower case."""
     return _LOWER[data]

@@ -130,6 +130,33 @@ def test_packing_parts_clusters(spark):
     assert all(len(set(b)) == len(b) for b in bins.values())
 
 
+def test_packing_clusters_keep_letters_and_drop_blanks(spark):
+    rows = [(0, "fox bob 0", "s0"), (1, "o o", "s1"), (2, "a\x0bc", "s2"), (3, "A\fC", "s3"), (4, "É\u2003é", "s4"), (5, "é\u2003\té", "s5")]
+    bins = {r.doc_id: r.bin_id for r in packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert bins[0] == bins[1] and bins[2] != bins[3] and bins[4] != bins[5]
+    named = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r.cluster for r in packing.clusters(named, near_copies=False).collect()} == {
+        r[0] for r in spark.sql("select explode(transform(array('foxbob0', 'oo', 'ac', 'é\u2003é'), x -> xxhash64(x)))").collect()
+    }
+
+
+def test_bitmaps_bound_long_texts_of_any_size(spark):
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(30_000)]
+    texts = [words[:9000], words[9000:18_000], words[18_000:], words[100:9000], words[:700]]
+    df = spark.createDataFrame([(i, i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text_hash long, text string")
+    none = spark.sparkContext.broadcast((np.empty(0, np.uint64), np.empty(0, np.int64)))
+    sets = ngram_join._sets(df, none, 5, 80)
+    a, b = (sets.selectExpr(f"doc_id {x}", f"n n{x}", f"bitmap m{x}") for x in "ab")
+    high = {(r.a, r.b): (r.na, r.nb, r.high) for r in a.join(b).selectExpr("a", "b", "na", "nb", f"{ngram_join._high('na', 'nb', 'ma', 'mb')} high").collect()}
+    for (i, j), (na, nb, bound) in high.items():
+        shared = len({tuple(texts[i][k : k + 5]) for k in range(na)} & {tuple(texts[j][k : k + 5]) for k in range(nb)})
+        assert bound >= shared
+    # Texts without a common n-gram are told apart without their whole sets, however long they are.
+    assert all(100 * bound < 80 * (na + nb - bound) for (i, j), (na, nb, bound) in high.items() if {i, j} in ({0, 1}, {0, 2}, {1, 2}, {1, 3}))
+    assert high[0, 3][2] * 100 >= 80 * (high[0, 3][0] + high[0, 3][1] - high[0, 3][2])
+
+
 def test_cover_tree_equals_brute_force(spark):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(12, 8))
