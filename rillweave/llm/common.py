@@ -6,6 +6,8 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,16 +108,42 @@ def input_rows(df: DataFrame, **columns: str | Column) -> DataFrame:
     return df.select(*(F.col(f"`{c}`").alias(k) if isinstance(c, str) else c.alias(k) for k, c in columns.items()))
 
 
-def components(edges: DataFrame) -> DataFrame:
+#: Links that a task contracts at once.
+TASK_LINKS = 500_000
+
+
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (u, v) with the components of a task's links: each node but the smallest of its component, and that one."""
+    held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+    if not held:
+        return
+    nodes, at = np.unique(np.concatenate([np.concatenate(c) for c in zip(*held, strict=True)]), return_inverse=True)
+    u, v = np.split(at, 2)
+    root = np.arange(len(nodes))
+    while len(u):
+        # Roots hang onto smaller ones, then all nodes onto their roots.
+        np.minimum.at(root, np.maximum(u, v), np.minimum(u, v))
+        while not np.array_equal(above := root[root], root):
+            root = above
+        u, v = root[u], root[v]
+        u, v = u[u != v], v[u != v]
+    hangs = root != np.arange(len(nodes))
+    yield pa.record_batch([pa.array(nodes[hangs]), pa.array(nodes[root[hangs]])], names=["u", "v"])
+
+
+def components(edges: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
     """Connected components of undirected ``edges`` (u long, v long): node, root (its smallest node).
 
-    Alternating star contraction: each round hangs neighbours onto the smallest one around, in
-    two aggregations with map-side combination. No neighbour list is ever gathered, so a node
-    with any number of links is as cheap as its rows. Rounds: about the logarithm of the
-    longest path. Loops and repeated edges do no harm.
+    Tasks contract their links first, about ``task_links`` each; a graph of one task's links is done
+    then. Larger ones take alternating star contraction: each round hangs neighbours onto the smallest
+    one around, in two aggregations with map-side combination. No neighbour list is ever gathered, so a
+    node with any number of links is as cheap as its rows. Rounds: about the logarithm of the longest
+    path. Loops and repeated edges do no harm.
     """
     links = settled(edges.where("u <> v").selectExpr("greatest(u, v) u", "least(u, v) v").distinct())
-    while True:
+    tasks = max(1, -(-links.count() // task_links))
+    links = settled(links.coalesce(tasks).mapInArrow(_contracted, "u bigint, v bigint"))
+    while tasks > 1:
         both = links.unionByName(links.selectExpr("v u", "u v"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) m")
         large = both.where("v > u").join(least, "u").selectExpr("v u", "m v").distinct()

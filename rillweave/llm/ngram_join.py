@@ -19,9 +19,10 @@ exact. What it returns are the classes of linked documents.
    remains against the sets themselves.
 
 So a group of near copies costs a comparison per copy and list, not one per pair, and a
-passage shared by many documents does not enter the prefixes. No list, group or class is
-ever gathered in one place: all steps are joins and aggregations, and where a key owns many
-rows, one side of the join is a row per key, so the other can be split.
+passage shared by many documents does not enter the prefixes. Lists of frequent n-grams, groups
+and classes are never gathered in one place: those steps are joins and aggregations, and where a
+key owns many rows, one side of the join is a row per key, so the other can be split. Lists of
+rare n-grams are short; a task gets a bucket of them and finds shared lists, blocks and leaders.
 
 Defined cases: null or empty text, or text without words, has an empty set and links with
 nothing. Fewer words than n form one n-gram. Repeated rows and equal ids: each row gets its
@@ -49,6 +50,9 @@ PERCENT = 80
 SAMPLE, FREQUENT = 16, 8
 #: So many frequent n-grams go to the back of the order. The order affects cost only.
 FREQUENT_KEPT = 200_000
+#: N-grams travel packed, a row per bucket of their hashes and chunk: a row for each costs several times their work.
+#: Buckets in which those of the sample are counted; rare n-grams of a bucket of the lists, and of a chunk, on average.
+_COUNT_BUCKETS, _BUCKET, _CHUNK = 256, 1 << 18, 1 << 20
 #: Keys that are given to all tasks rather than joined by a shuffle.
 RESIDENT_KEYS = 500_000
 #: Words of a bitmap at least, a power of two. It travels with each pair that is looked at. Larger sets have larger ones,
@@ -57,6 +61,31 @@ _BITMAP_WORDS = 32
 #: Steps that shuffle all prefixes run in so many parts, one after the other, so that what is on disk at once is a part
 #: of them. Steps that shuffle whole sets do so too if the sets of all their pairs are as much as all sets, else in fewer.
 PARTS = 4
+#: N-grams of such a part at least: fewer do not fill a disk, and each part is a round of small tasks.
+PART_NGRAMS = 1 << 26
+
+
+def _dealt(tokens: np.ndarray, buckets: int, *columns: np.ndarray) -> pa.RecordBatch:
+    """A row per bucket of ``tokens`` that is not empty, the numbers of each column packed into bytes. Tokens are hashes."""
+    bucket = (tokens.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    bounds = np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=buckets))))
+    some = np.flatnonzero(np.diff(bounds)).astype(np.int32)
+    offsets = pa.py_buffer(np.append(bounds[some], len(tokens)).astype(np.int32) * np.int32(8))
+    packed = [
+        pa.Array.from_buffers(pa.binary(), len(some), [None, offsets, pa.py_buffer(c[order].view(np.int64))])
+        for c in (tokens, *columns)
+    ]
+    return pa.record_batch([pa.array(some), *packed], names=["bucket", *(f"c{k}" for k in range(len(packed)))])
+
+
+def _dealt_schema(columns: int) -> str:
+    return ", ".join(["bucket int", *(f"c{k} binary" for k in range(columns))])
+
+
+def _gathered(rows: pa.Table, columns: int) -> list[np.ndarray]:
+    """The columns of all rows of a bucket, as ``_dealt`` got them."""
+    return [np.frombuffer(b"".join(rows.column(f"c{k}").to_pylist()), dtype=np.int64) for k in range(columns)]
 
 
 def _frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -66,8 +95,19 @@ def _frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
         counts = KeyCounts(0)
         for batch in batches:
             for _, _, shingles in wordhash.shingle_sets(batch.column(0), width):
-                yield from counts.add(shingles)
-        yield from counts.flush()
+                for some in counts.add(shingles):
+                    yield _dealt(some.column(1).to_numpy(), _COUNT_BUCKETS, some.column(2).to_numpy())
+        for some in counts.flush():
+            yield _dealt(some.column(1).to_numpy(), _COUNT_BUCKETS, some.column(2).to_numpy())
+
+    def summed(rows: pa.Table) -> pa.Table:
+        tokens, n = _gathered(rows, 2)
+        order = np.argsort(tokens)
+        tokens, n = tokens[order], n[order]
+        first = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
+        n = np.add.reduceat(n, first)
+        many = n >= FREQUENT
+        return pa.table({"key": tokens[first][many], "n": n[many]})
 
     sample = (
         docs.select("text", F.xxhash64("text").alias("h"))
@@ -75,10 +115,7 @@ def _frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
         .groupBy("h").agg(F.first("text").alias("text"))  # copies count once
         .select("text")
     )
-    counted = (
-        sample.mapInArrow(run, "kind int, key bigint, n bigint")
-        .groupBy("key").agg(F.sum("n").alias("n")).where(f"n >= {FREQUENT}")
-    )
+    counted = sample.mapInArrow(run, _dealt_schema(2)).groupBy("bucket").applyInArrow(summed, "key bigint, n bigint")
     rows = counted.orderBy(F.desc("n"), "key").limit(FREQUENT_KEPT).toArrow()
     keys = rows["key"].to_numpy().view(np.uint64)
     place = np.arange(len(keys), 0, -1)
@@ -100,23 +137,24 @@ def _bitmaps(shingles: np.ndarray, owner: np.ndarray, n: np.ndarray) -> tuple[np
     return offsets, np.packbits(bits).view(np.int64)
 
 
-def _late(shingles: np.ndarray, owner: np.ndarray, keys: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """The n-grams of each row in the global order: those of ``keys`` last."""
+def _late(shingles: np.ndarray, owner: np.ndarray, keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of each row in the global order, those of ``keys`` last, and which ones are of ``keys``."""
     if not len(keys) or not len(shingles):
-        return shingles
+        return shingles, np.zeros(len(shingles), dtype=bool)
     at = np.minimum(np.searchsorted(keys, shingles), len(keys) - 1)
     late = np.where(keys[at] == shingles, places[at], 0)
     # Hash order holds already; only rows with frequent n-grams change.
     has = np.zeros(owner[-1] + 1, dtype=bool)
     has[owner[late > 0]] = True
     moved = np.flatnonzero(has[owner])
-    out = shingles.copy()
-    out[moved] = shingles[moved[np.lexsort((late[moved], owner[moved]))]]
-    return out
+    out, of_keys = shingles.copy(), late > 0
+    order = moved[np.lexsort((late[moved], owner[moved]))]
+    out[moved], of_keys[moved] = shingles[order], late[order] > 0
+    return out, of_keys
 
 
 def _sets(docs: DataFrame, shared, width: int, percent: int) -> DataFrame:
-    """doc_id, text_hash, n, sig, prefix, bitmap of each row."""
+    """doc_id, text_hash, n, sig, bitmap of each row, and its prefix: rare n-grams packed, frequent ones behind them as a list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, places = shared.value
@@ -130,24 +168,116 @@ def _sets(docs: DataFrame, shared, width: int, percent: int) -> DataFrame:
                 if len(full):
                     sums[full] = np.add.reduceat(wordhash.mix(shingles), borders[full])
                 sig = wordhash.mix(sums + n.astype(np.uint64))
-                ordered = _late(shingles, owner, keys, places)
+                ordered, of_keys = _late(shingles, owner, keys, places)
                 take = np.where(n > 0, n - _needed(n, percent) + 1, 0)
                 within = np.arange(len(shingles)) - np.repeat(borders[:-1], n)
-                prefix = ordered[within < np.repeat(take, n)]
-                bounds = np.concatenate(([0], np.cumsum(take)))
+                in_prefix = within < np.repeat(take, n)
+                rare, common = np.flatnonzero(in_prefix & ~of_keys), np.flatnonzero(in_prefix & of_keys)
+                ends = [np.concatenate(([0], np.cumsum(np.bincount(owner[x], minlength=rows)))).astype(np.int32) for x in (rare, common)]
+                packed = [None, pa.py_buffer(ends[0] * np.int32(8)), pa.py_buffer(ordered[rare])]
                 places_of_maps, maps = _bitmaps(shingles, owner, n)
                 part = batch.slice(start, rows)
                 yield pa.record_batch(
                     [
                         part.column(0), part.column(1), pa.array(n), pa.array(sig.view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(prefix.view(np.int64))),
+                        pa.Array.from_buffers(pa.binary(), rows, packed),
+                        pa.ListArray.from_arrays(pa.array(ends[1], pa.int32()), pa.array(ordered[common].view(np.int64))),
                         pa.ListArray.from_arrays(pa.array(places_of_maps, pa.int32()), pa.array(maps)),
                     ],
-                    names=["doc_id", "text_hash", "n", "sig", "prefix", "bitmap"],
+                    names=["doc_id", "text_hash", "n", "sig", "rare", "common", "bitmap"],
                 )
 
     return docs.select("doc_id", "text_hash", "text").mapInArrow(
-        run, "doc_id bigint, text_hash bigint, n bigint, sig bigint, prefix array<bigint>, bitmap array<bigint>"
+        run, "doc_id bigint, text_hash bigint, n bigint, sig bigint, rare binary, common array<bigint>, bitmap array<bigint>"
+    )
+
+
+#: An entry: a set in the list of a token. lead: the leader of its block (token, s). met: what step 2 compares it with, the
+#: leader, or for a leader that of the block below. size: entries of the list.
+_ENTRY = (
+    "token bigint, s int, sig bigint, n bigint, pos int, size bigint, lead bigint, met bigint, met_n bigint, met_pos int"
+)
+
+
+def _rare_entries(classes: DataFrame, percent: int, buckets: int, part: int, parts: int) -> DataFrame:
+    """The entries of rare n-grams in shared lists, of one part of the buckets.
+
+    A rare n-gram is none of the most frequent ones, so its list is short, and a bucket of such lists fits a task.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            sig, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            packed = batch.column(2).cast(pa.large_binary())
+            ends = np.frombuffer(packed.buffers()[1], np.int64)[packed.offset : packed.offset + len(packed) + 1]
+            tokens = np.frombuffer(packed.buffers()[2] or b"", np.int64)[ends[0] // 8 : ends[-1] // 8]
+            many = np.diff(ends) // 8
+            owner = np.repeat(np.arange(len(many)), many)
+            at = (n[owner] << 32) + np.arange(len(tokens)) - (ends[:-1] // 8 - ends[0] // 8)[owner]
+            mine = tokens.view(np.uint64) % np.uint64(buckets) % np.uint64(parts) == part if parts > 1 else slice(None)
+            held.append((tokens[mine].copy(), sig[owner[mine]], at[mine]))
+            count += len(held[-1][0])
+            if count >= _CHUNK:
+                yield _dealt(*_chunk(held, buckets))
+                held, count = [], 0
+        if count:
+            yield _dealt(*_chunk(held, buckets))
+
+    def listed(rows: pa.Table) -> pa.Table:
+        token, sig, at = _gathered(rows, 3)
+        order = np.argsort(token)
+        first = np.concatenate(([True], np.diff(token[order]) != 0))
+        size = np.diff(np.append(np.flatnonzero(first), len(token)))
+        size = np.repeat(size, size)
+        order, size = order[size > 1], size[size > 1]
+        token, sig, at = token[order], sig[order], at[order]
+        n, pos = at >> 32, at & 0x7FFFFFFF
+        s = np.floor(np.log(n) / np.log(100 / percent)).astype(np.int32)
+        # Another leader in each list: a near copy is compared with as many others as it has
+        # lists, so the copies of one text hang together after this step.
+        order = np.lexsort((wordhash.mix(sig.view(np.uint64) ^ wordhash.mix(token.view(np.uint64))), s, token))
+        token, s, sig, n, pos, size = (x[order] for x in (token, s, sig, n, pos, size))
+        leads = np.ones(len(token), dtype=bool)
+        leads[1:] = (token[1:] != token[:-1]) | (s[1:] != s[:-1])
+        lead = np.flatnonzero(leads)
+        block = np.cumsum(leads) - 1
+        below = np.concatenate((lead[:1], lead[:-1]))  # of each block, the leader of the one before
+        near = (token[lead] == token[below]) & (s[lead] == s[below] + 1)
+        met = np.where(leads, below[block], lead[block])
+        none = leads & ~near[block]
+        return pa.table({
+            "token": token, "s": s, "sig": sig, "n": n, "pos": pos.astype(np.int32), "size": size, "lead": sig[lead[block]],
+            "met": pa.array(sig[met], mask=none), "met_n": pa.array(n[met], mask=none),
+            "met_pos": pa.array(pos[met].astype(np.int32), mask=none),
+        })
+
+    dealt = classes.select("sig", "n", "rare").where("rare <> x''").mapInArrow(deal, _dealt_schema(3))
+    return dealt.groupBy("bucket").applyInArrow(listed, _ENTRY)
+
+
+def _chunk(held: list[tuple[np.ndarray, ...]], buckets: int) -> tuple:
+    token, *others = (np.concatenate(c) for c in zip(*held, strict=True))
+    return token, buckets, *others
+
+
+def _common_entries(classes: DataFrame, work: Workspace, percent: int) -> DataFrame:
+    """The entries of frequent n-grams in shared lists, which are never gathered in one place."""
+    listed = classes.where("size(common) > 0").selectExpr(
+        "sig", "n", "cast(octet_length(rare) div 8 as int) before", "posexplode(common) as (place, token)"
+    ).selectExpr("sig", "token", "n", "before + place pos", f"cast(floor(ln(n) / ln({100 / percent}D)) as int) s")
+    shared = listed.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
+    # One row a token on that side, so a hash table of it is small and the entries need no sorting.
+    entries = work(listed.join(shared.hint("shuffle_hash"), "token"), "listed")
+    leaders = work(
+        entries.groupBy("token", "s").agg(F.min(F.struct(F.xxhash64("sig", "token"), "sig", "n", "pos")).alias("lead"))
+        .selectExpr("token", "s", "lead.sig lead", "lead.n lead_n", "lead.pos lead_pos"),
+        "leaders",
+    )
+    below = leaders.selectExpr("token", "s + 1 s", "lead below", "lead_n below_n", "lead_pos below_pos")
+    return entries.join(leaders.join(below, ["token", "s"], "left"), ["token", "s"]).selectExpr(
+        "token", "s", "sig", "n", "pos", "size", "lead", "if(sig = lead, below, lead) met",
+        "if(sig = lead, below_n, lead_n) met_n", "if(sig = lead, below_pos, lead_pos) met_pos",
     )
 
 
@@ -185,10 +315,12 @@ class _Join:
         # A row per different set. Its n-grams are computed again, where needed, from a text that has it.
         self.classes = work(
             self.rows.where("n > 0").groupBy("sig").agg(
-                F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash"), F.first("bitmap").alias("bitmap")
+                F.min("n").alias("n"), F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash"),
+                *(F.first(c).alias(c) for c in ("rare", "common", "bitmap")),
             ),
             "classes",
         )
+        work.drop("rows")
 
     def least_overlap(self, a: str, b: str) -> str:
         """SQL for the smallest overlap with which sets of sizes a and b link."""
@@ -209,7 +341,7 @@ class _Join:
         left = maps.withColumnsRenamed({"sig": "a", "bitmap": "map_a", "text_hash": "hash_a"})
         right = maps.withColumnsRenamed({"sig": "b", "bitmap": "map_b", "text_hash": "hash_b"})
         bounded = self.work(
-            pairs.distinct().join(left, "a").join(right, "b").selectExpr(
+            pairs.join(left, "a").join(right, "b").selectExpr(
                 "a", "b", "na", "nb", "hash_a", "hash_b",
                 f"{_high('na', 'nb', 'map_a', 'map_b')} high",
             ).withColumn("open", F.expr(f"high >= {self.least_overlap('na', 'nb')}")),
@@ -218,7 +350,7 @@ class _Join:
         still = bounded.where("open")
         volume = still.agg(F.sum(F.col("na") + F.col("nb"))).first()[0] or 0
         # The shares of the sets' whole size that the pairs carry; none is open: no part.
-        parts = min(PARTS, -(-PARTS * volume // max(1, self.size)))
+        parts = min(PARTS, -(-volume // max(PART_NGRAMS, self.size // PARTS)))
         done = []
         for k in range(parts):
             part, sets = still.where(f"pmod(a, {parts}) = {k}"), f"sets{self.steps}_{k}"
@@ -238,61 +370,41 @@ class _Join:
         self.work.drop(f"bounded{self.steps}", *(f"overlaps{self.steps}_{k}" for k in range(parts)))
         return checked
 
-    def star(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Entries of shared n-grams, leaders of their blocks, and the pairs of step 2."""
-        # Size and place travel as one number.
-        listed = self.rows.where("n > 0").selectExpr("sig", "n", "posexplode(prefix) as (pos, token)").selectExpr(
-            "sig", "token", "shiftleft(n, 32) + pos at"
-        )
-        parts = []
-        for k in range(PARTS):
-            part = listed.where(f"pmod(token, {PARTS}) = {k}")
-            shared = (
-                part.groupBy("token").agg(F.min("sig").alias("first"), F.max("sig").alias("last"))
-                .where("first <> last").select("token")
-            )
-            # Copies of a set are one entry.
-            # One row a token on that side, so a hash table of it is small and the entries need no sorting.
-            parts.append(self.work(part.join(shared.hint("shuffle_hash"), "token").distinct(), f"entries{k}"))
-        entries = reduce(DataFrame.unionByName, parts).selectExpr("sig", "token", "shiftright(at, 32) n", "cast(at & 2147483647 as int) pos")
-        entries = entries.withColumn("s", F.expr(f"cast(floor(ln(n) / ln({100 / self.percent}D)) as int)"))
-        self.work.drop("rows")
-        leaders = self.work(
-            # Another leader in each list: a near copy is compared with as many others as it has
-            # lists, so the copies of one text hang together after this step.
-            entries.groupBy("token", "s").agg(F.min(F.struct(F.xxhash64("sig", "token"), "sig", "n", "pos")).alias("lead"))
-            .selectExpr("token", "s", "lead.sig lead", "lead.n lead_n", "lead.pos lead_pos"),
-            "leaders",
-        )
-        own = entries.join(leaders, ["token", "s"]).where("sig <> lead")
-        below = leaders.selectExpr("token", "s + 1 s", "lead sig", "lead_n n", "lead_pos pos")
-        steps = leaders.join(below, ["token", "s"])
-        columns = ["sig", "n", "pos", "lead", "lead_n", "lead_pos"]
-        met = own.select(*columns).unionByName(steps.select(*columns)).where(
-            self.could_link("n", "pos", "lead_n", "lead_pos")
-        )
-        return entries, leaders, self.checked(met.selectExpr(*_ordered("sig", "n", "lead", "lead_n")))
-
-    def rest(self, entries: DataFrame, leaders: DataFrame, known: DataFrame, roots: DataFrame) -> DataFrame:
+    def star(self) -> tuple[DataFrame, DataFrame]:
+        """Entries of shared n-grams, and the pairs of step 2."""
+        rare, common = self.classes.agg(F.sum(F.expr("octet_length(rare) div 8")), F.sum(F.size("common"))).first()
+        parts = min(PARTS, -(-(rare or 0) // PART_NGRAMS))
+        buckets = parts * -(-(rare or 0) // (_BUCKET * max(1, parts)))
+        done = [
+            self.work(_rare_entries(self.classes, self.percent, buckets, k, parts), f"entries{k}") for k in range(parts)
+        ]
+        if common:
+            done.append(self.work(_common_entries(self.classes, self.work, self.percent), "entries_common"))
+            self.work.drop("listed", "leaders")
+        nothing = self.classes.sparkSession.createDataFrame([], _ENTRY)
+        entries = reduce(DataFrame.unionByName, done) if done else nothing
+        met = entries.where("met is not null").where(self.could_link("n", "pos", "met_n", "met_pos"))
+        return entries, self.checked(met.selectExpr(*_ordered("sig", "n", "met", "met_n")).distinct())
+
+    def rest(self, entries: DataFrame, known: DataFrame, roots: DataFrame) -> DataFrame:
         """The pairs of step 3: between the classes that ``roots`` (node, root) leaves."""
         sizes = roots.groupBy("root").agg(F.count("*").alias("class_size"))
         named = settled(roots.join(sizes, "root").selectExpr("node sig", "root", "class_size"))
         named = F.broadcast(named) if named.count() <= RESIDENT_KEYS else named
-        in_class = entries.join(named, "sig", "left").selectExpr(
-            "token", "s", "sig", "n", "pos", "coalesce(root, sig) class", "coalesce(class_size, 1) class_size"
+        # Where a list is one leader and one other set, step 2 has compared them.
+        in_class = entries.where("size > 2").join(named, "sig", "left").selectExpr(
+            "token", "s", "sig", "n", "pos", "lead", "coalesce(root, sig) class", "coalesce(class_size, 1) class_size"
         )
         open_lists = (
             in_class.groupBy("token").agg(
                 F.max(F.struct("class_size", "class")).alias("main"), F.min("class").alias("first"),
-                F.max("class").alias("last"), F.count("*").alias("size"),
+                F.max("class").alias("last"),
             )
-            # Where a list is one leader and one other set, step 2 has compared them.
-            .where("first <> last and size > 2").selectExpr("token", "main.class main", "main.class_size > 1 linked_main")
+            .where("first <> last").selectExpr("token", "main.class main", "main.class_size > 1 linked_main")
         )
         answers = known.selectExpr("a", "b", "low", "high")
         placed = (
             in_class.join(open_lists, "token")
-            .join(leaders.select("token", "s", "lead"), ["token", "s"])
             .selectExpr("*", "least(sig, lead) a", "greatest(sig, lead) b")
             .join(answers, ["a", "b"], "left")
             .selectExpr(
@@ -301,7 +413,7 @@ class _Join:
             )
         )
         placed = self.work(placed, "placed")
-        self.work.drop("leaders", *(f"entries{k}" for k in range(PARTS)))
+        self.work.drop("entries_common", *(f"entries{k}" for k in range(PARTS)))
         names = ["sig", "n", "pos", "class", "lead", "low", "high"]
         allowed = (
             "x_class <> class and x_sig <> lead and sig <> x_lead and "
@@ -322,11 +434,14 @@ class _Join:
         maps = self.classes.selectExpr("sig", f"{_folded('bitmap', str(_BITMAP_WORDS))} bitmap")
         mapped = placed.where("linked_main").join(maps, "sig")
         mapped = self.work(mapped, "mapped")
-        bounded = f"{_high('n', 'x_n', 'bitmap', 'x_bitmap')} >= {self.least_overlap('n', 'x_n')}"
+        # A few words bound the overlap, too, and most pairs go by them.
+        few = " + ".join(f"bit_count(bitmap[{k}] ^ x_bitmap[{k}])" for k in range(_BITMAP_WORDS // 4))
+        least = self.least_overlap("n", "x_n")
+        bounded = f"(n + x_n - ({few})) div 2 >= {least} and {_high('n', 'x_n', 'bitmap', 'x_bitmap')} >= {least}"
         to_main = met(mapped.where("not is_main"), mapped.where("is_main"), [*names, "bitmap"], bounded)
-        main_alone = placed.where("is_main and not linked_main")
-        minor = placed.where("not is_main")
-        others = met(minor, minor, names, "x_sig < sig").unionByName(met(minor, main_alone, names, "true"))
+        others = met(
+            placed.where("not is_main"), placed.where("not is_main or not linked_main"), [*names, "is_main"], "(is_main or x_sig < sig)"
+        )
         pairs = to_main.unionByName(others)
         new = self.work(pairs.distinct().join(answers, ["a", "b"], "left_anti"), "new")
         self.work.drop("placed", "mapped")
@@ -370,9 +485,9 @@ def rooted_classes(
     )
     with Workspace(docs.sparkSession) as work, small_batches(docs.sparkSession):
         join = _Join(own, work, width, percent)
-        entries, leaders, known = join.star()
+        entries, known = join.star()
         links = known.where("linked").selectExpr("a u", "b v")
-        more = join.rest(entries, leaders, known, components(links))
+        more = join.rest(entries, known, components(links))
         roots = components(links.union(more.where("linked").select("a", "b")))
         classes = join.classes.select("sig", "doc_id").join(roots.selectExpr("node sig", "root"), "sig", "left").selectExpr(
             "sig", "doc_id", "coalesce(root, sig) root"

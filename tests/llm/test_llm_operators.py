@@ -80,6 +80,21 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_in_tasks_and_in_rounds(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)] + [(1000 + i, 1001 + i) for i in range(300)]
+    df = spark.createDataFrame(edges, "u long, v long").repartition(4)
+    spark.sparkContext.setJobGroup("rounds", "")
+    whole = _sorted(components(df, task_links=50), "node", "root")
+    spark.sparkContext.setJobGroup("task", "")
+    assert _sorted(components(df), "node", "root") == whole
+    jobs = {g: len(spark.sparkContext.statusTracker().getJobIdsForGroup(g)) for g in ("rounds", "task")}
+    spark.sparkContext.setJobGroup("", "")
+    assert {r for n, r in whole if n >= 1000} == {1000}
+    # A small graph takes no rounds, each of which is six shuffles.
+    assert jobs["task"] <= 15 < jobs["rounds"]
+
+
 def test_packing_equals_brute_force(spark, docs, rows, none):
     got = packing.pack(docs, capacity=500, group_rows=1000).collect()
     by_doc = collections.defaultdict(int)
@@ -349,6 +364,30 @@ def test_ngram_join_equals_brute_force(docs, rows, none):
     assert ngram_join.ngram_classes(none).count() == 0
 
 
+def test_ngram_join_of_frequent_and_rare_lists(spark, docs, monkeypatch):
+    sizes, first = [], _sorted(ngram_join.ngram_classes(docs), "doc_id", "text_hash", "component_id")
+    entries = ngram_join._common_entries
+    monkeypatch.setattr(ngram_join, "_common_entries", lambda *a: sizes.append(entries(*a).count()) or entries(a[0], lambda df, _: df, a[2]))
+    # All lists in SQL, some in SQL and some packed, and those in several parts and buckets.
+    for sample, frequent, part in ((1, 1, 1 << 26), (1, 4, 1 << 26), (2, 3, 500)):
+        monkeypatch.setattr(ngram_join, "SAMPLE", sample)
+        monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
+        monkeypatch.setattr(ngram_join, "PART_NGRAMS", part)
+        monkeypatch.setattr(ngram_join, "_BUCKET", part)
+        assert _sorted(ngram_join.ngram_classes(docs), "doc_id", "text_hash", "component_id") == first
+    assert len(sizes) == 3 and min(sizes) > 0
+
+
+def test_packed_numbers_come_back(spark):
+    rng = np.random.default_rng(6)
+    tokens, n = rng.integers(-(2**63), 2**63 - 1, 5000), np.arange(5000)
+    batch = ngram_join._dealt(tokens, 7, n)
+    got = {b.as_py(): ngram_join._gathered(pa.table(batch.slice(k, 1)), 2) for k, b in enumerate(batch.column(0))}
+    assert sorted(got) == list(range(7))
+    assert all((t.view(np.uint64) % np.uint64(7) == b).all() and np.array_equal(tokens[x], t) for b, (t, x) in got.items())
+    assert sum(len(t) for t, _ in got.values()) == 5000
+
+
 def _ppm(strings, text, order):
     """Log10-probability by walking dictionaries."""
     total, history = 0.0, [0xFE] * order
