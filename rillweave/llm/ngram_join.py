@@ -402,6 +402,8 @@ class _Join:
             )
             .where("first <> last").selectExpr("token", "main.class main", "main.class_size > 1 linked_main")
         )
+        # Written, so that the join below has a shuffle of its own on each side and a hot list can be split.
+        open_lists = self.work(open_lists, "open")
         answers = known.selectExpr("a", "b", "low", "high")
         placed = (
             in_class.join(open_lists, "token")
@@ -413,7 +415,7 @@ class _Join:
             )
         )
         placed = self.work(placed, "placed")
-        self.work.drop("entries_common", *(f"entries{k}" for k in range(PARTS)))
+        self.work.drop("open", "entries_common", *(f"entries{k}" for k in range(PARTS)))
         names = ["sig", "n", "pos", "class", "lead", "low", "high"]
         allowed = (
             "x_class <> class and x_sig <> lead and sig <> x_lead and "

@@ -133,23 +133,34 @@ def pack_group(pieces: pd.DataFrame, capacity: int) -> pd.DataFrame:
     return p.assign(bin=np.array(bins, dtype=np.int64), bin_slot=np.array(slots, dtype=np.int64), bin_offset=np.array(offsets, dtype=np.int64))
 
 
-def _without_blanks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first column as it is, the texts of the second without blank and U+0009 to U+000D."""
+def _letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first column as it is, the texts of the second in lower case, without blank and U+0009 to U+000D."""
     for batch in batches:
         data, offsets = wordhash.text_bytes(batch.column(1))
         kept = ~wordhash.is_space(data)
-        ends = np.concatenate(([0], np.cumsum(kept)))[offsets].astype(np.int32)
-        letters = pa.StringArray.from_buffers(len(batch), pa.py_buffer(ends), pa.py_buffer(data[kept]))
+        ends = np.concatenate(([0], np.cumsum(kept)))[offsets]
+        small = wordhash.lower(data[kept])
+        if len(small) and small.max() >= 128:
+            lines = [small[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            # Spark's strings may hold bytes that are no UTF-8; they stay as they are.
+            texts = [
+                x.tobytes().decode(errors="surrogateescape").lower().encode(errors="surrogateescape")
+                if len(x) and x.max() >= 128 else x.tobytes()
+                for x in lines
+            ]
+            letters = pa.array(texts, pa.binary())
+        else:
+            letters = pa.Array.from_buffers(pa.binary(), len(batch), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(small)])
         yield pa.record_batch([batch.column(0), letters], names=["text_hash", "letters"])
 
 
 def clusters(docs: DataFrame, near_copies: bool = True) -> DataFrame:
     """text_hash, cluster of each different text but the empty one (columns doc_id, text)."""
-    # Blanks go in a task's Python: SQL's translate takes most of the time of this step.
+    # Blanks and case go in a task's Python: SQL's translate and lower take most of the time of this step.
     letters = docs.where("text <> ''").selectExpr("xxhash64(text) text_hash", "text").mapInArrow(
-        _without_blanks, "text_hash bigint, letters string"
+        _letters, "text_hash bigint, letters binary"
     )
-    keys = letters.selectExpr("text_hash", "xxhash64(lower(letters)) key").groupBy("text_hash").agg(F.min("key").alias("key"))
+    keys = letters.selectExpr("text_hash", "xxhash64(letters) key").groupBy("text_hash").agg(F.min("key").alias("key"))
     if not near_copies:
         return keys.selectExpr("text_hash", "key cluster")
     roots = rooted_classes(docs).groupBy("text_hash").agg(F.min("root").alias("root"))
