@@ -58,6 +58,8 @@ RESIDENT_KEYS = 500_000
 #: Words of a bitmap at least, a power of two. It travels with each pair that is looked at. Larger sets have larger ones,
 #: of two to four bits an n-gram: those of a fixed size are full, and bound nothing, for some thousand n-grams.
 _BITMAP_WORDS = 32
+#: Words of the bitmap that travels with each entry of step 3, a power of two.
+_SMALL_WORDS = 16
 #: Steps that shuffle all prefixes run in so many parts, one after the other, so that what is on disk at once is a part
 #: of them. Steps that shuffle whole sets do so too if the sets of all their pairs are as much as all sets, else in fewer.
 PARTS = 4
@@ -400,7 +402,7 @@ class _Join:
                 F.max(F.struct("class_size", "class")).alias("main"), F.min("class").alias("first"),
                 F.max("class").alias("last"),
             )
-            .where("first <> last").selectExpr("token", "main.class main", "main.class_size > 1 linked_main")
+            .where("first <> last").selectExpr("token", "main.class main")
         )
         # Written, so that the join below has a shuffle of its own on each side and a hot list can be split.
         open_lists = self.work(open_lists, "open")
@@ -410,13 +412,15 @@ class _Join:
             .selectExpr("*", "least(sig, lead) a", "greatest(sig, lead) b")
             .join(answers, ["a", "b"], "left")
             .selectExpr(
-                "token", "s", "sig", "n", "pos", "class", "class = main is_main", "linked_main", "lead",
+                "token", "s", "sig", "n", "pos", "class", "class = main is_main", "lead",
                 "if(sig = lead, n, coalesce(low, 0)) low", "if(sig = lead, n, coalesce(high, n)) high",
             )
         )
-        placed = self.work(placed, "placed")
+        # Small bitmaps come along, with each entry, so that the join below gives out only what may link.
+        maps = self.classes.selectExpr("sig", f"{_folded('bitmap', str(_SMALL_WORDS))} bitmap")
+        placed = self.work(placed.join(maps, "sig"), "placed")
         self.work.drop("open", "entries_common", *(f"entries{k}" for k in range(PARTS)))
-        names = ["sig", "n", "pos", "class", "lead", "low", "high"]
+        names = ["sig", "n", "pos", "class", "lead", "low", "high", "bitmap"]
         allowed = (
             "x_class <> class and x_sig <> lead and sig <> x_lead and "
             + self.could_link("x_n", "x_pos", "n", "pos")
@@ -425,28 +429,17 @@ class _Join:
             + self.least_overlap("n", "x_n") + ")"
         )
 
-        def met(some: DataFrame, others: DataFrame, names: list[str], more: str) -> DataFrame:
-            some = some.selectExpr("token", "explode(array(s - 1, s, s + 1)) s", *(f"{c} x_{c}" for c in names))
-            pairs = some.join(others.select("token", "s", *names), ["token", "s"]).where(f"{allowed} and {more}")
-            return pairs.selectExpr(*_ordered("x_sig", "x_n", "sig", "n"))
-
-        # A set outside of a large class against all of the class: here the bitmaps come along,
-        # so that the join itself gives out only what may link.
-        # They come with each entry, so in their smallest size.
-        maps = self.classes.selectExpr("sig", f"{_folded('bitmap', str(_BITMAP_WORDS))} bitmap")
-        mapped = placed.where("linked_main").join(maps, "sig")
-        mapped = self.work(mapped, "mapped")
-        # A few words bound the overlap, too, and most pairs go by them.
-        few = " + ".join(f"bit_count(bitmap[{k}] ^ x_bitmap[{k}])" for k in range(_BITMAP_WORDS // 4))
-        least = self.least_overlap("n", "x_n")
-        bounded = f"(n + x_n - ({few})) div 2 >= {least} and {_high('n', 'x_n', 'bitmap', 'x_bitmap')} >= {least}"
-        to_main = met(mapped.where("not is_main"), mapped.where("is_main"), [*names, "bitmap"], bounded)
-        others = met(
-            placed.where("not is_main"), placed.where("not is_main or not linked_main"), [*names, "is_main"], "(is_main or x_sig < sig)"
+        alone = " + ".join(f"bit_count(bitmap[{k}] ^ x_bitmap[{k}])" for k in range(_SMALL_WORDS))
+        bounded = f"(n + x_n - ({alone})) div 2 >= {self.least_overlap('n', 'x_n')}"
+        # A set outside of the main class against all of that class, and against others of its kind once.
+        some = placed.where("not is_main").selectExpr("token", "explode(array(s - 1, s, s + 1)) s", *(f"{c} x_{c}" for c in names))
+        pairs = (
+            some.join(placed.select("token", "s", *names, "is_main"), ["token", "s"])
+            .where(f"{allowed} and (is_main or x_sig < sig) and {bounded}")
+            .selectExpr(*_ordered("x_sig", "x_n", "sig", "n"))
         )
-        pairs = to_main.unionByName(others)
         new = self.work(pairs.distinct().join(answers, ["a", "b"], "left_anti"), "new")
-        self.work.drop("placed", "mapped")
+        self.work.drop("placed")
         return self.checked(new)
 
 
